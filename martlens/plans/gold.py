@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from martlens.operators.values import value_index
 from martlens.plans import silver
 from martlens.session import apply_scale_settings, shared_folder
 from martlens.sources import landing
@@ -84,6 +88,14 @@ COLUMN_COMMENTS = {
     },
 }
 
+# Order of the rows inside each written file. Date bounds then skip most of a file by its own statistics, and the lines
+# of an order, which share a date, stay next to each other.
+ROW_ORDER = {
+    "fact_orders": ["order_date", "order_id", "order_line_id"],
+    "fact_transactions": ["txn_date", "order_id"],
+    "fact_shipments": ["ship_date", "order_id"],
+}
+
 # Gold table -> (layer name, function that cleans its bronze table).
 _CLEANING = {
     "dim_customers": ("customers", silver.silver_customers),
@@ -123,6 +135,11 @@ def documented(name: str, df: DataFrame) -> DataFrame:
     return with_comments(df, COLUMN_COMMENTS[name])
 
 
+def in_row_order(name: str, df: DataFrame) -> DataFrame:
+    """Sort each partition for writing; nothing is shuffled."""
+    return df.sortWithinPartitions(*ROW_ORDER[name]) if name in ROW_ORDER else df
+
+
 def derive_gold(raw: Raw, lines: DataFrame | None = None) -> Gold:
     """The whole chain raw -> bronze -> silver -> gold as lazy frames; ``lines`` replaces the order lines if given."""
     if lines is None:
@@ -138,7 +155,15 @@ def derive_gold(raw: Raw, lines: DataFrame | None = None) -> Gold:
     return Gold(**{name: documented(name, df) for name, df in frames.items()})
 
 
+# Coded columns whose distinct values are indexed, so that user terms can be matched with what is stored.
+INDEXED_COLUMNS = {
+    "fact_transactions": ["payment_method", "currency"],
+    "dim_geography": ["state_code"],
+    "dim_customers": ["segment"],
+}
+
 _opened: dict[tuple[str, str], Gold] = {}
+_indexes: dict[tuple[str, str], DataFrame] = {}
 
 
 def open_gold(spark: SparkSession, raw_dir: str) -> Gold:
@@ -149,28 +174,63 @@ def open_gold(spark: SparkSession, raw_dir: str) -> Gold:
     stay lazy and every question derives what it needs.
     """
     apply_scale_settings(spark)
+    folder = _working_folder(spark, raw_dir)
+    if folder is None:
+        return derive_gold(read_raw(spark, raw_dir))
     key = (spark.sparkContext.applicationId, raw_dir)
     if key not in _opened:
-        folder = shared_folder(spark)
-        if folder is None:
-            return derive_gold(read_raw(spark, raw_dir))
-        digest = hashlib.sha256(raw_dir.encode()).hexdigest()[:16]
-        _opened[key] = write_gold(spark, raw_dir, f"{folder}/martlens/{spark.sparkContext.applicationId}/{digest}")
+        _opened[key] = write_gold(spark, raw_dir, folder)
     return _opened[key]
 
 
+def stored_values(gold: Gold) -> DataFrame:
+    """The value index of the coded columns."""
+    return value_index([(gold.table(name), columns) for name, columns in INDEXED_COLUMNS.items()])
+
+
+def open_index(spark: SparkSession, raw_dir: str) -> DataFrame:
+    """The value index, written once per application: resolving terms reads it several times, the fact table never."""
+    gold = open_gold(spark, raw_dir)
+    folder = _working_folder(spark, raw_dir)
+    if folder is None:
+        return stored_values(gold)
+    key = (spark.sparkContext.applicationId, raw_dir)
+    if key not in _indexes:
+        _indexes[key] = _stored(spark, stored_values(gold), f"{folder}/value_index")
+    return _indexes[key]
+
+
+def _working_folder(spark: SparkSession, raw_dir: str) -> str | None:
+    folder = shared_folder(spark)
+    if folder is None:
+        return None
+    digest = hashlib.sha256(raw_dir.encode()).hexdigest()[:16]
+    return f"{folder}/martlens/{spark.sparkContext.applicationId}/{digest}"
+
+
+def _stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    overwrite_files(df, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def write_gold(spark: SparkSession, raw_dir: str, target: str) -> Gold:
-    """Build the star schema from a raw folder as parquet under ``target``."""
+    """Build the star schema from a raw folder as parquet under ``target``.
+
+    Tables that do not depend on each other are written by concurrent jobs, so small ones fill the gaps of large ones.
+    """
     raw = read_raw(spark, raw_dir)
+    lazy = derive_gold(raw)
 
-    def stored(name: str, df: DataFrame) -> DataFrame:
-        overwrite_files(df, f"{target}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{target}/{name}")
+    def store(name: str, df: DataFrame) -> Callable[[], DataFrame]:
+        return inheritable_thread_target(spark)(lambda: _stored(spark, in_row_order(name, df), f"{target}/{name}"))
 
-    lines = stored("fact_orders", documented("fact_orders", silver.silver_orders(landing.bronze_orders(raw))))
-    derived = derive_gold(raw, lines)
-    rest = {name: stored(name, derived.table(name)) for name in Gold.names() if name != "fact_orders"}
-    return Gold(fact_orders=lines, **rest)
+    with ThreadPoolExecutor() as pool:
+        first = ["fact_orders", "dim_customers", "dim_products", "dim_geography"]
+        running = {name: pool.submit(store(name, lazy.table(name))) for name in first}
+        rolled_up = derive_gold(raw, running["fact_orders"].result())
+        for name in ("fact_transactions", "fact_shipments"):
+            running[name] = pool.submit(store(name, rolled_up.table(name)))
+        return Gold(**{name: job.result() for name, job in running.items()})
 
 
 # ---- catalog build -----------------------------------------------------------------------------------------------
@@ -207,7 +267,9 @@ def build_gold(spark: SparkSession, layout: Layout) -> dict[str, int]:
     """Write the six gold tables with table and column comments; returns the row count of each."""
     return {
         layout.gold(table): overwrite_table(
-            documented(table, spark.table(layout.silver(name))), layout.gold(table), TABLE_COMMENTS[table]
+            in_row_order(table, documented(table, spark.table(layout.silver(name)))),
+            layout.gold(table),
+            TABLE_COMMENTS[table],
         )
         for table, (name, _) in _CLEANING.items()
     }

@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 from martlens.functions.amounts import as_double
 from martlens.functions.vocabulary import CODE_WORDS, code_table, word_table
 from martlens.operators.joins import EDGES, repeated_keys
-from martlens.operators.values import decode, resolve, rows_meaning, value_index
+from martlens.operators.values import decode, resolve, rows_meaning
 from martlens.plans import bank, examples, silver, truths
-from martlens.plans.gold import Gold, open_gold
+from martlens.plans.gold import Gold, open_gold, open_index, stored_values
 from martlens.plans.parameters import TABLE_PARAMETERS
 from martlens.plans.views import order_analytics, shipment_performance
 from martlens.sources import landing
@@ -199,19 +199,9 @@ def decoded_counts(spark: SparkSession, raw_dir: str, column: str) -> DataFrame:
     return decode(per_code, code_table(spark, column), column, "label")
 
 
-def stored_values(gold: Gold) -> DataFrame:
-    return value_index(
-        [
-            (gold.fact_transactions, ["payment_method", "currency"]),
-            (gold.dim_geography, ["state_code"]),
-            (gold.dim_customers, ["segment"]),
-        ]
-    )
-
-
 def words_in_use(spark: SparkSession, raw_dir: str) -> DataFrame:
     """Every word of the vocabulary with the rows it stands for; words for a whole column stand for all its rows."""
-    stored = stored_values(open_gold(spark, raw_dir)).select("column_name", F.col("value").alias("code"), "rows")
+    stored = open_index(spark, raw_dir).select("column_name", F.col("value").alias("code"), "rows")
     everything = stored.groupBy("column_name").agg(F.sum("rows").alias("rows"))
     words = word_table(spark)
     for_codes = words.where("code IS NOT NULL").join(stored, ["column_name", "code"])
@@ -224,8 +214,7 @@ def user_terms(spark: SparkSession, terms: list[str] = USER_TERMS) -> DataFrame:
 
 
 def resolved_terms(spark: SparkSession, raw_dir: str) -> DataFrame:
-    index = stored_values(open_gold(spark, raw_dir))
-    return resolve(user_terms(spark), index, word_table(spark))
+    return resolve(user_terms(spark), open_index(spark, raw_dir), word_table(spark))
 
 
 def payments_by_term(spark: SparkSession, raw_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ class Layout:
     catalog: str | None = None
 
     def __post_init__(self) -> None:
-        for part in filter(None, (self.schema, self.catalog)):
+        for part in (self.schema, *([] if self.catalog is None else [self.catalog])):
             if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", part):
                 raise ValueError(f"{part!r} is no plain identifier: letters, digits and underscores only")
 
@@ -40,9 +40,9 @@ class Layout:
 
 def with_comments(df: DataFrame, comments: dict[str, str]) -> DataFrame:
     """Attach column comments; they are stored with the table the frame is written to."""
-    for column, comment in comments.items():
-        df = df.withMetadata(column, {"comment": comment})
-    return df
+    return df.select(
+        *[F.col(name).alias(name, metadata={"comment": comments[name]}) if name in comments else name for name in df.columns]
+    )
 
 
 def overwrite_table(df: DataFrame, table: str, comment: str | None = None) -> int:
