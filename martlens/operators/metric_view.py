@@ -35,26 +35,26 @@ class Dimension:
 
 @dataclass(frozen=True)
 class Part:
-    """One plain aggregate of a measure. ``merge`` adds up parts of subgroups; None where that is impossible."""
+    """One plain aggregate of a measure. Sums and counts of subgroups add up; distinct values have to stay apart."""
 
     aggregate: Column
-    merge: Callable[[Column], Column] | None
+    distinct: Column | None = None
 
 
 def total(value: Column) -> Part:
-    return Part(F.sum(value), F.sum)
+    return Part(F.sum(value))
 
 
 def row_count() -> Part:
-    return Part(F.count(F.lit(1)), F.sum)
+    return Part(F.count(F.lit(1)))
 
 
 def value_count(value: Column) -> Part:
-    return Part(F.count(value), F.sum)
+    return Part(F.count(value))
 
 
 def distinct_count(value: Column) -> Part:
-    return Part(F.count_distinct(value), None)
+    return Part(F.count_distinct(value), distinct=value)
 
 
 @dataclass(frozen=True)
@@ -66,10 +66,6 @@ class Measure:
     finish: Callable[..., Column]
     reads: tuple[str, ...] = (SOURCE,)
 
-    @property
-    def mergeable(self) -> bool:
-        return all(part.merge for part in self.parts)
-
     def over_rows(self) -> Column:
         return self.finish(*[part.aggregate for part in self.parts]).alias(self.name)
 
@@ -111,7 +107,7 @@ class MetricView:
 
         needed = set(self.only_reads).union(*[m.reads for m in wanted], *[d.reads for d, _ in tests]) - {SOURCE}
         for_keys = set().union(*[d.reads for d in keys]) - {SOURCE} - needed
-        apart = self._joined_after_totals(keys, wanted, for_keys)
+        apart = self._joined_after_totals(keys, for_keys)
         rows = self._joined(needed if apart else needed | for_keys)
         if self.only is not None:
             rows = rows.where(self.only)
@@ -136,9 +132,9 @@ class MetricView:
         return rows
 
     @staticmethod
-    def _joined_after_totals(keys: list[Dimension], wanted: list[Measure], for_keys: set[str]) -> str | None:
-        """The one table that is needed for nothing but the grouping, if totals per its key can be merged."""
-        if len(for_keys) != 1 or not all(m.mergeable for m in wanted):
+    def _joined_after_totals(keys: list[Dimension], for_keys: set[str]) -> str | None:
+        """The table that is needed for nothing but the grouping, if it is one and holds all the grouping columns."""
+        if len(for_keys) != 1:
             return None
         (name,) = for_keys
         return name if all(set(d.reads) == {name} for d in keys) else None
@@ -146,19 +142,29 @@ class MetricView:
     def _totals_then_join(
         self, rows: DataFrame, join: ManyToOne, keys: list[Dimension], wanted: list[Measure]
     ) -> DataFrame:
-        """Add up per join key first, so that one row per key and task meets the joined table instead of every row."""
+        """Add up per join key first, so that one row per key and task meets the joined table instead of every row.
+
+        Values to be counted once are grouped on as well and counted after the join.
+        """
         columns = {(m.name, at): f"part_{i}_{at}" for i, m in enumerate(wanted) for at in range(len(m.parts))}
-        per_key = rows.groupBy(F.col(f"{SOURCE}.{join.key}").alias(join.key)).agg(
-            *[m.parts[at].aggregate.alias(columns[m.name, at]) for m in wanted for at in range(len(m.parts))]
+        parts = [(columns[m.name, at], part) for m in wanted for at, part in enumerate(m.parts)]
+        per_key = rows.groupBy(
+            F.col(f"{SOURCE}.{join.key}").alias(join.key),
+            *[part.distinct.alias(column) for column, part in parts if part.distinct is not None],
+        ).agg(
+            *[part.aggregate.alias(column) for column, part in parts if part.distinct is None],
         )
         on = F.col(f"{SOURCE}.{join.key}") == F.col(f"{join.name}.{join.key}")
         met = per_key.alias(SOURCE).join(join.table.alias(join.name), on, "left")
-        return met.groupBy(*[d.expr.alias(d.name) for d in keys]).agg(
-            *[
-                m.finish(*[part.merge(F.col(columns[m.name, at])) for at, part in enumerate(m.parts)]).alias(m.name)
-                for m in wanted
+
+        def merged(measure: Measure) -> Column:
+            values = [
+                F.sum(columns[measure.name, at]) if part.distinct is None else F.count_distinct(columns[measure.name, at])
+                for at, part in enumerate(measure.parts)
             ]
-        )
+            return measure.finish(*values).alias(measure.name)
+
+        return met.groupBy(*[d.expr.alias(d.name) for d in keys]).agg(*[merged(m) for m in wanted])
 
 
 def _named(known: Mapping[str, object], name: str, kind: str):

@@ -23,9 +23,9 @@ from martlens.operators.joins import with_partner
 from martlens.plans.gold import Gold
 from martlens.plans.parameters import Parameters
 from martlens.plans.revenue import (
+    collected_lines,
     collected_per,
     collected_total,
-    unshipped_lines,
     unshipped_orders,
 )
 from martlens.plans.views import order_analytics, shipment_performance
@@ -192,7 +192,7 @@ def completed_orders(gold: Gold, p: Parameters) -> DataFrame:
 
 @_asks("b24_customers_with_unshipped", "Customers with orders that never shipped", "joins-exceptions", "advanced")
 def customers_with_unshipped(gold: Gold, p: Parameters) -> DataFrame:
-    waiting = unshipped_lines(gold, "customer_id").select("customer_id").distinct()
+    waiting = unshipped_orders(gold, "customer_id").select("customer_id").distinct()
     return with_partner(gold.dim_customers, waiting, "customer_id").select("customer_id", "customer_name")
 
 
@@ -247,7 +247,7 @@ def refund_rate(gold: Gold, p: Parameters) -> DataFrame:
 @_asks("b32_region_most_unshipped", "Region with the most unshipped orders", "joins-exceptions", "advanced")
 def region_most_unshipped(gold: Gold, p: Parameters) -> DataFrame:
     return (
-        unshipped_lines(gold, "geo_id")
+        unshipped_orders(gold, "geo_id")
         .join(gold.dim_geography, "geo_id")
         .groupBy("region_name")
         .agg(F.count_distinct("order_id").alias("orders"))
@@ -302,7 +302,9 @@ def internal_accounts(gold: Gold, p: Parameters) -> DataFrame:
 def revenue_by_country(gold: Gold, p: Parameters) -> DataFrame:
     outside = gold.dim_customers.where(~F.col("is_internal"))
     return (
-        with_partner(collected_per(gold, "customer_id", "geo_id"), outside, "customer_id")
+        with_partner(collected_lines(gold), outside, "customer_id")
+        .groupBy("geo_id")
+        .agg(F.sum("net_amount").alias("net_amount"))
         .join(gold.dim_geography, "geo_id")
         .groupBy("country_name")
         .agg(as_double(F.sum("net_amount")).alias("revenue"))

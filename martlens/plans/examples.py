@@ -70,13 +70,14 @@ def monthly_net_revenue(gold: Gold, p: Parameters) -> DataFrame:
 
 def margin_without_internal(gold: Gold, p: Parameters) -> DataFrame:
     """Margin per subcategory over all orders, paid or not, of outside customers."""
-    per_product = gold.fact_orders.groupBy("product_id", "customer_id").agg(
-        F.sum(F.col("net_amount") - F.col("cogs_amount")).alias("margin"), F.sum("net_amount").alias("net_amount")
-    )
     outside = gold.dim_customers.where(~F.col("is_internal"))
+    per_product = (
+        with_partner(gold.fact_orders, outside, "customer_id")
+        .groupBy("product_id")
+        .agg(F.sum(F.col("net_amount") - F.col("cogs_amount")).alias("margin"), F.sum("net_amount").alias("net_amount"))
+    )
     return (
-        with_partner(per_product, outside, "customer_id")
-        .join(gold.dim_products, "product_id")
+        per_product.join(gold.dim_products, "product_id")
         .groupBy("subcategory")
         .agg(F.round(ratio(F.sum("margin"), F.sum("net_amount")) * 100, 1).alias("margin_pct"))
         .orderBy(F.desc("margin_pct"), "subcategory")

@@ -36,10 +36,7 @@ def collected_total(gold: Gold, lines: DataFrame) -> DataFrame:
     )
 
 
-def unshipped_lines(gold: Gold, *columns: str) -> DataFrame:
-    return without_partner(gold.fact_orders.select("order_id", *columns), gold.fact_shipments, "order_id")
-
-
-def unshipped_orders(gold: Gold) -> DataFrame:
-    """Orders without a shipment, one row each."""
-    return without_partner(gold.fact_orders.select("order_id").distinct(), gold.fact_shipments, "order_id")
+def unshipped_orders(gold: Gold, *columns: str) -> DataFrame:
+    """Orders without a shipment, with columns of their lines. Lines that say the same are merged before any shuffle."""
+    orders = gold.fact_orders.select("order_id", *columns).distinct()
+    return without_partner(orders, gold.fact_shipments, "order_id")

@@ -73,7 +73,7 @@ def order_analytics(gold: Gold) -> MetricView:
 def shipment_performance(gold: Gold) -> MetricView:
     """Shipments: punctuality, duration, cost."""
     on_time, days = F.col("source.on_time_flag"), F.col("source.delivery_days")
-    on_time_total = Part(flag_count(on_time), F.sum)
+    on_time_total = Part(flag_count(on_time))
     return MetricView(
         source=gold.fact_shipments,
         joins=[ManyToOne("geography", gold.dim_geography, "geo_id")],
