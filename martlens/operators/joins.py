@@ -55,3 +55,10 @@ def require_single_match(df: DataFrame, key: str) -> None:
     """Fail when a declared many-to-one join would multiply rows."""
     if not repeated_keys(df, key).isEmpty():
         raise ValueError(f"{key} repeats on the 'one' side of a join")
+
+
+def heaviest_key_share(df: DataFrame, key: str) -> float:
+    """Share of all rows that the most frequent key holds; 0 for an empty table. Counts are merged before the shuffle."""
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    (found,) = per_key.agg((F.max("rows") / F.sum("rows")).alias("share")).collect()
+    return found.share or 0.0

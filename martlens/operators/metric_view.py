@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martlens.operators.joins import require_single_match
+
 SOURCE = "source"
 
 
@@ -35,10 +37,10 @@ class Dimension:
 
 @dataclass(frozen=True)
 class Part:
-    """One plain aggregate of a measure. Sums and counts of subgroups add up; distinct values have to stay apart."""
+    """One plain aggregate of a measure. Sums and counts of subgroups add up, distinct counts do not."""
 
     aggregate: Column
-    distinct: Column | None = None
+    adds_up: bool = True
 
 
 def total(value: Column) -> Part:
@@ -54,7 +56,7 @@ def value_count(value: Column) -> Part:
 
 
 def distinct_count(value: Column) -> Part:
-    return Part(F.count_distinct(value), distinct=value)
+    return Part(F.count_distinct(value), adds_up=False)
 
 
 @dataclass(frozen=True)
@@ -66,6 +68,10 @@ class Measure:
     finish: Callable[..., Column]
     reads: tuple[str, ...] = (SOURCE,)
 
+    @property
+    def adds_up(self) -> bool:
+        return all(part.adds_up for part in self.parts)
+
     def over_rows(self) -> Column:
         return self.finish(*[part.aggregate for part in self.parts]).alias(self.name)
 
@@ -107,7 +113,7 @@ class MetricView:
 
         needed = set(self.only_reads).union(*[m.reads for m in wanted], *[d.reads for d, _ in tests]) - {SOURCE}
         for_keys = set().union(*[d.reads for d in keys]) - {SOURCE} - needed
-        apart = self._joined_after_totals(keys, for_keys)
+        apart = self._joined_after_totals(keys, wanted, for_keys)
         rows = self._joined(needed if apart else needed | for_keys)
         if self.only is not None:
             rows = rows.where(self.only)
@@ -123,6 +129,11 @@ class MetricView:
             result = result.orderBy(*order_by)
         return result if limit is None else result.limit(limit)
 
+    def require_single_matches(self) -> None:
+        """Fail when a joined table repeats its key, which would multiply source rows."""
+        for join in self.joins.values():
+            require_single_match(join.table, join.key)
+
     def _joined(self, names: set[str]) -> DataFrame:
         rows = self.source.alias(SOURCE)
         for name, join in self.joins.items():
@@ -132,9 +143,12 @@ class MetricView:
         return rows
 
     @staticmethod
-    def _joined_after_totals(keys: list[Dimension], for_keys: set[str]) -> str | None:
-        """The table that is needed for nothing but the grouping, if it is one and holds all the grouping columns."""
-        if len(for_keys) != 1:
+    def _joined_after_totals(keys: list[Dimension], wanted: list[Measure], for_keys: set[str]) -> str | None:
+        """The table that is needed for nothing but the grouping, if totals per its key say all there is to say.
+
+        A distinct count would have to be grouped on as well, which leaves about as many rows as there were.
+        """
+        if len(for_keys) != 1 or not all(m.adds_up for m in wanted):
             return None
         (name,) = for_keys
         return name if all(set(d.reads) == {name} for d in keys) else None
@@ -142,29 +156,16 @@ class MetricView:
     def _totals_then_join(
         self, rows: DataFrame, join: ManyToOne, keys: list[Dimension], wanted: list[Measure]
     ) -> DataFrame:
-        """Add up per join key first, so that one row per key and task meets the joined table instead of every row.
-
-        Values to be counted once are grouped on as well and counted after the join.
-        """
-        columns = {(m.name, at): f"part_{i}_{at}" for i, m in enumerate(wanted) for at in range(len(m.parts))}
-        parts = [(columns[m.name, at], part) for m in wanted for at, part in enumerate(m.parts)]
-        per_key = rows.groupBy(
-            F.col(f"{SOURCE}.{join.key}").alias(join.key),
-            *[part.distinct.alias(column) for column, part in parts if part.distinct is not None],
-        ).agg(
-            *[part.aggregate.alias(column) for column, part in parts if part.distinct is None],
+        """Add up per join key first, so that one row per key and task meets the joined table instead of every row."""
+        columns = {m.name: [f"part_{i}_{at}" for at in range(len(m.parts))] for i, m in enumerate(wanted)}
+        per_key = rows.groupBy(F.col(f"{SOURCE}.{join.key}").alias(join.key)).agg(
+            *[part.aggregate.alias(column) for m in wanted for part, column in zip(m.parts, columns[m.name])]
         )
         on = F.col(f"{SOURCE}.{join.key}") == F.col(f"{join.name}.{join.key}")
         met = per_key.alias(SOURCE).join(join.table.alias(join.name), on, "left")
-
-        def merged(measure: Measure) -> Column:
-            values = [
-                F.sum(columns[measure.name, at]) if part.distinct is None else F.count_distinct(columns[measure.name, at])
-                for at, part in enumerate(measure.parts)
-            ]
-            return measure.finish(*values).alias(measure.name)
-
-        return met.groupBy(*[d.expr.alias(d.name) for d in keys]).agg(*[merged(m) for m in wanted])
+        return met.groupBy(*[d.expr.alias(d.name) for d in keys]).agg(
+            *[m.finish(*[F.sum(column) for column in columns[m.name]]).alias(m.name) for m in wanted]
+        )
 
 
 def _named(known: Mapping[str, object], name: str, kind: str):

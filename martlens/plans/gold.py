@@ -6,15 +6,17 @@ import hashlib
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields
+from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from martlens.operators.joins import heaviest_key_share
 from martlens.operators.values import value_index
 from martlens.plans import silver
 from martlens.session import apply_scale_settings, shared_folder
 from martlens.sources import landing
-from martlens.sources.catalog import Layout, overwrite_files, overwrite_table, with_comments
+from martlens.sources.catalog import Buckets, Layout, overwrite_files, overwrite_table, with_comments
 from martlens.sources.raw import Raw, read_raw
 
 TABLE_COMMENTS = {
@@ -140,19 +142,30 @@ def in_row_order(name: str, df: DataFrame) -> DataFrame:
     return df.sortWithinPartitions(*ROW_ORDER[name]) if name in ROW_ORDER else df
 
 
-def derive_gold(raw: Raw, lines: DataFrame | None = None) -> Gold:
-    """The whole chain raw -> bronze -> silver -> gold as lazy frames; ``lines`` replaces the order lines if given."""
-    if lines is None:
-        lines = silver.silver_orders(landing.bronze_orders(raw))
-    frames = {
-        "dim_customers": silver.silver_customers(landing.bronze_customers(raw)),
-        "dim_products": silver.silver_products(landing.bronze_products(raw)),
-        "dim_geography": silver.silver_geography(landing.bronze_geography(raw)),
-        "fact_orders": lines,
-        "fact_transactions": silver.silver_transactions(landing.bronze_transactions(lines)),
-        "fact_shipments": silver.silver_shipments(landing.bronze_shipments(lines)),
+def _from_raw(raw: Raw) -> dict[str, DataFrame]:
+    """The tables that are cleaned from raw tables: the order lines and the dimensions."""
+    return {
+        "fact_orders": documented("fact_orders", silver.silver_orders(landing.bronze_orders(raw))),
+        "dim_customers": documented("dim_customers", silver.silver_customers(landing.bronze_customers(raw))),
+        "dim_products": documented("dim_products", silver.silver_products(landing.bronze_products(raw))),
+        "dim_geography": documented("dim_geography", silver.silver_geography(landing.bronze_geography(raw))),
     }
-    return Gold(**{name: documented(name, df) for name, df in frames.items()})
+
+
+def _from_lines(lines: DataFrame) -> dict[str, DataFrame]:
+    """The tables that are rolled up from clean order lines."""
+    payments = silver.silver_transactions(landing.bronze_transactions(lines))
+    shipments = silver.silver_shipments(landing.bronze_shipments(lines))
+    return {
+        "fact_transactions": documented("fact_transactions", payments),
+        "fact_shipments": documented("fact_shipments", shipments),
+    }
+
+
+def derive_gold(raw: Raw) -> Gold:
+    """The whole chain raw -> bronze -> silver -> gold as lazy frames."""
+    cleaned = _from_raw(raw)
+    return Gold(**cleaned, **_from_lines(cleaned["fact_orders"]))
 
 
 # Coded columns whose distinct values are indexed, so that user terms can be matched with what is stored.
@@ -162,6 +175,7 @@ INDEXED_COLUMNS = {
     "dim_customers": ["segment"],
 }
 
+_building = Lock()
 _opened: dict[tuple[str, str], Gold] = {}
 _indexes: dict[tuple[str, str], DataFrame] = {}
 
@@ -178,8 +192,9 @@ def open_gold(spark: SparkSession, raw_dir: str) -> Gold:
     if folder is None:
         return derive_gold(read_raw(spark, raw_dir))
     key = (spark.sparkContext.applicationId, raw_dir)
-    if key not in _opened:
-        _opened[key] = write_gold(spark, raw_dir, folder)
+    with _building:
+        if key not in _opened:
+            _opened[key] = write_gold(spark, raw_dir, folder)
     return _opened[key]
 
 
@@ -195,8 +210,9 @@ def open_index(spark: SparkSession, raw_dir: str) -> DataFrame:
     if folder is None:
         return stored_values(gold)
     key = (spark.sparkContext.applicationId, raw_dir)
-    if key not in _indexes:
-        _indexes[key] = _stored(spark, stored_values(gold), f"{folder}/value_index")
+    with _building:
+        if key not in _indexes:
+            _indexes[key] = _stored(spark, stored_values(gold), f"{folder}/value_index")
     return _indexes[key]
 
 
@@ -218,18 +234,13 @@ def write_gold(spark: SparkSession, raw_dir: str, target: str) -> Gold:
 
     Tables that do not depend on each other are written by concurrent jobs, so small ones fill the gaps of large ones.
     """
-    raw = read_raw(spark, raw_dir)
-    lazy = derive_gold(raw)
-
     def store(name: str, df: DataFrame) -> Callable[[], DataFrame]:
         return inheritable_thread_target(spark)(lambda: _stored(spark, in_row_order(name, df), f"{target}/{name}"))
 
     with ThreadPoolExecutor() as pool:
-        first = ["fact_orders", "dim_customers", "dim_products", "dim_geography"]
-        running = {name: pool.submit(store(name, lazy.table(name))) for name in first}
-        rolled_up = derive_gold(raw, running["fact_orders"].result())
-        for name in ("fact_transactions", "fact_shipments"):
-            running[name] = pool.submit(store(name, rolled_up.table(name)))
+        running = {name: pool.submit(store(name, df)) for name, df in _from_raw(read_raw(spark, raw_dir)).items()}
+        rolled_up = _from_lines(running["fact_orders"].result())
+        running.update({name: pool.submit(store(name, df)) for name, df in rolled_up.items()})
         return Gold(**{name: job.result() for name, job in running.items()})
 
 
@@ -263,16 +274,25 @@ def build_silver(spark: SparkSession, layout: Layout) -> dict[str, int]:
     }
 
 
-def build_gold(spark: SparkSession, layout: Layout) -> dict[str, int]:
-    """Write the six gold tables with table and column comments; returns the row count of each."""
-    return {
-        layout.gold(table): overwrite_table(
-            in_row_order(table, documented(table, spark.table(layout.silver(name)))),
-            layout.gold(table),
-            TABLE_COMMENTS[table],
-        )
-        for table, (name, _) in _CLEANING.items()
-    }
+def build_gold(spark: SparkSession, layout: Layout, order_buckets: int | None = None) -> dict[str, int]:
+    """Write the six gold tables with table and column comments; returns the row count of each.
+
+    With ``order_buckets`` the facts are stored in as many buckets of the order key, so that they join without a shuffle.
+    A bucket is written and read by one task. Should one order hold more lines than an even bucket would, the facts stay
+    unbucketed, and joins shuffle and split that order instead.
+    """
+    if order_buckets and heaviest_key_share(spark.table(layout.silver("orders")), "order_id") > 1 / order_buckets:
+        order_buckets = None
+    written = {}
+    for table, (name, _) in _CLEANING.items():
+        df = documented(table, spark.table(layout.silver(name)))
+        if order_buckets and table in ROW_ORDER:
+            buckets = Buckets(order_buckets, "order_id", tuple(ROW_ORDER[table]))
+            rows = overwrite_table(df, layout.gold(table), TABLE_COMMENTS[table], buckets)
+        else:
+            rows = overwrite_table(in_row_order(table, df), layout.gold(table), TABLE_COMMENTS[table])
+        written[layout.gold(table)] = rows
+    return written
 
 
 def gold_from_catalog(spark: SparkSession, layout: Layout) -> Gold:

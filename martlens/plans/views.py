@@ -6,10 +6,12 @@ would be counted once per line.
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from martlens.functions.amounts import as_double, flag_count, is_completed, ratio
 from martlens.functions.calendar import month_of
+from martlens.operators.joins import edge_between
 from martlens.operators.metric_view import (
     Dimension,
     ManyToOne,
@@ -28,7 +30,11 @@ def _dimension(name: str, column: str) -> Dimension:
     return Dimension(name, F.col(column), (column.split(".")[0],))
 
 
-def _whole(value):
+def _joined(gold: Gold, name: str, left: str, right: str) -> ManyToOne:
+    return ManyToOne(name, gold.table(right), edge_between(left, right).key)
+
+
+def _whole(value: Column) -> Column:
     return value.cast("bigint")
 
 
@@ -38,10 +44,10 @@ def order_analytics(gold: Gold) -> MetricView:
     return MetricView(
         source=gold.fact_orders,
         joins=[
-            ManyToOne("transactions", gold.fact_transactions, "order_id"),
-            ManyToOne("geography", gold.dim_geography, "geo_id"),
-            ManyToOne("products", gold.dim_products, "product_id"),
-            ManyToOne("customers", gold.dim_customers, "customer_id"),
+            _joined(gold, "transactions", "fact_orders", "fact_transactions"),
+            _joined(gold, "geography", "fact_orders", "dim_geography"),
+            _joined(gold, "products", "fact_orders", "dim_products"),
+            _joined(gold, "customers", "fact_orders", "dim_customers"),
         ],
         only=is_completed("transactions.status"),
         only_reads=("transactions",),
@@ -76,7 +82,7 @@ def shipment_performance(gold: Gold) -> MetricView:
     on_time_total = Part(flag_count(on_time))
     return MetricView(
         source=gold.fact_shipments,
-        joins=[ManyToOne("geography", gold.dim_geography, "geo_id")],
+        joins=[_joined(gold, "geography", "fact_shipments", "dim_geography")],
         dimensions=[
             Dimension("Ship Month", month_of(F.col("source.ship_date"))),
             _dimension("Region", "geography.region_name"),

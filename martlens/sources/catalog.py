@@ -45,15 +45,26 @@ def with_comments(df: DataFrame, comments: dict[str, str]) -> DataFrame:
     )
 
 
-def overwrite_table(df: DataFrame, table: str, comment: str | None = None) -> int:
+@dataclass(frozen=True)
+class Buckets:
+    """Storage in ``number`` buckets of one key, each sorted: tables alike in this join on the key without a shuffle."""
+
+    number: int
+    key: str
+    sorted_by: tuple[str, ...]
+
+
+def overwrite_table(df: DataFrame, table: str, comment: str | None = None, buckets: Buckets | None = None) -> int:
     """Replace a table, schema included, and return its row count, counted while the rows are written."""
     counted = Observation()
-    (
-        df.observe(counted, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .option("overwriteSchema", "true")
-        .saveAsTable(table)
-    )
+    rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    if buckets:
+        # One task per bucket, so a bucket is one file.
+        rows = rows.repartition(buckets.number, buckets.key)
+    writer = rows.write.mode("overwrite").option("overwriteSchema", "true")
+    if buckets:
+        writer = writer.bucketBy(buckets.number, buckets.key).sortBy(*buckets.sorted_by)
+    writer.saveAsTable(table)
     if comment:
         text = comment.replace("\\", "\\\\").replace("'", "\\'")
         df.sparkSession.sql(f"COMMENT ON TABLE {table} IS '{text}'")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
+from martlens.operators.joins import heaviest_key_share
 from martlens.plans.gold import (
     COLUMN_COMMENTS,
     TABLE_COMMENTS,
@@ -14,6 +16,7 @@ from martlens.plans.gold import (
     gold_from_catalog,
     land_bronze,
 )
+from martlens.plans.revenue import collected_lines
 from martlens.sources.catalog import Layout, column_comments, describe, list_tables, overwrite_table, preview
 from martlens.sources.raw import read_raw
 from tests.conftest import SMALL
@@ -92,3 +95,33 @@ def test_questions_run_as_sql_over_views(spark, gold):
         (by_sql,) = spark.sql(answer.sql).collect()
         (by_frames,) = answer.query(gold, TABLE_PARAMETERS).collect()
         assert float(by_sql[0]) == pytest.approx(float(by_frames[0]), rel=1e-12), answer.id
+
+
+def test_bucketed_facts_join_without_a_shuffle(spark, built, gold, settings):
+    layout = Layout("bucketed")
+    layout.ensure_schema(spark)
+    for name in ("customers", "products", "geography", "orders", "transactions", "shipments"):
+        overwrite_table(spark.table(LAYOUT.silver(name)), layout.silver(name))
+    assert build_gold(spark, layout, order_buckets=8)["bucketed.fact_orders"] == 4599
+    bucketed = gold_from_catalog(spark, layout)
+    settings(autoBroadcastJoinThreshold="-1")
+    query = collected_lines(bucketed).agg(F.sum("net_amount"), F.count_distinct("order_id"))
+    plan = query._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert query.collect() == collected_lines(gold).agg(F.sum("net_amount"), F.count_distinct("order_id")).collect()
+    assert column_comments(bucketed.fact_orders) == COLUMN_COMMENTS["fact_orders"]
+
+
+def test_a_hot_order_keeps_the_facts_unbucketed(spark, built):
+    layout = Layout("hot")
+    layout.ensure_schema(spark)
+    for name in ("customers", "products", "geography", "transactions", "shipments"):
+        overwrite_table(spark.table(LAYOUT.silver(name)), layout.silver(name))
+    lines = spark.table(LAYOUT.silver("orders"))
+    hot = lines.limit(1).join(spark.range(3000)).withColumn("order_line_id", F.col("id") + 10**9).drop("id")
+    overwrite_table(lines.unionByName(hot), layout.silver("orders"))
+    assert heaviest_key_share(spark.table(layout.silver("orders")), "order_id") > 1 / 8
+    assert build_gold(spark, layout, order_buckets=8)["hot.fact_orders"] == 7599
+    described = {r.col_name for r in describe(spark, layout.gold("fact_orders")).collect()}
+    assert "Num Buckets" not in described
+    assert heaviest_key_share(lines.limit(0), "order_id") == 0.0

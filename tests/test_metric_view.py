@@ -99,7 +99,12 @@ def test_revenue_adds_up_over_every_dimension(gold, dimension):
     assert revenue == pytest.approx(whole[0]) and units == whole[1]
 
 
-def test_declared_joins_have_one_match(gold):
+def test_declared_joins_have_one_match(spark, gold):
+    order_analytics(gold).require_single_matches()
+    twice = small_view(spark)
+    twice.joins["products"] = ManyToOne("products", spark.createDataFrame([(1, "A"), (1, "B")], "p int, kind string"), "p")
+    with pytest.raises(ValueError):
+        twice.require_single_matches()
     for edge in EDGES:
         require_single_match(gold.table(edge.right), edge.key)
     assert edge_between("fact_orders", "dim_products").key == "product_id"
