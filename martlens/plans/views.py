@@ -30,6 +30,9 @@ def _dimension(name: str, column: str) -> Dimension:
     return Dimension(name, F.col(column), (column.split(".")[0],))
 
 
+# The names of dimensions and measures below are fixed values: users ask for them by these names.
+
+
 def _joined(gold: Gold, name: str, left: str, right: str) -> ManyToOne:
     return ManyToOne(name, gold.table(right), edge_between(left, right).key)
 

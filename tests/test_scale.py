@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 
 import duckdb
 import pytest
@@ -161,6 +162,38 @@ class Session:
         self.getCheckpointDir = lambda: set_by_context
 
 
+def scanned_rows(df) -> list[int]:
+    """Rows every scan of the main plan handed on, the largest first; scans of subqueries are not counted."""
+    df.collect()
+    found = []
+
+    def visit(node) -> None:
+        name = node.nodeName()
+        if name.startswith("Scan parquet"):
+            found.append(node.metrics().apply("numOutputRows").value())
+        if name == "AdaptiveSparkPlan":
+            visit(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            visit(node.plan())
+        for i in range(node.children().size()):
+            visit(node.children().apply(i))
+
+    visit(df._jdf.queryExecution().executedPlan())
+    return sorted(found, reverse=True)
+
+
+def test_date_bounds_skip_most_of_a_file(spark, gold, tmp_path):
+    copies = gold.fact_orders.join(F.broadcast(spark.range(40)))
+    lines = copies.withColumn("order_line_id", F.col("order_line_id") * 40 + F.col("id")).drop("id")
+    lines = lines.coalesce(1).sortWithinPartitions("order_date", "order_id")
+    lines.write.option("parquet.block.size", 1 << 18).parquet(f"{tmp_path}/lines")
+    many = replace(gold, fact_orders=spark.read.parquet(f"{tmp_path}/lines"))
+    whole = 40 * 4599
+    assert scanned_rows(bank.units_total(many, TABLE_PARAMETERS))[0] == whole
+    for query in (bank.fiscal_quarter_revenue, bank.active_customers, bank.latest_month_summary):
+        assert scanned_rows(query(many, TABLE_PARAMETERS))[0] < whole / 4, query
+
+
 def test_shared_folder_is_taken_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert shared_folder(Session("spark://host:7077", "hdfs://shared/x/")) == "hdfs://shared/x"
