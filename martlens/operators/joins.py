@@ -57,8 +57,12 @@ def require_single_match(df: DataFrame, key: str) -> None:
         raise ValueError(f"{key} repeats on the 'one' side of a join")
 
 
-def heaviest_key_share(df: DataFrame, key: str) -> float:
-    """Share of all rows that the most frequent key holds; 0 for an empty table. Counts are merged before the shuffle."""
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    (found,) = per_key.agg((F.max("rows") / F.sum("rows")).alias("share")).collect()
-    return found.share or 0.0
+def bucket_imbalance(df: DataFrame, key: str, buckets: int) -> float:
+    """Rows in the fullest of ``buckets`` hash buckets of a key, as a multiple of an even share; 0 for an empty table.
+
+    One row per bucket and task is shuffled, however many keys there are.
+    """
+    bucket = F.pmod(F.hash(key), F.lit(buckets)).alias("bucket")
+    per_bucket = df.groupBy(bucket).agg(F.count(F.lit(1)).alias("rows"))
+    (found,) = per_bucket.agg((F.max("rows") * buckets / F.sum("rows")).alias("imbalance")).collect()
+    return found.imbalance or 0.0

@@ -11,12 +11,19 @@ from threading import Lock
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from martlens.operators.joins import heaviest_key_share
+from martlens.operators.joins import bucket_imbalance
 from martlens.operators.values import value_index
 from martlens.plans import silver
-from martlens.session import apply_scale_settings, shared_folder
+from martlens.session import apply_scale_settings, session_like, shared_folder
 from martlens.sources import landing
-from martlens.sources.catalog import Buckets, Layout, overwrite_files, overwrite_table, with_comments
+from martlens.sources.catalog import (
+    Buckets,
+    Layout,
+    overwrite_files,
+    overwrite_table,
+    stored_bytes,
+    with_comments,
+)
 from martlens.sources.raw import Raw, read_raw
 
 TABLE_COMMENTS = {
@@ -142,10 +149,10 @@ def in_row_order(name: str, df: DataFrame) -> DataFrame:
     return df.sortWithinPartitions(*ROW_ORDER[name]) if name in ROW_ORDER else df
 
 
-def _from_raw(raw: Raw) -> dict[str, DataFrame]:
+def _from_raw(raw: Raw, order_buckets: int | None = None) -> dict[str, DataFrame]:
     """The tables that are cleaned from raw tables: the order lines and the dimensions."""
     return {
-        "fact_orders": documented("fact_orders", silver.silver_orders(landing.bronze_orders(raw))),
+        "fact_orders": documented("fact_orders", silver.silver_orders(landing.bronze_orders(raw, order_buckets))),
         "dim_customers": documented("dim_customers", silver.silver_customers(landing.bronze_customers(raw))),
         "dim_products": documented("dim_products", silver.silver_products(landing.bronze_products(raw))),
         "dim_geography": documented("dim_geography", silver.silver_geography(landing.bronze_geography(raw))),
@@ -175,17 +182,21 @@ INDEXED_COLUMNS = {
     "dim_customers": ["segment"],
 }
 
+# Layout of the facts: about this much raw line data per bucket, Spark's own limit on their number, and how much fuller
+# than an even share the fullest may be.
+BUCKET_BYTES = 256 * 1024 * 1024
+MOST_BUCKETS = 100_000
+MOST_IMBALANCE = 3.0
+
 _building = Lock()
 _opened: dict[tuple[str, str], Gold] = {}
 _indexes: dict[tuple[str, str], DataFrame] = {}
 
 
 def open_gold(spark: SparkSession, raw_dir: str) -> Gold:
-    """The star schema over one raw folder, built once per application as parquet in the shared folder.
+    """The star schema over one raw folder, built once per application in the shared folder.
 
-    Order lines are written first; payments and shipments are rolled up from the written lines, so the join and clean-up
-    of the line table run once however many questions follow. On a cluster that names no shared folder the tables
-    stay lazy and every question derives what it needs.
+    On a cluster that names no shared folder the tables stay lazy and every question derives what it needs.
     """
     apply_scale_settings(spark)
     folder = _working_folder(spark, raw_dir)
@@ -229,19 +240,62 @@ def _stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def even_buckets(df: DataFrame, key: str, wanted: int) -> int | None:
+    """``wanted`` if hash buckets of the key come out even enough to be one task each, else None.
+
+    A key with very many rows would fill a bucket on its own. Its table is better left unbucketed: its joins are then
+    shuffled and the heavy partition is split.
+    """
+    return wanted if bucket_imbalance(df, key, wanted) <= MOST_IMBALANCE else None
+
+
 def write_gold(spark: SparkSession, raw_dir: str, target: str) -> Gold:
-    """Build the star schema from a raw folder as parquet under ``target``.
+    """Build the star schema from a raw folder under ``target``.
 
-    Tables that do not depend on each other are written by concurrent jobs, so small ones fill the gaps of large ones.
+    Order lines are written first; payments and shipments are rolled up from the written lines, so the join and clean-up
+    of the line table run once. Unless an order is too heavy for it, the facts are bucketed on the order key: the many joins
+    between them then need no shuffle. Tables that do not depend on each other are written by concurrent jobs.
     """
-    def store(name: str, df: DataFrame) -> Callable[[], DataFrame]:
-        return inheritable_thread_target(spark)(lambda: _stored(spark, in_row_order(name, df), f"{target}/{name}"))
+    size = stored_bytes(spark, f"{raw_dir}/lineitem.parquet")
+    wanted = min(MOST_BUCKETS, max(spark.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES)))
+    order_buckets = even_buckets(read_raw(spark, raw_dir).lineitem, "l_orderkey", wanted)
+    # As many shuffle partitions as buckets: the join of the lines then leaves one task per bucket.
+    counts = dict.fromkeys(["shuffle__partitions", "adaptive__coalescePartitions__initialPartitionNum"], str(order_buckets))
+    building = session_like(spark, **(counts if order_buckets else {}))
+
+    def path_of(name: str) -> str:
+        return f"{target}/{name}"
+
+    def table_of(name: str) -> str | None:
+        if order_buckets and name in ROW_ORDER:
+            return f"martlens_{target.rsplit('/', 1)[-1]}_{name}".replace("-", "_")
+        return None
+
+    def store(name: str, df: DataFrame) -> None:
+        if table := table_of(name):
+            buckets = Buckets(order_buckets, "order_id", tuple(ROW_ORDER[name]))
+            overwrite_table(df, table, buckets=buckets, path=path_of(name))
+        else:
+            overwrite_files(in_row_order(name, df), path_of(name))
+
+    def stored(session: SparkSession, name: str, df: DataFrame) -> DataFrame:
+        table = table_of(name)
+        return session.table(table) if table else session.read.schema(df.schema).parquet(path_of(name))
+
+    def job(name: str, df: DataFrame) -> Callable[[], None]:
+        return inheritable_thread_target(building)(lambda: store(name, df))
 
+    frames = _from_raw(read_raw(building, raw_dir), order_buckets)
     with ThreadPoolExecutor() as pool:
-        running = {name: pool.submit(store(name, df)) for name, df in _from_raw(read_raw(spark, raw_dir)).items()}
-        rolled_up = _from_lines(running["fact_orders"].result())
-        running.update({name: pool.submit(store(name, df)) for name, df in rolled_up.items()})
-        return Gold(**{name: job.result() for name, job in running.items()})
+        running = {name: pool.submit(job(name, df)) for name, df in frames.items()}
+        running.pop("fact_orders").result()
+        rolled_up = _from_lines(stored(building, "fact_orders", frames["fact_orders"]))
+        for name, df in rolled_up.items():
+            ready = df.repartition(order_buckets, "order_id") if order_buckets else df
+            running[name] = pool.submit(job(name, ready))
+        for written in running.values():
+            written.result()
+    return Gold(**{name: stored(spark, name, df) for name, df in {**frames, **rolled_up}.items()})
 
 
 # ---- catalog build -----------------------------------------------------------------------------------------------
@@ -277,21 +331,20 @@ def build_silver(spark: SparkSession, layout: Layout) -> dict[str, int]:
 def build_gold(spark: SparkSession, layout: Layout, order_buckets: int | None = None) -> dict[str, int]:
     """Write the six gold tables with table and column comments; returns the row count of each.
 
-    With ``order_buckets`` the facts are stored in as many buckets of the order key, so that they join without a shuffle.
-    A bucket is written and read by one task. Should one order hold more lines than an even bucket would, the facts stay
-    unbucketed, and joins shuffle and split that order instead.
+    With ``order_buckets`` the facts are stored in as many buckets of the order key, so that they join without a shuffle,
+    unless an order is too heavy for that.
     """
-    if order_buckets and heaviest_key_share(spark.table(layout.silver("orders")), "order_id") > 1 / order_buckets:
-        order_buckets = None
+    if order_buckets:
+        order_buckets = even_buckets(spark.table(layout.silver("orders")), "order_id", order_buckets)
     written = {}
     for table, (name, _) in _CLEANING.items():
-        df = documented(table, spark.table(layout.silver(name)))
+        df, buckets = documented(table, spark.table(layout.silver(name))), None
         if order_buckets and table in ROW_ORDER:
+            df = df.repartition(order_buckets, "order_id")
             buckets = Buckets(order_buckets, "order_id", tuple(ROW_ORDER[table]))
-            rows = overwrite_table(df, layout.gold(table), TABLE_COMMENTS[table], buckets)
         else:
-            rows = overwrite_table(in_row_order(table, df), layout.gold(table), TABLE_COMMENTS[table])
-        written[layout.gold(table)] = rows
+            df = in_row_order(table, df)
+        written[layout.gold(table)] = overwrite_table(df, layout.gold(table), TABLE_COMMENTS[table], buckets)
     return written
 
 

@@ -23,6 +23,17 @@ def apply_scale_settings(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+def session_like(spark: SparkSession, **settings: str) -> SparkSession:
+    """A session over the same catalog with the same settings, but for those given (dots written as ``__``)."""
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            other.conf.set(key, value)
+    for key, value in settings.items():
+        other.conf.set("spark.sql." + key.replace("__", "."), value)
+    return other
+
+
 def shared_folder(spark: SparkSession) -> str | None:
     """The folder every executor can reach, or None on a cluster that names none.
 

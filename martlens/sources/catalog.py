@@ -54,14 +54,25 @@ class Buckets:
     sorted_by: tuple[str, ...]
 
 
-def overwrite_table(df: DataFrame, table: str, comment: str | None = None, buckets: Buckets | None = None) -> int:
-    """Replace a table, schema included, and return its row count, counted while the rows are written."""
+def overwrite_table(
+    df: DataFrame,
+    table: str,
+    comment: str | None = None,
+    buckets: Buckets | None = None,
+    path: str | None = None,
+) -> int:
+    """Replace a table, schema included, and return its row count, counted while the rows are written.
+
+    A frame to be bucketed should be partitioned on the key already, one task per bucket, so that a bucket is one file.
+    """
     counted = Observation()
-    rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-    if buckets:
-        # One task per bucket, so a bucket is one file.
-        rows = rows.repartition(buckets.number, buckets.key)
-    writer = rows.write.mode("overwrite").option("overwriteSchema", "true")
+    writer = (
+        df.observe(counted, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite")
+        .option("overwriteSchema", "true")
+    )
+    if path:
+        writer = writer.option("path", path)
     if buckets:
         writer = writer.bucketBy(buckets.number, buckets.key).sortBy(*buckets.sorted_by)
     writer.saveAsTable(table)
@@ -78,6 +89,12 @@ def overwrite_files(df: DataFrame, path: str) -> int:
     return counted.get["rows"]
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files under a path, from the file listing."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
 def list_tables(spark: SparkSession, layout: Layout) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {layout.full_schema}")
 

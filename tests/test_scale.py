@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
-from martlens.plans.gold import open_gold
+from martlens.plans.gold import open_gold, write_gold
 from martlens.plans.parameters import TABLE_PARAMETERS
 from martlens.plans.queries import all_queries
 from martlens.plans import bank, examples, silver
@@ -108,12 +108,42 @@ def test_copies_of_one_line_are_split_and_reduced_before_the_shuffle(spark, sett
     assert re.search(r"SortAggregate(?:(?!SortAggregate).)*Exchange hash(?:(?!Exchange).)*partial_min", plan, re.S)
 
 
-def test_line_table_is_shuffled_once_without_skew(spark, settings):
+@pytest.mark.parametrize("order_buckets", [None, 5, 300])
+def test_line_table_is_shuffled_once_without_skew(spark, settings, order_buckets):
     open_gold(spark, SMALL)
-    settings(autoBroadcastJoinThreshold="-1")
-    plan = initial_plan(silver.silver_orders(landing.bronze_orders(read_raw(spark, SMALL))))
-    above_join = plan[: plan.index("SortMergeJoin")]
+    settings(autoBroadcastJoinThreshold="-1", shuffle__partitions=str(order_buckets or 8))
+    plan = initial_plan(silver.silver_orders(landing.bronze_orders(read_raw(spark, SMALL), order_buckets)))
+    above_join, below_join = plan.split("SortMergeJoin", 1)
     assert "Exchange" not in above_join
+    lines = below_join[: below_join.index("lineitem.parquet")]
+    assert lines.count("Exchange") == 1
+    assert "hashpartitioning(l_orderkey" in lines and f", {order_buckets or 8})" in lines
+
+
+def test_even_facts_are_bucketed_and_join_without_a_shuffle(spark, settings, gold):
+    for name in ("fact_orders", "fact_transactions", "fact_shipments"):
+        files = gold.table(name).inputFiles()
+        assert len(files) == spark.sparkContext.defaultParallelism
+    settings(autoBroadcastJoinThreshold="-1")
+    for query in (bank.revenue_with_internal, bank.unshipped_order_count, bank.refunded_but_shipped, bank.gross_profit):
+        plan = initial_plan(query(gold, TABLE_PARAMETERS))
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan, query
+
+
+@pytest.mark.parametrize("partitions", ["3", "64"])
+def test_a_bucket_is_one_file_whatever_the_session_shuffles_into(spark, settings, tmp_path, partitions):
+    settings(shuffle__partitions=partitions, autoBroadcastJoinThreshold="-1")
+    built = write_gold(spark, SMALL, f"{tmp_path}/files{partitions}")
+    for name in ("fact_orders", "fact_transactions", "fact_shipments"):
+        assert len(built.table(name).inputFiles()) == spark.sparkContext.defaultParallelism
+    assert built.fact_orders.count() == 4599
+    assert spark.conf.get("spark.sql.shuffle.partitions") == partitions
+
+
+def test_a_heavy_order_leaves_the_facts_unbucketed(spark, settings, skewed_dir):
+    settings(**LARGE_SCALE)
+    plan = initial_plan(bank.revenue_with_internal(open_gold(spark, skewed_dir), TABLE_PARAMETERS))
+    assert "Exchange hashpartitioning(order_id" in plan and "Bucketed: true" not in plan
 
 
 @pytest.mark.parametrize("name", sorted(all_queries()))
