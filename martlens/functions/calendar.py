@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 # Fixed value: the fiscal year starts on February 1, one month after the calendar year.
 FISCAL_SHIFT_MONTHS = 1
-ACTIVE_DAYS = 90
 
 
 def month_of(day: str | Column) -> Column:

@@ -82,9 +82,12 @@ def code_table(spark: SparkSession, column: str) -> DataFrame:
 
 
 def word_table(spark: SparkSession) -> DataFrame:
-    """Every word with the column it concerns and the code it stands for (NULL: the column itself)."""
+    """Every word with what it concerns and the code it stands for.
+
+    Words without a code are other names of the column, filter, measure or field itself.
+    """
     rows = [(normalised(w), col, code) for col, codes in CODE_WORDS.items() for code, ws in codes.items() for w in ws]
-    rows += [(normalised(w), col, None) for col, ws in COLUMN_WORDS.items() for w in ws]
+    rows += [(normalised(w), name, None) for name, ws in {**COLUMN_WORDS, **SNIPPET_WORDS}.items() for w in ws]
     term, column, code = zip(*rows)
     kinds = pa.schema([("term", pa.string()), ("column_name", pa.string()), ("code", pa.string())])
     return spark.createDataFrame(pa.table([term, column, code], schema=kinds))

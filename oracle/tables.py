@@ -30,8 +30,8 @@ bronze_orders AS (
          CAST(l.l_discount AS DECIMAL(4,2)) AS discount_pct,
          CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4))
            AS net_amount,
-         CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(0.01 AS DECIMAL(3,2)) * CAST(30 + l.l_partkey % 31 AS DECIMAL(3,0))
-           AS DECIMAL(18,4)) AS cogs_amount,
+         CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(0.01 AS DECIMAL(3,2))
+              * CAST(30 + l.l_partkey % 31 AS DECIMAL(3,0)) AS DECIMAL(18,4)) AS cogs_amount,
          ROW_NUMBER() OVER (
            PARTITION BY l.l_orderkey, l.l_linenumber
            ORDER BY l.l_shipdate, l.l_partkey, l.l_suppkey, l.l_extendedprice, l.l_quantity, l.l_discount, l.l_tax,

@@ -28,7 +28,8 @@ def differences(spark_df, connection: duckdb.DuckDBPyConnection, sql: str) -> li
     if names != sorted(spark_df.columns):
         return [f"columns {sorted(spark_df.columns)} != {names}"]
     found = []
-    kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+    kinds |= {"date": "DATE", "boolean": "BOOLEAN"}
     oracle_kinds = dict(zip(relation.columns, map(str, relation.types)))
     for name, kind in spark_df.dtypes:
         if kinds.get(kind) != oracle_kinds[name]:

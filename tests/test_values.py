@@ -84,3 +84,9 @@ def test_rows_meaning_keeps_rows_once(spark):
         [("t", "kind", "a"), ("u", "kind", "a"), ("t", "other", "b")], "term string, column_name string, code string"
     )
     assert [r.id for r in rows_meaning(facts, "kind", resolved).collect()] == [1]
+
+
+def test_words_cover_columns_and_snippets(spark):
+    rows = {tuple(r) for r in word_table(spark).collect()}
+    assert ("province", "state_code", None) in rows and ("big orders", "is_high_value", None) in rows
+    assert ("b2b", "segment", "Corporate") in rows and len(rows) == 22 + 4 + 13
