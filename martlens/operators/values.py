@@ -59,18 +59,22 @@ def resolve(terms: DataFrame, index: DataFrame, words: DataFrame) -> DataFrame:
         .distinct()
     )
     exact = asked.join(known, "term").select("term", "column_name", "code", F.lit(0).alias("distance"))
-    unknown = asked.join(known.select("term"), "term", "left_anti")
-    left = unknown.select("term", F.explode(_leftovers("term", edits_allowed("term"))).alias("leftover"))
-    right = known.select(
+    unknown = asked.join(known.select("term"), "term", "left_anti").withColumn("edits", edits_allowed("term"))
+    left = unknown.where("edits > 0").select(
+        "term", "edits", F.explode(_leftovers(F.col("term"), F.col("edits"))).alias("leftover")
+    )
+    per_edits = known.withColumn("edits", F.explode(F.array(*[F.lit(n) for n in range(1, MOST_EDITS + 1)])))
+    right = per_edits.select(
         F.col("term").alias("word"),
         "column_name",
         "code",
-        F.explode(_leftovers("term", F.lit(MOST_EDITS))).alias("leftover"),
+        "edits",
+        F.explode(_leftovers(F.col("term"), F.col("edits"))).alias("leftover"),
     )
     near = (
-        left.join(right, "leftover")
+        left.join(right, ["leftover", "edits"])
         .withColumn("distance", F.levenshtein("term", "word"))
-        .where(F.col("distance") <= edits_allowed("term"))
+        .where("distance <= edits")
         .groupBy("term", "column_name")
         .agg(F.min(F.struct("distance", "code")).alias("best"))
         .select("term", "column_name", "best.code", "best.distance")
@@ -84,12 +88,11 @@ def rows_meaning(df: DataFrame, column: str, resolved: DataFrame) -> DataFrame:
     return df.join(codes, column, "left_semi")
 
 
-def _leftovers(text: str | Column, deletions: Column) -> Column:
+def _leftovers(text: Column, deletions: Column) -> Column:
     """The text itself and what is left after deleting one or two letters, as far as ``deletions`` goes."""
-    whole = F.col(text) if isinstance(text, str) else text
-    one = F.when((deletions >= 1) & (F.length(whole) >= 1), _one_letter_less(whole)).otherwise(F.array())
+    one = F.when((deletions >= 1) & (F.length(text) >= 1), _one_letter_less(text)).otherwise(F.array())
     two = F.when(deletions >= 2, F.flatten(F.transform(one, _one_letter_less))).otherwise(F.array())
-    return F.array_distinct(F.concat(F.array(whole), one, two))
+    return F.array_distinct(F.concat(F.array(text), one, two))
 
 
 def _one_letter_less(text: Column) -> Column:
