@@ -5,11 +5,13 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as registered
+from martlens.plans.queries import all_queries
+from oracle.statements import statements
 from tests.compare import differences, oracle_connection
 from tests.conftest import SMALL
 
-QUERIES = registered.queries()
-STATEMENTS = registered.oracle_sql()
+QUERIES = all_queries()
+STATEMENTS = statements()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +21,8 @@ def connection():
 
 def test_every_query_has_a_statement():
     assert sorted(QUERIES) == sorted(STATEMENTS)
+    assert set(QUERIES) <= set(registered.queries())
+    assert set(STATEMENTS) <= set(registered.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
