@@ -44,12 +44,18 @@ COLUMN_WORDS = {
     "state_code": ["state", "province"],
 }
 SNIPPET_WORDS = {
-    "is_high_value": ["large orders", "big orders", "high value"],
-    "is_refunded": ["refunds only", "just refunds"],
-    "net_of_refunds": ["net revenue", "revenue after refunds"],
-    "distinct_customers": ["unique customers", "number of customers"],
-    "age_group": ["age bracket", "age band"],
-    "order_size": ["order size", "basket size"],
+    "filter": {
+        "is_high_value": ["large orders", "big orders", "high value"],
+        "is_refunded": ["refunds only", "just refunds"],
+    },
+    "measure": {
+        "net_of_refunds": ["net revenue", "revenue after refunds"],
+        "distinct_customers": ["unique customers", "number of customers"],
+    },
+    "field": {
+        "age_group": ["age bracket", "age band"],
+        "order_size": ["order size", "basket size"],
+    },
 }
 
 
@@ -82,12 +88,14 @@ def code_table(spark: SparkSession, column: str) -> DataFrame:
 
 
 def word_table(spark: SparkSession) -> DataFrame:
-    """Every word with what it concerns and the code it stands for.
+    """Every word with its kind, the name of what it concerns and the code it stands for.
 
-    Words without a code are other names of the column, filter, measure or field itself.
+    The kind is code, column, filter, measure or field; only words for codes have a code.
     """
-    rows = [(normalised(w), col, code) for col, codes in CODE_WORDS.items() for code, ws in codes.items() for w in ws]
-    rows += [(normalised(w), name, None) for name, ws in {**COLUMN_WORDS, **SNIPPET_WORDS}.items() for w in ws]
-    term, column, code = zip(*rows)
-    kinds = pa.schema([("term", pa.string()), ("column_name", pa.string()), ("code", pa.string())])
-    return spark.createDataFrame(pa.table([term, column, code], schema=kinds))
+    rows = [
+        (normalised(w), "code", col, code) for col, codes in CODE_WORDS.items() for code, ws in codes.items() for w in ws
+    ]
+    for kind, names in {"column": COLUMN_WORDS, **SNIPPET_WORDS}.items():
+        rows += [(normalised(w), kind, name, None) for name, words in names.items() for w in words]
+    kinds = pa.schema([(name, pa.string()) for name in ("term", "kind", "column_name", "code")])
+    return spark.createDataFrame(pa.table(list(zip(*rows)), schema=kinds))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,6 +60,38 @@ def require_single_match(df: DataFrame, key: str) -> None:
         raise ValueError(f"{key} repeats on the 'one' side of a join")
 
 
+def edge_counts(table: Callable[[str], DataFrame], edges: list[Edge]) -> DataFrame:
+    """Per edge: rows of the 'many' side, those with a partner, and keys that repeat on the 'one' side.
+
+    Every table is read once, for all edges it takes part in. A row counts on a side of an edge under its key; sides meet in
+    one aggregation per edge and key, which is reduced in each task first, so no table is joined. A null key has no partner.
+    """
+    sides: dict[str, list] = defaultdict(list)
+    for number, edge in enumerate(edges):
+        for name, many in ((edge.left, 1), (edge.right, 0)):
+            key = F.col(edge.key).cast("bigint").alias("key")
+            sides[name].append(F.struct(F.lit(number).alias("edge"), key, F.lit(many).alias("many")))
+    seen = reduce(DataFrame.unionByName, [table(name).select(F.inline(F.array(*found))) for name, found in sides.items()])
+    per_key = seen.groupBy("edge", "key").agg(F.sum("many").alias("many"), F.sum(1 - F.col("many")).alias("one"))
+    partnered = F.col("key").isNotNull() & (F.col("one") > 0)
+    names = [F.array(*[F.lit(getattr(edge, side)) for edge in edges]) for side in ("left", "right")]
+    return (
+        per_key.groupBy("edge")
+        .agg(
+            F.sum("many").alias("rows"),
+            F.sum(F.when(partnered, F.col("many")).otherwise(F.lit(0))).alias("matched_rows"),
+            F.count(F.when(F.col("one") > 1, 1)).alias("repeated_keys"),
+        )
+        .select(
+            F.get(names[0], "edge").alias("left_table"),
+            F.get(names[1], "edge").alias("right_table"),
+            "rows",
+            "matched_rows",
+            "repeated_keys",
+        )
+    )
+
+
 def bucket_imbalance(df: DataFrame, key: str, buckets: int) -> float:
     """Rows in the fullest of ``buckets`` hash buckets of a key, as a multiple of an even share; 0 for an empty table.
 

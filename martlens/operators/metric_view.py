@@ -37,10 +37,10 @@ class Dimension:
 
 @dataclass(frozen=True)
 class Part:
-    """One plain aggregate of a measure. Sums and counts of subgroups add up, distinct counts do not."""
+    """One plain aggregate of a measure. Sums and counts of subgroups add up; distinct counts need the values kept apart."""
 
     aggregate: Column
-    adds_up: bool = True
+    distinct: Column | None = None
 
 
 def total(value: Column) -> Part:
@@ -56,7 +56,7 @@ def value_count(value: Column) -> Part:
 
 
 def distinct_count(value: Column) -> Part:
-    return Part(F.count_distinct(value), adds_up=False)
+    return Part(F.count_distinct(value), value)
 
 
 @dataclass(frozen=True)
@@ -68,10 +68,6 @@ class Measure:
     finish: Callable[..., Column]
     reads: tuple[str, ...] = (SOURCE,)
 
-    @property
-    def adds_up(self) -> bool:
-        return all(part.adds_up for part in self.parts)
-
     def over_rows(self) -> Column:
         return self.finish(*[part.aggregate for part in self.parts]).alias(self.name)
 
@@ -113,15 +109,16 @@ class MetricView:
 
         needed = set(self.only_reads).union(*[m.reads for m in wanted], *[d.reads for d, _ in tests]) - {SOURCE}
         for_keys = set().union(*[d.reads for d in keys]) - {SOURCE} - needed
-        apart = self._joined_after_totals(keys, wanted, for_keys)
-        rows = self._joined(needed if apart else needed | for_keys)
+        if not all(for_keys.isdisjoint(d.reads) or for_keys.issuperset(d.reads) for d in keys):
+            needed, for_keys = needed | for_keys, set()
+        rows = self._joined(needed)
         if self.only is not None:
             rows = rows.where(self.only)
         for dimension, test in tests:
             rows = rows.where(test(dimension.expr))
 
-        if apart:
-            result = self._totals_then_join(rows, self.joins[apart], keys, wanted)
+        if for_keys:
+            result = self._totals_then_join(rows, [j for j in self.joins.values() if j.name in for_keys], keys, wanted)
         else:
             grouped = rows.groupBy(*[d.expr.alias(d.name) for d in keys])
             result = grouped.agg(*[m.over_rows() for m in wanted])
@@ -142,30 +139,40 @@ class MetricView:
                 rows = rows.join(join.table.alias(name), on, "left")
         return rows
 
-    @staticmethod
-    def _joined_after_totals(keys: list[Dimension], wanted: list[Measure], for_keys: set[str]) -> str | None:
-        """The table that is needed for nothing but the grouping, if totals per its key say all there is to say.
-
-        A distinct count would have to be grouped on as well, which leaves about as many rows as there were.
-        """
-        if len(for_keys) != 1 or not all(m.adds_up for m in wanted):
-            return None
-        (name,) = for_keys
-        return name if all(set(d.reads) == {name} for d in keys) else None
-
     def _totals_then_join(
-        self, rows: DataFrame, join: ManyToOne, keys: list[Dimension], wanted: list[Measure]
+        self, rows: DataFrame, joins: list[ManyToOne], keys: list[Dimension], wanted: list[Measure]
     ) -> DataFrame:
-        """Add up per join key first, so that one row per key and task meets the joined table instead of every row."""
-        columns = {m.name: [f"part_{i}_{at}" for at in range(len(m.parts))] for i, m in enumerate(wanted)}
-        per_key = rows.groupBy(F.col(f"{SOURCE}.{join.key}").alias(join.key)).agg(
-            *[part.aggregate.alias(column) for m in wanted for part, column in zip(m.parts, columns[m.name])]
+        """Add up before the tables are joined that are needed for nothing but the grouping.
+
+        The rows are added up per join key, per dimension that needs none of these tables, and per value that is counted
+        distinct; what is left of them meets the tables. Sums and counts are added up again, distinct values counted then.
+        """
+        apart = {join.name for join in joins}
+        own = {d.name: f"key_{i}" for i, d in enumerate(keys) if apart.isdisjoint(d.reads)}
+        parts = [part for m in wanted for part in m.parts]
+        columns = [f"part_{i}" for i in range(len(parts))]
+        joined_on = {join.key: join.key for join in joins}
+        first = rows.groupBy(
+            *[F.col(f"{SOURCE}.{key}").alias(key) for key in joined_on],
+            *[d.expr.alias(own[d.name]) for d in keys if d.name in own],
+            *[p.distinct.alias(c) for p, c in zip(parts, columns) if p.distinct is not None],
         )
-        on = F.col(f"{SOURCE}.{join.key}") == F.col(f"{join.name}.{join.key}")
-        met = per_key.alias(SOURCE).join(join.table.alias(join.name), on, "left")
-        return met.groupBy(*[d.expr.alias(d.name) for d in keys]).agg(
-            *[m.finish(*[F.sum(column) for column in columns[m.name]]).alias(m.name) for m in wanted]
+        added = [p.aggregate.alias(c) for p, c in zip(parts, columns) if p.distinct is None]
+        met = (first.agg(*added) if added else first.agg(F.lit(1).alias("one"))).alias(SOURCE)
+        for join in joins:
+            on = F.col(f"{SOURCE}.{join.key}") == F.col(f"{join.name}.{join.key}")
+            met = met.join(join.table.alias(join.name), on, "left")
+        again = [
+            F.sum(f"{SOURCE}.{c}") if p.distinct is None else F.count_distinct(f"{SOURCE}.{c}") for p, c in zip(parts, columns)
+        ]
+        finished, at = [], 0
+        for m in wanted:
+            finished.append(m.finish(*again[at : at + len(m.parts)]).alias(m.name))
+            at += len(m.parts)
+        grouped = met.groupBy(
+            *[F.col(f"{SOURCE}.{own[d.name]}").alias(d.name) if d.name in own else d.expr.alias(d.name) for d in keys]
         )
+        return grouped.agg(*finished)
 
 
 def _named(known: Mapping[str, object], name: str, kind: str):

@@ -16,7 +16,7 @@ from martlens.functions.amounts import (
     net_of_refunds,
     ratio,
 )
-from martlens.functions.calendar import in_fiscal_quarter_of, month_of
+from martlens.functions.calendar import fiscal_quarter_days, month_of, ordered_between, ordered_since
 from martlens.functions.fields import age_group
 from martlens.functions.vocabulary import means
 from martlens.operators.joins import with_partner
@@ -261,7 +261,7 @@ def region_most_unshipped(gold: Gold, p: Parameters) -> DataFrame:
 
 @_asks("b33_fiscal_quarter_revenue", "Revenue in the last fiscal quarter", "rules", "advanced")
 def fiscal_quarter_revenue(gold: Gold, p: Parameters) -> DataFrame:
-    return collected_total(gold, gold.fact_orders.where(in_fiscal_quarter_of("order_date", p.fiscal_as_of)))
+    return collected_total(gold, gold.fact_orders.where(ordered_between(*fiscal_quarter_days(p.fiscal_as_of))))
 
 
 @_asks("b34_revenue_without_internal", "Completed revenue without internal accounts", "rules", "advanced")
@@ -276,7 +276,7 @@ def revenue_without_internal(gold: Gold, p: Parameters) -> DataFrame:
 def active_customers(gold: Gold, p: Parameters) -> DataFrame:
     # The first day that counts is worked out inside the subquery, so the scan gets a plain bound.
     since = gold.fact_orders.agg(F.date_sub(F.max("order_date"), p.active_days)).scalar()
-    recent = gold.fact_orders.where(F.col("order_date") >= since)
+    recent = gold.fact_orders.where(ordered_since(since))
     return recent.agg(F.count_distinct("customer_id").alias("customers"))
 
 
@@ -289,7 +289,7 @@ def revenue_with_internal(gold: Gold, p: Parameters) -> DataFrame:
 def latest_month_summary(gold: Gold, p: Parameters) -> DataFrame:
     latest = gold.fact_orders.agg(month_of(F.max("order_date"))).scalar()
     # No line is later than the latest month; the bound only spares the scan the months before.
-    recent = replace(gold, fact_orders=gold.fact_orders.where(F.col("order_date") >= latest))
+    recent = replace(gold, fact_orders=gold.fact_orders.where(F.col("order_month") >= latest))
     return order_analytics(recent).query(
         measures=["Total Revenue", "Order Count", "Gross Margin Pct"],
         where={"Order Month": lambda month: month == latest},
@@ -305,7 +305,7 @@ def internal_accounts(gold: Gold, p: Parameters) -> DataFrame:
 def revenue_by_country(gold: Gold, p: Parameters) -> DataFrame:
     outside = gold.dim_customers.where(~F.col("is_internal"))
     return (
-        with_partner(collected_lines(gold), outside, "customer_id")
+        with_partner(collected_per(gold, "customer_id", "geo_id"), outside, "customer_id")
         .groupBy("geo_id")
         .agg(F.sum("net_amount").alias("net_amount"))
         .join(gold.dim_geography, "geo_id")

@@ -71,10 +71,12 @@ def monthly_net_revenue(gold: Gold, p: Parameters) -> DataFrame:
 def margin_without_internal(gold: Gold, p: Parameters) -> DataFrame:
     """Margin per subcategory over all orders, paid or not, of outside customers."""
     outside = gold.dim_customers.where(~F.col("is_internal"))
+    margin = F.sum(F.col("net_amount") - F.col("cogs_amount")).alias("margin")
+    per_customer = gold.fact_orders.groupBy("customer_id", "product_id").agg(margin, F.sum("net_amount").alias("net_amount"))
     per_product = (
-        with_partner(gold.fact_orders, outside, "customer_id")
+        with_partner(per_customer, outside, "customer_id")
         .groupBy("product_id")
-        .agg(F.sum(F.col("net_amount") - F.col("cogs_amount")).alias("margin"), F.sum("net_amount").alias("net_amount"))
+        .agg(F.sum("margin").alias("margin"), F.sum("net_amount").alias("net_amount"))
     )
     return (
         per_product.join(gold.dim_products, "product_id")

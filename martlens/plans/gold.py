@@ -2,29 +2,18 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields
-from threading import Lock
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from martlens.functions.calendar import month_of
 from martlens.operators.joins import bucket_imbalance
 from martlens.operators.values import value_index
 from martlens.plans import silver
-from martlens.session import apply_scale_settings, session_like, shared_folder
+from martlens.session import apply_scale_settings
 from martlens.sources import landing
-from martlens.sources.catalog import (
-    Buckets,
-    Layout,
-    overwrite_files,
-    overwrite_table,
-    stored_bytes,
-    with_comments,
-)
-from martlens.sources.raw import Raw, read_raw
+from martlens.sources.catalog import Buckets, Layout, overwrite_table, with_comments
+from martlens.sources.raw import Raw
 
 TABLE_COMMENTS = {
     "dim_customers": "Customers, one row each.",
@@ -73,6 +62,7 @@ COLUMN_COMMENTS = {
         "discount_pct": "Discount as a fraction of the price.",
         "net_amount": "Amount charged for the line, discount taken off, in the currency of the order.",
         "cogs_amount": "Cost of the goods on the line.",
+        "order_month": "First day of the month of the order; the lines are stored by it.",
     },
     "fact_transactions": {
         "transaction_id": "Key of the payment.",
@@ -97,10 +87,13 @@ COLUMN_COMMENTS = {
     },
 }
 
+# The lines are stored in a folder per month, so that bounds on the order date leave other months unread.
+MONTHS = {"fact_orders": "order_month"}
+
 # Order of the rows inside each written file. Date bounds then skip most of a file by its own statistics, and the lines
 # of an order, which share a date, stay next to each other.
 ROW_ORDER = {
-    "fact_orders": ["order_date", "order_id", "order_line_id"],
+    "fact_orders": ["order_month", "order_date", "order_id", "order_line_id"],
     "fact_transactions": ["txn_date", "order_id"],
     "fact_shipments": ["ship_date", "order_id"],
 }
@@ -149,17 +142,32 @@ def in_row_order(name: str, df: DataFrame) -> DataFrame:
     return df.sortWithinPartitions(*ROW_ORDER[name]) if name in ROW_ORDER else df
 
 
-def _from_raw(raw: Raw, order_buckets: int | None = None) -> dict[str, DataFrame]:
-    """The tables that are cleaned from raw tables: the order lines and the dimensions."""
+def in_storage_order(name: str, df: DataFrame) -> tuple[DataFrame, str | None]:
+    """The rows as they are written, and the column they are foldered by, if any.
+
+    Rows of one month come together, in as many tasks as their size asks for, so that a month is a few whole files.
+    """
+    month = MONTHS.get(name)
+    return in_row_order(name, df.hint("rebalance", month) if month else df), month
+
+
+def gold_lines(clean: DataFrame) -> DataFrame:
+    return documented("fact_orders", clean.withColumn("order_month", month_of("order_date")))
+
+
+def derive_lines(raw: Raw) -> DataFrame:
+    return gold_lines(silver.silver_orders(landing.bronze_orders(raw)))
+
+
+def derive_dimensions(raw: Raw) -> dict[str, DataFrame]:
     return {
-        "fact_orders": documented("fact_orders", silver.silver_orders(landing.bronze_orders(raw, order_buckets))),
         "dim_customers": documented("dim_customers", silver.silver_customers(landing.bronze_customers(raw))),
         "dim_products": documented("dim_products", silver.silver_products(landing.bronze_products(raw))),
         "dim_geography": documented("dim_geography", silver.silver_geography(landing.bronze_geography(raw))),
     }
 
 
-def _from_lines(lines: DataFrame) -> dict[str, DataFrame]:
+def derive_roll_ups(lines: DataFrame) -> dict[str, DataFrame]:
     """The tables that are rolled up from clean order lines."""
     payments = silver.silver_transactions(landing.bronze_transactions(lines))
     shipments = silver.silver_shipments(landing.bronze_shipments(lines))
@@ -170,9 +178,9 @@ def _from_lines(lines: DataFrame) -> dict[str, DataFrame]:
 
 
 def derive_gold(raw: Raw) -> Gold:
-    """The whole chain raw -> bronze -> silver -> gold as lazy frames."""
-    cleaned = _from_raw(raw)
-    return Gold(**cleaned, **_from_lines(cleaned["fact_orders"]))
+    """The whole chain raw -> bronze -> silver -> gold as lazy frames: every question derives what it reads."""
+    lines = derive_lines(raw)
+    return Gold(fact_orders=lines, **derive_dimensions(raw), **derive_roll_ups(lines))
 
 
 # Coded columns whose distinct values are indexed, so that user terms can be matched with what is stored.
@@ -182,122 +190,15 @@ INDEXED_COLUMNS = {
     "dim_customers": ["segment"],
 }
 
-# Layout of the facts: about this much raw line data per bucket, Spark's own limit on their number, and how much fuller
-# than an even share the fullest may be.
-BUCKET_BYTES = 256 * 1024 * 1024
-MOST_BUCKETS = 100_000
+# How much fuller than an even share the fullest bucket of a table may be.
 MOST_IMBALANCE = 3.0
 
-_building = Lock()
-_opened: dict[tuple[str, str], Gold] = {}
-_indexes: dict[tuple[str, str], DataFrame] = {}
-
-
-def open_gold(spark: SparkSession, raw_dir: str) -> Gold:
-    """The star schema over one raw folder, built once per application in the shared folder.
-
-    On a cluster that names no shared folder the tables stay lazy and every question derives what it needs.
-    """
-    apply_scale_settings(spark)
-    folder = _working_folder(spark, raw_dir)
-    if folder is None:
-        return derive_gold(read_raw(spark, raw_dir))
-    key = (spark.sparkContext.applicationId, raw_dir)
-    with _building:
-        if key not in _opened:
-            _opened[key] = write_gold(spark, raw_dir, folder)
-    return _opened[key]
-
 
 def stored_values(gold: Gold) -> DataFrame:
     """The value index of the coded columns."""
     return value_index([(gold.table(name), columns) for name, columns in INDEXED_COLUMNS.items()])
 
 
-def open_index(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """The value index, written once per application: resolving terms reads it several times, the fact table never."""
-    gold = open_gold(spark, raw_dir)
-    folder = _working_folder(spark, raw_dir)
-    if folder is None:
-        return stored_values(gold)
-    key = (spark.sparkContext.applicationId, raw_dir)
-    with _building:
-        if key not in _indexes:
-            _indexes[key] = _stored(spark, stored_values(gold), f"{folder}/value_index")
-    return _indexes[key]
-
-
-def _working_folder(spark: SparkSession, raw_dir: str) -> str | None:
-    folder = shared_folder(spark)
-    if folder is None:
-        return None
-    digest = hashlib.sha256(raw_dir.encode()).hexdigest()[:16]
-    return f"{folder}/martlens/{spark.sparkContext.applicationId}/{digest}"
-
-
-def _stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    overwrite_files(df, path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def even_buckets(df: DataFrame, key: str, wanted: int) -> int | None:
-    """``wanted`` if hash buckets of the key come out even enough to be one task each, else None.
-
-    A key with very many rows would fill a bucket on its own. Its table is better left unbucketed: its joins are then
-    shuffled and the heavy partition is split.
-    """
-    return wanted if bucket_imbalance(df, key, wanted) <= MOST_IMBALANCE else None
-
-
-def write_gold(spark: SparkSession, raw_dir: str, target: str) -> Gold:
-    """Build the star schema from a raw folder under ``target``.
-
-    Order lines are written first; payments and shipments are rolled up from the written lines, so the join and clean-up
-    of the line table run once. Unless an order is too heavy for it, the facts are bucketed on the order key: the many joins
-    between them then need no shuffle. Tables that do not depend on each other are written by concurrent jobs.
-    """
-    size = stored_bytes(spark, f"{raw_dir}/lineitem.parquet")
-    wanted = min(MOST_BUCKETS, max(spark.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES)))
-    order_buckets = even_buckets(read_raw(spark, raw_dir).lineitem, "l_orderkey", wanted)
-    # As many shuffle partitions as buckets: the join of the lines then leaves one task per bucket.
-    counts = dict.fromkeys(["shuffle__partitions", "adaptive__coalescePartitions__initialPartitionNum"], str(order_buckets))
-    building = session_like(spark, **(counts if order_buckets else {}))
-
-    def path_of(name: str) -> str:
-        return f"{target}/{name}"
-
-    def table_of(name: str) -> str | None:
-        if order_buckets and name in ROW_ORDER:
-            return f"martlens_{target.rsplit('/', 1)[-1]}_{name}".replace("-", "_")
-        return None
-
-    def store(name: str, df: DataFrame) -> None:
-        if table := table_of(name):
-            buckets = Buckets(order_buckets, "order_id", tuple(ROW_ORDER[name]))
-            overwrite_table(df, table, buckets=buckets, path=path_of(name))
-        else:
-            overwrite_files(in_row_order(name, df), path_of(name))
-
-    def stored(session: SparkSession, name: str, df: DataFrame) -> DataFrame:
-        table = table_of(name)
-        return session.table(table) if table else session.read.schema(df.schema).parquet(path_of(name))
-
-    def job(name: str, df: DataFrame) -> Callable[[], None]:
-        return inheritable_thread_target(building)(lambda: store(name, df))
-
-    frames = _from_raw(read_raw(building, raw_dir), order_buckets)
-    with ThreadPoolExecutor() as pool:
-        running = {name: pool.submit(job(name, df)) for name, df in frames.items()}
-        running.pop("fact_orders").result()
-        rolled_up = _from_lines(stored(building, "fact_orders", frames["fact_orders"]))
-        for name, df in rolled_up.items():
-            ready = df.repartition(order_buckets, "order_id") if order_buckets else df
-            running[name] = pool.submit(job(name, ready))
-        for written in running.values():
-            written.result()
-    return Gold(**{name: stored(spark, name, df) for name, df in {**frames, **rolled_up}.items()})
-
-
 # ---- catalog build -----------------------------------------------------------------------------------------------
 
 
@@ -331,20 +232,25 @@ def build_silver(spark: SparkSession, layout: Layout) -> dict[str, int]:
 def build_gold(spark: SparkSession, layout: Layout, order_buckets: int | None = None) -> dict[str, int]:
     """Write the six gold tables with table and column comments; returns the row count of each.
 
-    With ``order_buckets`` the facts are stored in as many buckets of the order key, so that they join without a shuffle,
-    unless an order is too heavy for that.
+    With ``order_buckets`` the facts are stored in as many buckets of the order key, so that they join without a shuffle. A
+    bucket is one task's work: if an order has so many lines that one bucket holds several even shares, nothing is written
+    and the build fails; such facts are better left unbucketed, where their joins are shuffled and heavy partitions split.
     """
     if order_buckets:
-        order_buckets = even_buckets(spark.table(layout.silver("orders")), "order_id", order_buckets)
+        imbalance = bucket_imbalance(spark.table(layout.silver("orders")), "order_id", order_buckets)
+        if imbalance > MOST_IMBALANCE:
+            raise ValueError(f"one of {order_buckets} buckets would hold {imbalance:.1f} even shares of the order lines")
     written = {}
     for table, (name, _) in _CLEANING.items():
-        df, buckets = documented(table, spark.table(layout.silver(name))), None
+        clean, buckets = spark.table(layout.silver(name)), None
+        df = gold_lines(clean) if table == "fact_orders" else documented(table, clean)
         if order_buckets and table in ROW_ORDER:
             df = df.repartition(order_buckets, "order_id")
-            buckets = Buckets(order_buckets, "order_id", tuple(ROW_ORDER[table]))
+            buckets = Buckets(order_buckets, "order_id", tuple(c for c in ROW_ORDER[table] if c != MONTHS.get(table)))
+            month = MONTHS.get(table)
         else:
-            df = in_row_order(table, df)
-        written[layout.gold(table)] = overwrite_table(df, layout.gold(table), TABLE_COMMENTS[table], buckets)
+            df, month = in_storage_order(table, df)
+        written[layout.gold(table)] = overwrite_table(df, layout.gold(table), TABLE_COMMENTS[table], buckets, month)
     return written
 
 

@@ -15,8 +15,6 @@ class Parameters:
     medium_below: float = 200
     age_as_of: date = date(2026, 6, 30)
     fiscal_as_of: date = date(2026, 7, 31)
-    fiscal_quarter: tuple[date, date] = (date(2026, 5, 1), date(2026, 7, 31))
-    calendar_quarter: tuple[date, date] = (date(2026, 4, 1), date(2026, 6, 30))
     half_year: tuple[date, date] = (date(2026, 1, 1), date(2026, 6, 30))
     active_days: int = 90
 
@@ -28,7 +26,5 @@ TABLE_PARAMETERS = Parameters(
     medium_below=50_000,
     age_as_of=date(2026, 6, 30),
     fiscal_as_of=date(2001, 7, 31),
-    fiscal_quarter=(date(2001, 5, 1), date(2001, 7, 31)),
-    calendar_quarter=(date(2001, 4, 1), date(2001, 6, 30)),
     half_year=(date(2001, 1, 1), date(2001, 6, 30)),
 )

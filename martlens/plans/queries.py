@@ -10,13 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlens.functions.amounts import as_double
+from martlens.functions.amounts import as_double, is_high_value, is_refunded, net_of_refunds
+from martlens.functions.fields import age_group, order_size
 from martlens.functions.vocabulary import CODE_WORDS, code_table, word_table
-from martlens.operators.joins import EDGES, repeated_keys
-from martlens.operators.values import decode, resolve, rows_meaning
+from martlens.operators.joins import EDGES, edge_counts
+from martlens.operators.values import decode, resolve, resolve_names, rows_meaning
 from martlens.plans import bank, examples, silver, truths
-from martlens.plans.gold import Gold, open_gold, open_index, stored_values
+from martlens.plans.gold import MONTHS, Gold, stored_values
 from martlens.plans.parameters import TABLE_PARAMETERS
+from martlens.plans.store import open_gold, open_index, ready_store
 from martlens.plans.views import order_analytics, shipment_performance
 from martlens.sources import landing
 from martlens.sources.raw import read_raw
@@ -48,6 +50,20 @@ USER_TERMS = [
 ]
 
 
+# The same for reusable filters, measures and fields.
+SNIPPET_TERMS = [
+    "big orders",
+    "Large Order",
+    "refunds only",
+    "net revenue",
+    "revenu after refunds",
+    "Unique Customers",
+    "age bracket",
+    "basket sise",
+    "campaign",
+]
+
+
 def plain_amounts(df: DataFrame) -> DataFrame:
     """Decimals as doubles, for output."""
     return df.select(
@@ -84,11 +100,21 @@ def silver_table(spark: SparkSession, raw_dir: str, name: str) -> DataFrame:
 
 
 def gold_table(spark: SparkSession, raw_dir: str, name: str) -> DataFrame:
-    return plain_amounts(open_gold(spark, raw_dir).table(name))
-
-
-def table_row_counts(gold: Gold) -> DataFrame:
-    counted = [gold.table(n).agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("rows")) for n in Gold.names()]
+    """A gold table without the column it is stored by."""
+    return plain_amounts(open_gold(spark, raw_dir).table(name).drop(*MONTHS.values()))
+
+
+def table_row_counts(spark: SparkSession, raw_dir: str) -> DataFrame:
+    """Rows of each gold table: as counted by the sink while it wrote them, and as they are found now."""
+    store = ready_store(spark, raw_dir)
+    counted = [
+        store.gold.table(name).agg(
+            F.lit(name).alias("table_name"),
+            F.lit(store.written_rows[name]).cast("bigint").alias("written_rows"),
+            F.count(F.lit(1)).alias("rows"),
+        )
+        for name in Gold.names()
+    ]
     return reduce(DataFrame.unionByName, counted)
 
 
@@ -110,7 +136,7 @@ def canonical_values(spark: SparkSession, raw_dir: str) -> DataFrame:
 
 def line_preview(gold: Gold) -> DataFrame:
     """Ten order lines with the smallest keys."""
-    return plain_amounts(gold.fact_orders.orderBy("order_line_id").limit(10))
+    return plain_amounts(gold.fact_orders.drop(*MONTHS.values()).orderBy("order_line_id").limit(10))
 
 
 # ---- declared joins ----------------------------------------------------------------------------------------------
@@ -118,33 +144,12 @@ def line_preview(gold: Gold) -> DataFrame:
 
 def edge_repeats(gold: Gold) -> DataFrame:
     """How many keys repeat on the 'one' side of each declared join; zero when the declaration holds."""
-    checked = [
-        repeated_keys(gold.table(e.right), e.key).agg(
-            F.lit(e.left).alias("left_table"),
-            F.lit(e.right).alias("right_table"),
-            F.count(F.lit(1)).alias("repeated_keys"),
-        )
-        for e in EDGES
-    ]
-    return reduce(DataFrame.unionByName, checked)
+    return edge_counts(gold.table, EDGES).select("left_table", "right_table", "repeated_keys")
 
 
 def edge_matches(gold: Gold) -> DataFrame:
-    """How many rows of the 'many' side of each declared join find a partner; counted per key before the join."""
-    counted = []
-    for edge in EDGES:
-        per_key = gold.table(edge.left).groupBy(edge.key).agg(F.count(F.lit(1)).alias("rows"))
-        partners = gold.table(edge.right).select(edge.key, F.lit(True).alias("found"))
-        matched = F.sum(F.when(F.col("found"), F.col("rows")).otherwise(F.lit(0)))
-        counted.append(
-            per_key.join(partners, edge.key, "left").agg(
-                F.lit(edge.left).alias("left_table"),
-                F.lit(edge.right).alias("right_table"),
-                F.sum("rows").alias("rows"),
-                matched.alias("matched_rows"),
-            )
-        )
-    return reduce(DataFrame.unionByName, counted)
+    """How many rows of the 'many' side of each declared join find a partner."""
+    return edge_counts(gold.table, EDGES).select("left_table", "right_table", "rows", "matched_rows")
 
 
 # ---- metric views ------------------------------------------------------------------------------------------------
@@ -203,7 +208,7 @@ def words_in_use(spark: SparkSession, raw_dir: str) -> DataFrame:
     """Every word of the vocabulary with the rows it stands for; words for a whole column stand for all its rows."""
     stored = open_index(spark, raw_dir).select("column_name", F.col("value").alias("code"), "rows")
     everything = stored.groupBy("column_name").agg(F.sum("rows").alias("rows"))
-    words = word_table(spark)
+    words = word_table(spark).where("kind IN ('code', 'column')")
     for_codes = words.where("code IS NOT NULL").join(stored, ["column_name", "code"])
     for_columns = words.where("code IS NULL").join(everything, "column_name")
     return for_codes.unionByName(for_columns).select("term", "column_name", "code", "rows")
@@ -218,25 +223,53 @@ def resolved_terms(spark: SparkSession, raw_dir: str) -> DataFrame:
 
 
 def payments_by_term(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """Payments made the way the user terms say, right or wrong spelling."""
-    gold = open_gold(spark, raw_dir)
-    meant = rows_meaning(gold.fact_transactions, "payment_method", resolved_terms(spark, raw_dir))
-    return meant.groupBy("payment_method", "status").agg(
+    """Payments made the way the user terms say, right or wrong spelling.
+
+    The payments are added up per code before the codes that are meant are picked, so few rows meet the terms.
+    """
+    per_code = open_gold(spark, raw_dir).fact_transactions.groupBy("payment_method", "status").agg(
         F.count(F.lit(1)).alias("transactions"), as_double(F.sum("amount")).alias("amount")
     )
+    return rows_meaning(per_code, "payment_method", resolved_terms(spark, raw_dir))
 
 
 def orders_by_term(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """Order lines from the places the user terms name."""
+    """Order lines from the places the user terms name, added up per place before the places are joined."""
     gold = open_gold(spark, raw_dir)
     places = rows_meaning(gold.dim_geography, "state_code", resolved_terms(spark, raw_dir))
+    per_place = gold.fact_orders.groupBy("geo_id").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("net_amount").alias("net_amount")
+    )
     return (
-        gold.fact_orders.join(places.select("geo_id", "state_code"), "geo_id")
+        per_place.join(places.select("geo_id", "state_code"), "geo_id")
         .groupBy("state_code")
-        .agg(F.count(F.lit(1)).alias("lines"), as_double(F.sum("net_amount")).alias("net_amount"))
+        .agg(F.sum("lines").alias("lines"), as_double(F.sum("net_amount")).alias("net_amount"))
     )
 
 
+def numbers_by_term(spark: SparkSession, raw_dir: str) -> DataFrame:
+    """What the reusable filters, measures and fields give whose words the user typed: (term, kind, name, number).
+
+    A filter gives the rows it keeps, a measure its value, a field the number of its groups.
+    """
+    gold, p = open_gold(spark, raw_dir), TABLE_PARAMETERS
+    numbers = [
+        gold.fact_orders.agg(
+            F.count(F.when(is_high_value(p.high_value), 1)).cast("double").alias("is_high_value"),
+            F.count_distinct("customer_id").cast("double").alias("distinct_customers"),
+            F.count_distinct(order_size("net_amount", p.small_below, p.medium_below)).cast("double").alias("order_size"),
+        ),
+        gold.fact_transactions.agg(
+            F.count(F.when(is_refunded(), 1)).cast("double").alias("is_refunded"),
+            as_double(net_of_refunds()).alias("net_of_refunds"),
+        ),
+        gold.dim_customers.agg(F.count_distinct(age_group("birth_date", p.age_as_of)).cast("double").alias("age_group")),
+    ]
+    known = reduce(DataFrame.unionByName, [n.unpivot([], n.columns, "name", "number") for n in numbers])
+    named = resolve_names(user_terms(spark, SNIPPET_TERMS), word_table(spark))
+    return named.join(known, "name").select("term", "kind", "name", "number")
+
+
 # ---- registry ----------------------------------------------------------------------------------------------------
 
 
@@ -276,7 +309,7 @@ def all_queries() -> dict[str, Runner]:
         found[f"p6_silver_{name}"] = partial(silver_table, name=name)
     for name in Gold.names():
         found[f"p7_gold_{name}"] = partial(gold_table, name=name)
-    found["p7_table_row_counts"] = _over_gold(table_row_counts)
+    found["p7_table_row_counts"] = table_row_counts
     found["p1_canonical_values"] = canonical_values
     found["s8_line_preview"] = _over_gold(line_preview)
     found["j7_edge_matches"] = _over_gold(edge_matches)
@@ -323,6 +356,7 @@ def all_queries() -> dict[str, Runner]:
     for at, column in enumerate(CODE_WORDS, start=1):
         found[f"v{at}_decoded_{column}"] = partial(decoded_counts, column=column)
     found["v5_words_in_use"] = words_in_use
+    found["v5_numbers_by_term"] = numbers_by_term
     found["v6_stored_values"] = _over_gold(stored_values)
     found["v7_resolved_terms"] = resolved_terms
     found["v8_payments_by_term"] = payments_by_term

@@ -21,7 +21,7 @@ from martlens.functions.amounts import (
     is_refunded,
     ratio,
 )
-from martlens.functions.calendar import in_calendar_quarter_ending
+from martlens.functions.calendar import fiscal_quarter_days, last_calendar_quarter_days, ordered_between
 from martlens.functions.vocabulary import means
 from martlens.operators.joins import with_partner
 from martlens.plans import bank
@@ -43,18 +43,6 @@ class Answer:
     sql: str
 
 
-def _completed_amount(gold: Gold, chosen: Column) -> DataFrame:
-    return gold.fact_transactions.where(chosen & is_completed()).agg(as_double(F.sum("amount")).alias("revenue"))
-
-
-def paypal_revenue(gold: Gold, p: Parameters) -> DataFrame:
-    return _completed_amount(gold, means("payment_method", "PayPal"))
-
-
-def gift_card_revenue(gold: Gold, p: Parameters) -> DataFrame:
-    return _completed_amount(gold, means("payment_method", "gift card"))
-
-
 def enterprise_spend(gold: Gold, p: Parameters) -> DataFrame:
     """Orders of Corporate customers, whatever became of the payment."""
     per_customer = gold.fact_orders.groupBy("customer_id").agg(F.sum("net_amount").alias("net_amount"))
@@ -63,7 +51,8 @@ def enterprise_spend(gold: Gold, p: Parameters) -> DataFrame:
 
 
 def cad_revenue(gold: Gold, p: Parameters) -> DataFrame:
-    return _completed_amount(gold, means("currency", "Canadian dollars"))
+    paid = gold.fact_transactions.where(means("currency", "Canadian dollars") & is_completed())
+    return paid.agg(as_double(F.sum("amount")).alias("revenue"))
 
 
 def completed_revenue(gold: Gold, p: Parameters) -> DataFrame:
@@ -100,7 +89,7 @@ def refunded_and_shipped_count(gold: Gold, p: Parameters) -> DataFrame:
 
 
 def calendar_quarter_revenue(gold: Gold, p: Parameters) -> DataFrame:
-    return collected_total(gold, gold.fact_orders.where(in_calendar_quarter_ending("order_date", p.fiscal_as_of)))
+    return collected_total(gold, gold.fact_orders.where(ordered_between(*last_calendar_quarter_days(p.fiscal_as_of))))
 
 
 def completed_payments_only(gold: Gold, p: Parameters) -> DataFrame:
@@ -118,14 +107,16 @@ _REVENUE = f"SELECT SUM(net_amount) AS revenue FROM fact_orders WHERE order_id I
 
 def answers(p: Parameters) -> dict[str, Answer]:
     """All answers by id: ``q..`` are right, ``t..`` are the usual mistakes."""
-    fiscal = f"{_REVENUE} AND order_date BETWEEN DATE '{p.fiscal_quarter[0]}' AND DATE '{p.fiscal_quarter[1]}'"
-    calendar = f"{_REVENUE} AND order_date BETWEEN DATE '{p.calendar_quarter[0]}' AND DATE '{p.calendar_quarter[1]}'"
+    fiscal, calendar = (
+        f"{_REVENUE} AND order_date BETWEEN DATE '{first}' AND DATE '{last}'"
+        for first, last in (fiscal_quarter_days(p.fiscal_as_of), last_calendar_quarter_days(p.fiscal_as_of))
+    )
     listed = [
         Answer(
             "q01_paypal_revenue",
             "revenue",
             AMOUNT,
-            paypal_revenue,
+            bank.paypal_revenue,
             "SELECT SUM(amount) AS revenue FROM fact_transactions"
             " WHERE status = 'COMPLETED' AND payment_method = 'PM02'",
         ),
@@ -133,7 +124,7 @@ def answers(p: Parameters) -> dict[str, Answer]:
             "q02_gift_card_revenue",
             "revenue",
             AMOUNT,
-            gift_card_revenue,
+            bank.gift_card_amount,
             "SELECT SUM(amount) AS revenue FROM fact_transactions"
             " WHERE status = 'COMPLETED' AND payment_method = 'PM03'",
         ),
@@ -401,24 +392,24 @@ QUESTIONS = [
         6,
         "B",
         "Marketing campaign with the most revenue",
-        mistake="the sales channel taken for a campaign",
-        why="There is no campaign data.",
+        mistake="order_channel grouped and called a campaign",
+        why="No table has a campaign column; order_channel says where an order was placed.",
         note=_UNKNOWN,
     ),
     Question(
         6,
         "B",
         "Revenue forecast for the next quarter",
-        mistake="a trend drawn on and stated as fact",
-        why="A forecast needs a model, not a query.",
+        mistake="a number for days after the last order_date",
+        why="fact_orders ends at its last order_date; no table has rows for later days.",
         note=_UNKNOWN,
     ),
     Question(
         6,
         "B",
         "Reason for a falling margin in a region",
-        mistake="a correlation stated as the cause",
-        why="The data shows what changed, not why.",
+        mistake="the column that moved along with it, named as its cause",
+        why="net_amount and cogs_amount give the margin; no column records reasons.",
         note=_UNKNOWN,
     ),
 ]
@@ -465,7 +456,7 @@ def answer_table(spark: SparkSession, gold: Gold, p: Parameters, step: int) -> D
 def half_year_by_subcategory(gold: Gold, p: Parameters) -> DataFrame:
     """Net amount per subcategory in the first half of the year, whatever became of the payment."""
     return (
-        gold.fact_orders.where(F.col("order_date").between(*p.half_year))
+        gold.fact_orders.where(ordered_between(*p.half_year))
         .groupBy("product_id")
         .agg(F.sum("net_amount").alias("net_amount"))
         .join(gold.dim_products, "product_id")

@@ -1,9 +1,7 @@
-"""Session settings the plans rely on, and the shared folder for written tables."""
+"""Session settings the plans rely on."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Joins on order_id and customer_id may meet a key that holds a large share of all rows. Adaptive execution splits such
@@ -15,37 +13,8 @@ SCALE_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-_own_folders: dict[str, str] = {}
-
 
 def apply_scale_settings(spark: SparkSession) -> None:
+    """Set the caller's session to them; opening or building the star schema does so."""
     for key, value in SCALE_SETTINGS.items():
         spark.conf.set(key, value)
-
-
-def session_like(spark: SparkSession, **settings: str) -> SparkSession:
-    """A session over the same catalog with the same settings, but for those given (dots written as ``__``)."""
-    other = spark.newSession()
-    for key, value in spark.conf.getAll.items():
-        if spark.conf.isModifiable(key):
-            other.conf.set(key, value)
-    for key, value in settings.items():
-        other.conf.set("spark.sql." + key.replace("__", "."), value)
-    return other
-
-
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder every executor can reach, or None on a cluster that names none.
-
-    ``spark.checkpoint.dir`` decides. A private temporary folder is used only in local mode, where driver and executors
-    are one process.
-    """
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not context.master.startswith("local"):
-        return None
-    if context.applicationId not in _own_folders:
-        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="martlens-")
-    return _own_folders[context.applicationId]

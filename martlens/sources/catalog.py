@@ -59,11 +59,12 @@ def overwrite_table(
     table: str,
     comment: str | None = None,
     buckets: Buckets | None = None,
-    path: str | None = None,
+    folders: str | None = None,
 ) -> int:
     """Replace a table, schema included, and return its row count, counted while the rows are written.
 
-    A frame to be bucketed should be partitioned on the key already, one task per bucket, so that a bucket is one file.
+    ``folders`` names a column whose values get a folder each. A frame to be bucketed should be partitioned on the key
+    already, one task per bucket, so that a bucket is one file of each folder.
     """
     counted = Observation()
     writer = (
@@ -71,8 +72,8 @@ def overwrite_table(
         .write.mode("overwrite")
         .option("overwriteSchema", "true")
     )
-    if path:
-        writer = writer.option("path", path)
+    if folders:
+        writer = writer.partitionBy(folders)
     if buckets:
         writer = writer.bucketBy(buckets.number, buckets.key).sortBy(*buckets.sorted_by)
     writer.saveAsTable(table)
@@ -82,19 +83,14 @@ def overwrite_table(
     return counted.get["rows"]
 
 
-def overwrite_files(df: DataFrame, path: str) -> int:
+def overwrite_files(df: DataFrame, path: str, folders: str | None = None) -> int:
     """Replace a parquet folder and return its row count, counted while the rows are written."""
     counted = Observation()
-    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    (writer.partitionBy(folders) if folders else writer).parquet(path)
     return counted.get["rows"]
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Size of the files under a path, from the file listing."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.agg(F.sum("length")).first()[0] or 0
-
-
 def list_tables(spark: SparkSession, layout: Layout) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {layout.full_schema}")
 

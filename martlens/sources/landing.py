@@ -89,11 +89,10 @@ def bronze_geography(raw: Raw) -> DataFrame:
     )
 
 
-def bronze_orders(raw: Raw, order_buckets: int | None = None) -> DataFrame:
+def bronze_orders(raw: Raw) -> DataFrame:
     """Order lines with the header's customer, place and date; repeated keys are kept.
 
-    Headers meet customers first, so the line table is shuffled once, on the order key: into ``order_buckets`` partitions
-    if given. ``landed_as`` carries the raw values that decide which of several lines with one key is kept.
+    Headers meet customers first, so the line table is shuffled once, on the order key. ``landed_as`` carries the raw values that decide which of several lines with one key is kept.
     """
     headers = raw.orders.join(raw.customer, F.col("o_custkey") == F.col("c_custkey")).select(
         "o_orderkey", "o_custkey", "c_nationkey", F.col("o_orderdate").cast("date").alias("order_date")
@@ -113,10 +112,7 @@ def bronze_orders(raw: Raw, order_buckets: int | None = None) -> DataFrame:
         "l_returnflag",
         "l_linestatus",
     ]
-    lines = raw.lineitem
-    if order_buckets:
-        lines, headers = lines.repartition(order_buckets, "l_orderkey"), headers.repartition(order_buckets, "o_orderkey")
-    return lines.join(headers, key == F.col("o_orderkey")).select(
+    return raw.lineitem.join(headers, key == F.col("o_orderkey")).select(
         key.alias("order_id"),
         (key * 10 + F.col("l_linenumber")).alias("order_line_id"),
         F.col("o_custkey").alias("customer_id"),

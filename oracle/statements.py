@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from martlens.functions.vocabulary import CODE_WORDS, COLUMN_WORDS
 from martlens.plans.parameters import TABLE_PARAMETERS
 from martlens.plans.queries import ORDER_DIMENSIONS, SHIPMENT_DIMENSIONS, USER_TERMS
-from martlens.plans.truths import AMOUNT, COUNT, QUESTIONS, answers
+from martlens.plans.truths import QUESTIONS, answers
 from oracle.tables import over_schema
 
 P = TABLE_PARAMETERS
@@ -81,7 +80,9 @@ def _layers() -> dict[str, str]:
         "fact_shipments",
     ]
     found["p7_table_row_counts"] = over_schema(
-        "\nUNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS rows FROM {name}" for name in tables)
+        "\nUNION ALL ".join(
+            f"SELECT '{name}' AS table_name, count(*) AS written_rows, count(*) AS rows FROM {name}" for name in tables
+        )
     )
     found["p1_canonical_values"] = over_schema(
         """SELECT 'segment' AS column_name, b.segment AS raw_value, d.segment AS value, count(*) AS rows
@@ -239,11 +240,11 @@ BODIES = {
         ORDER BY dim_products.list_price DESC, product_id LIMIT 1""",
     "b08_shipments_per_carrier": "SELECT carrier, count(*) AS shipments FROM fact_shipments GROUP BY carrier",
     "b09_paypal_revenue": """SELECT CAST(sum(amount) AS DOUBLE) AS revenue FROM fact_transactions
-        WHERE (payment_method, status) = ('PM02', 'COMPLETED')""",
+        WHERE payment_method = 'PM02' AND status = 'COMPLETED'""",
     "b10_credit_card_orders": """SELECT count(DISTINCT order_id) AS orders FROM fact_transactions
-        WHERE (payment_method, status) = ('PM01', 'COMPLETED')""",
+        WHERE payment_method = 'PM01' AND status = 'COMPLETED'""",
     "b11_gift_card_amount": """SELECT CAST(sum(amount) AS DOUBLE) AS revenue FROM fact_transactions
-        WHERE (payment_method, status) = ('PM03', 'COMPLETED')""",
+        WHERE payment_method = 'PM03' AND status = 'COMPLETED'""",
     "b12_revenue_california": f"SELECT {REVENUE} FROM collected JOIN dim_geography USING (geo_id) WHERE state_code = 'CA'",
     "b13_orders_to_ontario": """SELECT count(DISTINCT order_id) AS orders
         FROM fact_shipments JOIN dim_geography USING (geo_id) WHERE state_code = 'ON'""",
@@ -267,7 +268,7 @@ BODIES = {
         FROM fact_orders JOIN dim_geography USING (geo_id) WHERE {UNSHIPPED}
         GROUP BY region_name ORDER BY orders DESC, region_name LIMIT 1""",
     "b33_fiscal_quarter_revenue": f"""SELECT {REVENUE} FROM collected
-        WHERE order_date >= DATE '{P.fiscal_quarter[0]}' AND order_date <= DATE '{P.fiscal_quarter[1]}'""",
+        WHERE order_date >= DATE '2001-05-01' AND order_date <= DATE '2001-07-31'""",
     "b34_revenue_without_internal": f"""SELECT {REVENUE} FROM collected JOIN dim_customers USING (customer_id)
         WHERE NOT is_internal""",
     "b35_active_customers": f"""SELECT count(DISTINCT customer_id) AS customers
@@ -349,11 +350,31 @@ def _rows_of(values: list[tuple[str | None, ...]]) -> str:
     return ", ".join("(" + ", ".join("NULL" if v is None else _text(v) for v in row) + ")" for row in values)
 
 
-def _vocabulary() -> str:
-    meanings = [(w.lower(), col, code) for col, codes in CODE_WORDS.items() for code, ws in codes.items() for w in ws]
-    columns = [(w, col, None) for col, ws in COLUMN_WORDS.items() for w in ws]
-    return f"\nvocabulary(term, column_name, code) AS (VALUES {_rows_of(meanings + columns)})"
-
+# What each word of the business stands for, stated apart from the package.
+VOCABULARY = """
+vocabulary(term, column_name, code) AS (VALUES
+  ('credit card', 'payment_method', 'PM01'), ('paypal', 'payment_method', 'PM02'),
+  ('gift card', 'payment_method', 'PM03'), ('debit card', 'payment_method', 'PM04'),
+  ('us dollars', 'currency', 'USD'), ('canadian dollars', 'currency', 'CAD'),
+  ('california', 'state_code', 'CA'), ('new york', 'state_code', 'NY'), ('texas', 'state_code', 'TX'),
+  ('illinois', 'state_code', 'IL'), ('washington', 'state_code', 'WA'), ('florida', 'state_code', 'FL'),
+  ('massachusetts', 'state_code', 'MA'), ('ontario', 'state_code', 'ON'), ('quebec', 'state_code', 'QC'),
+  ('british columbia', 'state_code', 'BC'), ('alberta', 'state_code', 'AB'),
+  ('enterprise', 'segment', 'Corporate'), ('b2b', 'segment', 'Corporate'), ('small business', 'segment', 'SMB'),
+  ('individual', 'segment', 'Consumer'), ('retail', 'segment', 'Consumer'),
+  ('payment type', 'payment_method', NULL), ('payment method', 'payment_method', NULL),
+  ('state', 'state_code', NULL), ('province', 'state_code', NULL)
+)"""
+LABELS = {
+    "payment_method": ("fact_transactions", "PM01 Credit Card, PM02 PayPal, PM03 Gift Card, PM04 Debit Card"),
+    "currency": ("fact_transactions", "USD US Dollars, CAD Canadian Dollars"),
+    "state_code": (
+        "dim_geography",
+        "CA California, NY New York, TX Texas, IL Illinois, WA Washington, FL Florida, MA Massachusetts, ON Ontario,"
+        " QC Quebec, BC British Columbia, AB Alberta",
+    ),
+    "segment": ("dim_customers", "Corporate Enterprise, SMB Small Business, Consumer Individual"),
+}
 
 INDEX = """
 stored AS (
@@ -389,9 +410,9 @@ resolved AS (
 
 def _words() -> dict[str, str]:
     found = {}
-    for at, (column, codes) in enumerate(CODE_WORDS.items(), start=1):
-        table = {"state_code": "dim_geography", "segment": "dim_customers"}.get(column, "fact_transactions")
-        labels = " ".join(f"WHEN {_text(code)} THEN {_text(words[0])}" for code, words in codes.items())
+    for at, (column, (table, listed)) in enumerate(LABELS.items(), start=1):
+        pairs = [item.strip().split(" ", 1) for item in listed.split(",")]
+        labels = " ".join(f"WHEN {_text(code)} THEN {_text(label)}" for code, label in pairs)
         found[f"v{at}_decoded_{column}"] = over_schema(
             f"SELECT {column}, count(*) AS rows, CASE {column} {labels} END AS label FROM {table} GROUP BY {column}"
         )
@@ -400,21 +421,36 @@ def _words() -> dict[str, str]:
         FROM vocabulary AS v JOIN stored AS s
           ON s.column_name = v.column_name AND (v.code IS NULL OR s.value = v.code)
         GROUP BY v.term, v.column_name, v.code""",
-        _vocabulary(),
+        VOCABULARY,
         INDEX,
     )
+    found["v5_numbers_by_term"] = over_schema(
+        f"""SELECT 'big orders' AS term, 'filter' AS kind, 'is_high_value' AS name,
+          CAST(count(*) FILTER (net_amount > {P.high_value}) AS DOUBLE) AS number FROM fact_orders
+        UNION ALL SELECT 'large order', 'filter', 'is_high_value',
+          CAST(count(*) FILTER (net_amount > {P.high_value}) AS DOUBLE) FROM fact_orders
+        UNION ALL SELECT 'refunds only', 'filter', 'is_refunded',
+          CAST(count(*) FILTER (status = 'REFUNDED') AS DOUBLE) FROM fact_transactions
+        UNION ALL SELECT t, 'measure', 'net_of_refunds',
+          CAST(sum(CASE status WHEN 'COMPLETED' THEN amount WHEN 'REFUNDED' THEN -amount ELSE 0 END) AS DOUBLE)
+          FROM fact_transactions, (VALUES ('net revenue'), ('revenu after refunds')) AS v(t) GROUP BY t
+        UNION ALL SELECT 'unique customers', 'measure', 'distinct_customers',
+          CAST(count(DISTINCT customer_id) AS DOUBLE) FROM fact_orders
+        UNION ALL SELECT 'age bracket', 'field', 'age_group', CAST(count(DISTINCT {AGE_GROUP}) AS DOUBLE) FROM dim_customers
+        UNION ALL SELECT 'basket sise', 'field', 'order_size', CAST(count(DISTINCT {ORDER_SIZE}) AS DOUBLE) FROM fact_orders""",
+    )
     found["v6_stored_values"] = over_schema(
         "SELECT column_name, value, lower(trim(value)) AS term, rows FROM stored", INDEX
     )
     found["v7_resolved_terms"] = over_schema(
-        "SELECT term, column_name, code, distance FROM resolved", _vocabulary(), INDEX, RESOLVED
+        "SELECT term, column_name, code, distance FROM resolved", VOCABULARY, INDEX, RESOLVED
     )
     found["v8_payments_by_term"] = over_schema(
         """SELECT payment_method, status, count(*) AS transactions, CAST(sum(amount) AS DOUBLE) AS amount
         FROM fact_transactions
         WHERE payment_method IN (SELECT code FROM resolved WHERE column_name = 'payment_method')
         GROUP BY payment_method, status""",
-        _vocabulary(),
+        VOCABULARY,
         INDEX,
         RESOLVED,
     )
@@ -423,7 +459,7 @@ def _words() -> dict[str, str]:
         FROM fact_orders JOIN dim_geography USING (geo_id)
         WHERE state_code IN (SELECT code FROM resolved WHERE column_name = 'state_code')
         GROUP BY state_code""",
-        _vocabulary(),
+        VOCABULARY,
         INDEX,
         RESOLVED,
     )
@@ -433,23 +469,65 @@ def _words() -> dict[str, str]:
 # ---- truths and answer tables ------------------------------------------------------------------------------------
 
 
+NUMBER, WHOLE, SHARE = "{:,.2f}", "{:,}", "{:,.1f}0"
+
+# Answer -> (column, how it is shown, statement), stated apart from the package.
+TRUTHS = {
+    "q01_paypal_revenue": ("revenue", NUMBER, """SELECT sum(amount) FROM fact_transactions
+        WHERE payment_method = 'PM02' AND status = 'COMPLETED'"""),
+    "q02_gift_card_revenue": ("revenue", NUMBER, """SELECT sum(amount) FROM fact_transactions
+        WHERE payment_method = 'PM03' AND status = 'COMPLETED'"""),
+    "q03_enterprise_spend": ("spend", NUMBER, """SELECT sum(net_amount) FROM fact_orders
+        JOIN dim_customers USING (customer_id) WHERE segment = 'Corporate'"""),
+    "q04_cad_revenue": ("revenue", NUMBER, """SELECT sum(amount) FROM fact_transactions
+        WHERE currency = 'CAD' AND status = 'COMPLETED'"""),
+    "q05_completed_revenue": ("revenue", NUMBER, "SELECT sum(net_amount) FROM collected"),
+    "t05_all_orders": ("total_net_amount", NUMBER, "SELECT sum(net_amount) FROM fact_orders"),
+    "q06_order_value": ("average_order_value", NUMBER, """SELECT sum(net_amount)::DOUBLE / count(DISTINCT order_id)
+        FROM fact_orders"""),
+    "t06_line_average": ("average_order_value", NUMBER, "SELECT sum(net_amount)::DOUBLE / count(*) FROM fact_orders"),
+    "q07_margin_pct": ("margin_pct", SHARE, """SELECT sum(net_amount - cogs_amount)::DOUBLE / sum(net_amount)::DOUBLE * 100
+        FROM fact_orders"""),
+    "t07_mean_line_margin": ("margin_pct", SHARE, """SELECT round(avg((net_amount::DOUBLE - cogs_amount::DOUBLE)
+        / nullif(net_amount::DOUBLE, 0)) * 100, 4) FROM fact_orders"""),
+    "q08_on_time_rate": ("on_time_pct", SHARE, """SELECT avg(CASE WHEN on_time_flag THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100
+        FROM fact_shipments"""),
+    "q09_net_of_refunds": ("net_revenue", NUMBER, """SELECT coalesce(sum(amount) FILTER (status = 'COMPLETED'), 0)
+        - coalesce(sum(amount) FILTER (status = 'REFUNDED'), 0) FROM fact_transactions"""),
+    "t09_refunds_ignored": ("net_revenue", NUMBER, "SELECT sum(amount) FROM fact_transactions WHERE status = 'COMPLETED'"),
+    "q10_unshipped_orders": ("orders", WHOLE, """SELECT count(DISTINCT order_id) FROM fact_orders
+        WHERE order_id NOT IN (SELECT order_id FROM fact_shipments)"""),
+    "q11_refunded_and_shipped": ("orders", WHOLE, """SELECT count(DISTINCT t.order_id) FROM fact_transactions AS t
+        JOIN fact_shipments AS s ON s.order_id = t.order_id WHERE t.status = 'REFUNDED'"""),
+    "q12_fiscal_quarter": ("revenue", NUMBER, """SELECT sum(net_amount) FROM collected
+        WHERE order_date >= DATE '2001-05-01' AND order_date < DATE '2001-08-01'"""),
+    "t12_calendar_quarter": ("revenue", NUMBER, """SELECT sum(net_amount) FROM collected
+        WHERE order_date >= DATE '2001-04-01' AND order_date < DATE '2001-07-01'"""),
+    "q13_active_customers": ("customers", WHOLE, """SELECT count(DISTINCT customer_id) FROM fact_orders
+        WHERE date_diff('day', order_date, (SELECT max(order_date) FROM fact_orders)) <= 90"""),
+    "t13_customers_ever": ("customers", WHOLE, "SELECT count(DISTINCT customer_id) FROM fact_orders"),
+    "q14_without_internal": ("revenue", NUMBER, """SELECT sum(net_amount) FROM collected
+        JOIN dim_customers USING (customer_id) WHERE NOT is_internal"""),
+    "t14_with_internal": ("revenue", NUMBER, "SELECT sum(net_amount) FROM collected"),
+}
+
+
 def _truths() -> dict[str, str]:
-    found = {}
-    for id, answer in answers(P).items():
-        kind = "BIGINT" if answer.kind == COUNT else "DOUBLE"
-        found[id] = over_schema(f"SELECT CAST({answer.column} AS {kind}) AS {answer.column} FROM ({answer.sql}) AS a")
-    return found
+    return {
+        id: over_schema(f"SELECT CAST(({sql}) AS {'BIGINT' if shown == WHOLE else 'DOUBLE'}) AS {column}", COLLECTED)
+        for id, (column, shown, sql) in TRUTHS.items()
+    }
 
 
 def _answer_tables() -> dict[str, str]:
+    """The wording of questions and of the SQL shown beside them is the package's own; the numbers are not."""
     known = answers(P)
 
     def number(id: str) -> str:
-        answer = known[id]
-        if answer.kind == COUNT:
-            return f"(SELECT format('{{:,}}', {answer.column}) FROM ({answer.sql}) AS a)"
-        places = 2 if answer.kind == AMOUNT else 1
-        return f"(SELECT format('{{:,.2f}}', CAST(round({answer.column}, {places}) AS DOUBLE)) FROM ({answer.sql}) AS a)"
+        _, shown, sql = TRUTHS[id]
+        if shown == WHOLE:
+            return f"format('{WHOLE}', ({sql}))"
+        return f"format('{shown}', CAST(round(({sql}), {2 if shown == NUMBER else 1}) AS DOUBLE))"
 
     found = {}
     for step in sorted({q.step for q in QUESTIONS}):
@@ -464,7 +542,7 @@ def _answer_tables() -> dict[str, str]:
                 {_text(known[q.right].sql if q.right else '')} AS correct_sql, {wrong} AS naive_or_trap_answer,
                 {_text(q.why)} AS why_agent_fails"""
             )
-        found[f"e2_answers_step{step}"] = over_schema("\nUNION ALL\n".join(rows))
+        found[f"e2_answers_step{step}"] = over_schema("\nUNION ALL\n".join(rows), COLLECTED)
     return found
 
 

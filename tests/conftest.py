@@ -33,7 +33,7 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def gold(spark):
-    from martlens.plans.gold import open_gold
+    from martlens.plans.store import open_gold
 
     return open_gold(spark, SMALL)
 

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -40,18 +40,29 @@ def test_every_day_lies_in_its_own_fiscal_quarter(spark):
     assert late.isEmpty()
 
 
-def test_quarters_as_of_a_day(spark):
-    days = spark.range(400).select(F.date_add(F.lit(date(2001, 1, 1)), F.col("id").cast("int")).alias("d"))
-    as_of = date(2001, 7, 31)
-    bounds = F.min("d"), F.max("d")
-    assert tuple(days.where(calendar.in_fiscal_quarter_of("d", as_of)).agg(*bounds).first()) == (
-        date(2001, 5, 1),
-        date(2001, 7, 31),
-    )
-    assert tuple(days.where(calendar.in_calendar_quarter_ending("d", as_of)).agg(*bounds).first()) == (
-        date(2001, 4, 1),
-        date(2001, 6, 30),
-    )
+def test_quarters_as_of_a_day():
+    assert calendar.fiscal_quarter_days(date(2001, 7, 31)) == (date(2001, 5, 1), date(2001, 7, 31))
+    assert calendar.fiscal_quarter_days(date(2001, 1, 5)) == (date(2000, 11, 1), date(2001, 1, 31))
+    assert calendar.last_calendar_quarter_days(date(2001, 7, 31)) == (date(2001, 4, 1), date(2001, 6, 30))
+    assert calendar.last_calendar_quarter_days(date(2001, 3, 31)) == (date(2001, 1, 1), date(2001, 3, 31))
+    assert calendar.last_calendar_quarter_days(date(2001, 2, 1)) == (date(2000, 10, 1), date(2000, 12, 31))
+
+
+def test_quarter_days_agree_with_the_fiscal_calendar(spark):
+    days = [date(1999, 1, 1) + timedelta(days=9 * i) for i in range(150)]
+    frame = spark.createDataFrame([(d,) for d in days], "d date")
+    for row in frame.select("d", calendar.fiscal_quarter_start("d").alias("start")).collect():
+        first, last = calendar.fiscal_quarter_days(row.d)
+        assert first == row.start and first <= row.d <= last
+
+
+def test_bounds_on_days_hold_for_months_and_days(spark):
+    days = spark.range(400).select(F.date_add(F.lit(date(2001, 1, 1)), F.col("id").cast("int")).alias("order_date"))
+    lines = days.withColumn("order_month", calendar.month_of("order_date"))
+    bounds = F.min("order_date"), F.max("order_date")
+    some = lines.where(calendar.ordered_between(date(2001, 2, 10), date(2001, 4, 9))).agg(*bounds)
+    assert tuple(some.first()) == (date(2001, 2, 10), date(2001, 4, 9))
+    assert lines.where(calendar.ordered_since(date(2001, 12, 30))).agg(*bounds).first()[0] == date(2001, 12, 30)
 
 
 def test_age_group_edges_and_unknown(spark):

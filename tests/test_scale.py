@@ -3,18 +3,17 @@
 from __future__ import annotations
 
 import re
-from dataclasses import replace
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
-from martlens.plans.gold import open_gold, write_gold
 from martlens.plans.parameters import TABLE_PARAMETERS
 from martlens.plans.queries import all_queries
-from martlens.plans import bank, examples, silver
-from martlens.session import shared_folder
+from martlens.plans import bank, examples, silver, truths
+from martlens.plans.store import open_gold
+from martlens.plans.views import order_analytics
 from martlens.sources import landing
 from martlens.sources.raw import read_raw
 from tests.compare import TABLES, differences, oracle_connection
@@ -108,42 +107,49 @@ def test_copies_of_one_line_are_split_and_reduced_before_the_shuffle(spark, sett
     assert re.search(r"SortAggregate(?:(?!SortAggregate).)*Exchange hash(?:(?!Exchange).)*partial_min", plan, re.S)
 
 
-@pytest.mark.parametrize("order_buckets", [None, 5, 300])
-def test_line_table_is_shuffled_once_without_skew(spark, settings, order_buckets):
-    open_gold(spark, SMALL)
-    settings(autoBroadcastJoinThreshold="-1", shuffle__partitions=str(order_buckets or 8))
-    plan = initial_plan(silver.silver_orders(landing.bronze_orders(read_raw(spark, SMALL), order_buckets)))
+def test_line_table_is_shuffled_once_without_skew(spark, settings, gold):
+    settings(autoBroadcastJoinThreshold="-1")
+    plan = initial_plan(silver.silver_orders(landing.bronze_orders(read_raw(spark, SMALL))))
     above_join, below_join = plan.split("SortMergeJoin", 1)
     assert "Exchange" not in above_join
     lines = below_join[: below_join.index("lineitem.parquet")]
-    assert lines.count("Exchange") == 1
-    assert "hashpartitioning(l_orderkey" in lines and f", {order_buckets or 8})" in lines
+    assert lines.count("Exchange") == 1 and "hashpartitioning(l_orderkey" in lines
 
 
-def test_even_facts_are_bucketed_and_join_without_a_shuffle(spark, settings, gold):
-    for name in ("fact_orders", "fact_transactions", "fact_shipments"):
-        files = gold.table(name).inputFiles()
-        assert len(files) == spark.sparkContext.defaultParallelism
-    settings(autoBroadcastJoinThreshold="-1")
-    for query in (bank.revenue_with_internal, bank.unshipped_order_count, bank.refunded_but_shipped, bank.gross_profit):
-        plan = initial_plan(query(gold, TABLE_PARAMETERS))
-        assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan, query
+def test_payments_are_added_up_before_they_meet_the_terms(spark, settings):
+    """At default settings, in the plan that ran."""
+    settings(maxMetadataStringLength="1000")
+    plan = final_plan(all_queries()["v8_payments_by_term"](spark, SMALL))
+    below = plan[: plan.index("fact_transactions")]
+    assert re.search(r"HashAggregate[^\n]*partial_", below[below.rindex("Exchange") :])
 
 
-@pytest.mark.parametrize("partitions", ["3", "64"])
-def test_a_bucket_is_one_file_whatever_the_session_shuffles_into(spark, settings, tmp_path, partitions):
-    settings(shuffle__partitions=partitions, autoBroadcastJoinThreshold="-1")
-    built = write_gold(spark, SMALL, f"{tmp_path}/files{partitions}")
-    for name in ("fact_orders", "fact_transactions", "fact_shipments"):
-        assert len(built.table(name).inputFiles()) == spark.sparkContext.defaultParallelism
-    assert built.fact_orders.count() == 4599
-    assert spark.conf.get("spark.sql.shuffle.partitions") == partitions
+@pytest.mark.parametrize("dims", [["Customer Segment"], ["Product"], ["Region", "Customer Segment"], ["Order Channel", "Product"]])
+def test_views_with_distinct_counts_do_not_shuffle_raw_lines(gold, settings, dims):
+    settings(autoBroadcastJoinThreshold="-1", maxMetadataStringLength="1000")
+    view = order_analytics(gold)
+    query = view.query(dims, ["Order Count", "Total Revenue", "Average Order Value"])
+    for exchange in re.finditer(r"Exchange hashpartitioning\((customer_id|product_id|geo_id)[^\n]*\n([^\n]*\n){0,4}", initial_plan(query)):
+        if "fact_orders" in exchange.group(0):
+            assert "partial_" in exchange.group(0)
 
 
-def test_a_heavy_order_leaves_the_facts_unbucketed(spark, settings, skewed_dir):
-    settings(**LARGE_SCALE)
-    plan = initial_plan(bank.revenue_with_internal(open_gold(spark, skewed_dir), TABLE_PARAMETERS))
-    assert "Exchange hashpartitioning(order_id" in plan and "Bucketed: true" not in plan
+def test_revenue_by_country_and_margin_meet_customers_after_totals(gold, settings):
+    settings(autoBroadcastJoinThreshold="-1", maxMetadataStringLength="1000")
+    for query in (bank.revenue_by_country, examples.margin_without_internal):
+        plan = initial_plan(query(gold, TABLE_PARAMETERS))
+        lines = plan[: plan.index("fact_orders")]
+        for exchange in re.findall(r"Exchange hashpartitioning\(customer_id#\d+L?, \d+\)[^\n]*\n[^\n]*", lines):
+            assert "Aggregate" in exchange
+
+
+def test_each_table_is_read_once_for_all_edges(spark, settings):
+    settings(maxMetadataStringLength="1000")
+    for name in ("j7_edge_matches", "mvk_edge_repeats"):
+        plan = initial_plan(all_queries()[name](spark, SMALL))
+        assert "Join" not in plan
+        for table in ("fact_orders", "fact_transactions", "fact_shipments", "dim_geography"):
+            assert len(re.findall(rf"FileScan[^\n]*/{table}\]", plan)) == 1
 
 
 @pytest.mark.parametrize("name", sorted(all_queries()))
@@ -181,26 +187,31 @@ def test_written_rows_follow_the_date(gold):
             assert days == sorted(days)
 
 
-class Session:
-    """As much of a session as choosing a folder needs."""
-
-    def __init__(self, master: str, configured: str | None = None, set_by_context: str | None = None):
-        self.conf = {"spark.checkpoint.dir": configured} if configured else {}
-        self.sparkContext = self
-        self.master = master
-        self.applicationId = f"{master}-{configured}-{set_by_context}"
-        self.getCheckpointDir = lambda: set_by_context
-
-
-def scanned_rows(df) -> list[int]:
-    """Rows every scan of the main plan handed on, the largest first; scans of subqueries are not counted."""
+def test_date_bounds_leave_other_months_unread(gold, settings):
+    settings(maxMetadataStringLength="1000")
+    months = gold.fact_orders.select("order_month").distinct().count()
+    assert months > 60 and len(gold.fact_orders.inputFiles()) == months
+    for query, most in [
+        (bank.fiscal_quarter_revenue, 3),
+        (truths.calendar_quarter_revenue, 3),
+        (bank.active_customers, 5),
+        (bank.latest_month_summary, 1),
+        (truths.half_year_by_subcategory, 6),
+    ]:
+        frame = query(gold, TABLE_PARAMETERS)
+        assert re.search(r"PartitionFilters: \[[^\]]*order_month", initial_plan(frame)), query
+        assert files_read(frame, "fact_orders") <= most, query
+
+
+def files_read(df, table: str) -> int:
+    """Files the scans of a table opened in the main plan; scans of subqueries are not counted."""
     df.collect()
     found = []
 
     def visit(node) -> None:
         name = node.nodeName()
-        if name.startswith("Scan parquet"):
-            found.append(node.metrics().apply("numOutputRows").value())
+        if name.startswith("Scan parquet") and f"/{table}" in node.toString():
+            found.append(node.metrics().apply("numFiles").value())
         if name == "AdaptiveSparkPlan":
             visit(node.executedPlan())
         elif name.endswith("QueryStage"):
@@ -209,37 +220,4 @@ def scanned_rows(df) -> list[int]:
             visit(node.children().apply(i))
 
     visit(df._jdf.queryExecution().executedPlan())
-    return sorted(found, reverse=True)
-
-
-def test_date_bounds_skip_most_of_a_file(spark, gold, tmp_path):
-    copies = gold.fact_orders.join(F.broadcast(spark.range(40)))
-    lines = copies.withColumn("order_line_id", F.col("order_line_id") * 40 + F.col("id")).drop("id")
-    lines = lines.coalesce(1).sortWithinPartitions("order_date", "order_id")
-    lines.write.option("parquet.block.size", 1 << 18).parquet(f"{tmp_path}/lines")
-    many = replace(gold, fact_orders=spark.read.parquet(f"{tmp_path}/lines"))
-    whole = 40 * 4599
-    assert scanned_rows(bank.units_total(many, TABLE_PARAMETERS))[0] == whole
-    for query in (bank.fiscal_quarter_revenue, bank.active_customers, bank.latest_month_summary):
-        assert scanned_rows(query(many, TABLE_PARAMETERS))[0] < whole / 4, query
-
-
-def test_shared_folder_is_taken_from_the_session(spark):
-    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
-    assert shared_folder(Session("spark://host:7077", "hdfs://shared/x/")) == "hdfs://shared/x"
-    assert shared_folder(Session("spark://host:7077", set_by_context="hdfs://shared/y")) == "hdfs://shared/y"
-
-
-def test_own_folder_only_in_local_mode():
-    assert shared_folder(Session("spark://host:7077")) is None
-    local = Session("local[2]")
-    assert shared_folder(local) and shared_folder(local) == shared_folder(local)
-
-
-def test_cluster_without_shared_folder_answers_from_the_raw_tables(spark, gold, monkeypatch):
-    monkeypatch.setattr("martlens.plans.gold.shared_folder", lambda session: None)
-    lazy = open_gold(spark, SMALL)
-    assert any(file.endswith("lineitem.parquet") for file in lazy.fact_orders.inputFiles())
-    for query in (bank.revenue_california, bank.latest_month_summary):
-        assert query(lazy, TABLE_PARAMETERS).collect() == query(gold, TABLE_PARAMETERS).collect()
-    assert all_queries()["v7_resolved_terms"](spark, SMALL).count() > 10
+    return max(found)

@@ -6,12 +6,13 @@ import random
 
 import duckdb
 import pyarrow as pa
+import pytest
 
 from martlens.functions.vocabulary import word_table
-from martlens.operators.values import resolve, rows_meaning, value_index
+from martlens.operators.values import EDITS, resolve, resolve_names, rows_meaning, value_index
 
 
-def nearest_by_brute_force(terms, known):
+def nearest_by_brute_force(terms, known, edits=EDITS):
     connection = duckdb.connect()
     connection.register("terms", pa.table({"term": sorted(set(t.strip().lower() for t in terms if t.strip()))}))
     word, column, code = zip(*known)
@@ -24,7 +25,7 @@ def nearest_by_brute_force(terms, known):
     found = set(exact)
     best = {}
     for term, column, code, distance, letters in rows:
-        allowed = 0 if letters <= 2 else 1 if letters <= 5 else 2
+        allowed = max([number for least, number in edits.items() if letters >= least], default=0)
         if distance <= allowed and term not in {e[0] for e in exact}:
             best[term, column] = min(best.get((term, column), (distance, code)), (distance, code))
     found.update((term, column, code, distance) for (term, column), (distance, code) in best.items())
@@ -41,15 +42,16 @@ def no_words(spark):
     return spark.createDataFrame([], "term string, column_name string, code string")
 
 
-def test_resolve_matches_brute_force_on_random_words(spark):
+@pytest.mark.parametrize("edits", [EDITS, {}, {1: 1}, {3: 2}, {4: 1, 6: 3}])
+def test_resolve_matches_brute_force_on_random_words(spark, edits):
     rng = random.Random(5)
     letters = "abcd"
     values = sorted({(rng.choice("xy"), "".join(rng.choices(letters, k=rng.randint(1, 9)))) for _ in range(150)})
     terms = ["".join(rng.choices(letters, k=rng.randint(1, 10))) for _ in range(150)]
     got = resolve(
-        spark.createDataFrame([(t,) for t in terms], "term string"), index_frame(spark, values), no_words(spark)
+        spark.createDataFrame([(t,) for t in terms], "term string"), index_frame(spark, values), no_words(spark), edits
     )
-    want = nearest_by_brute_force(terms, [(v, c, v) for c, v in values])
+    want = nearest_by_brute_force(terms, [(v, c, v) for c, v in values], edits)
     assert {tuple(r) for r in got.collect()} == want
 
 
@@ -88,5 +90,16 @@ def test_rows_meaning_keeps_rows_once(spark):
 
 def test_words_cover_columns_and_snippets(spark):
     rows = {tuple(r) for r in word_table(spark).collect()}
-    assert ("province", "state_code", None) in rows and ("big orders", "is_high_value", None) in rows
-    assert ("b2b", "segment", "Corporate") in rows and len(rows) == 22 + 4 + 13
+    assert ("province", "column", "state_code", None) in rows and ("big orders", "filter", "is_high_value", None) in rows
+    assert ("b2b", "code", "segment", "Corporate") in rows and len(rows) == 22 + 4 + 13
+
+
+def test_filters_measures_and_fields_are_named_by_their_words(spark):
+    terms = [(t,) for t in ("Big Orders", "net revenu", "province", "paypal", "basket size", "nothing like it")]
+    found = resolve_names(spark.createDataFrame(terms, "term string"), word_table(spark)).collect()
+    assert {tuple(r) for r in found} == {
+        ("big orders", "filter", "is_high_value", 0),
+        ("net revenu", "measure", "net_of_refunds", 1),
+        ("province", "column", "state_code", 0),
+        ("basket size", "field", "order_size", 0),
+    }
