@@ -76,41 +76,43 @@ class Normalizer:
         """Nothing but blanks changes."""
         return not len(self.characters.units) and not self.drop_extra_spaces and self.escape and self.dummy_prefix
 
-    def _units(self, text: bytes) -> Iterator[tuple[int, int, bytes]]:
+    def _units(self, text: bytes) -> Iterator[tuple[int, int, bytes, bool]]:
+        """Place, length, what stands for it, and whether that is the text itself."""
         at = 0
         while at < len(text):
-            if hit := self.characters.longest(text, at):
+            hit = self.characters.longest(text, at)
+            if hit:
                 length, value = hit
             else:
                 lead = text[at]
                 length = 1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
                 value = text[at : at + length]
-            yield at, length, value
+            yield at, length, value, not hit
             at += length
 
     def normalize(self, text: str) -> tuple[bytes, np.ndarray]:
-        """The normalised bytes, and for each of them and for the end the byte of the original it came from."""
-        raw = text.encode()
+        """The normalised bytes, and for each of them and for the end the byte of the original it came from.
+
+        All bytes of a replacement came from where it starts; a character kept as it is keeps the places of its bytes.
+        """
         space = SPACE.encode() if self.escape else b" "
         out, origin = bytearray(), []
-        units = list(self._units(raw))
+        units = list(self._units(text.encode()))
         if self.drop_extra_spaces:
             while units and units[0][2] == b" ":
                 units.pop(0)
         if not units:
             return b"", np.array([0], dtype=np.int64)
-
-        def put(value: bytes, at: int) -> None:
-            out.extend(value)
-            origin.extend([at] * len(value))
-
         if self.dummy_prefix:
-            put(space, units[0][0])
+            out.extend(space)
+            origin.extend([units[0][0]] * len(space))
         blank_before = self.drop_extra_spaces
-        for at, _, value in units:
-            if self.drop_extra_spaces and blank_before:
+        for at, _, value, kept in units:
+            if blank_before:
                 value = value.lstrip(b" ")
-            put(value.replace(b" ", space), at)
+            shown = value.replace(b" ", space)
+            out.extend(shown)
+            origin.extend(range(at, at + len(shown)) if kept and shown == value else [at] * len(shown))
             if value:
                 blank_before = self.drop_extra_spaces and value.endswith(b" ")
         end = units[-1][0] + units[-1][1]
@@ -118,14 +120,7 @@ class Normalizer:
             while out.endswith(space):
                 end = origin[len(out) - len(space)]
                 del out[-len(space) :], origin[-len(space) :]
-        # A character kept as it is keeps the places of its own bytes.
-        places = np.array([*origin, end], dtype=np.int64)
-        for at, length, value in units:
-            if len(value) == length > 1 and value == raw[at : at + length]:
-                first = int(np.searchsorted(places[:-1], at))
-                if places[first : first + length].tolist() == [at] * length:
-                    places[first : first + length] += np.arange(length)
-        return bytes(out), places
+        return bytes(out), np.array([*origin, end], dtype=np.int64)
 
 
 @dataclass
