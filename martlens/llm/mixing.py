@@ -194,5 +194,6 @@ def mixed_documents(documents: DataFrame, seed: int = SEED, **options) -> DataFr
     chance = hashed(F.lit(seed), F.lit("times"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))) / F.lit(2.0**60)
     copies = F.floor(F.col("_times") + chance).cast("int")
     joined = documents.join(decided, F.col("doc_id").eqNullSafe(F.col("_id"))).withColumn("_copies", copies)
-    kept = joined.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    has_words = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    kept = joined.where(has_words & (F.col("_copies") > 0)).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return kept.select(*[F.col(name) for name in documents.columns])
