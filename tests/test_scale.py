@@ -143,6 +143,16 @@ def test_revenue_by_country_and_margin_meet_customers_after_totals(gold, setting
             assert "Aggregate" in exchange
 
 
+@pytest.mark.parametrize("step", [2, 3, 4, 5, 6])
+def test_answer_tables_read_each_fact_twice_at_most(spark, settings, step):
+    settings(maxMetadataStringLength="1000")
+    plan = initial_plan(all_queries()[f"e2_answers_step{step}"](spark, SMALL))
+    # A subquery that is used again is printed again, as a reused one or with the number of the first.
+    scans = set(re.findall(r"FileScan[^\n]*?\[([^\]]*)\][^\n]*/(fact_\w+)\]", plan))
+    for table in ("fact_orders", "fact_transactions", "fact_shipments"):
+        assert len([1 for _, name in scans if name == table]) <= 2, scans
+
+
 def test_each_table_is_read_once_for_all_edges(spark, settings):
     settings(maxMetadataStringLength="1000")
     for name in ("j7_edge_matches", "mvk_edge_repeats"):
