@@ -307,6 +307,7 @@ def all_queries() -> dict[str, Runner]:
     for name in LAYER_TABLES:
         found[f"s3_bronze_{name}"] = partial(bronze_table, name=name)
         found[f"p6_silver_{name}"] = partial(silver_table, name=name)
+    found["s3_landed_matches"] = lambda spark, raw_dir: landing.landed_matches(read_raw(spark, raw_dir))
     for name in Gold.names():
         found[f"p7_gold_{name}"] = partial(gold_table, name=name)
     found["p7_table_row_counts"] = table_row_counts

@@ -13,6 +13,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martlens.operators.joins import Edge, edge_counts
 from martlens.sources.raw import Raw
 
 # The codes the source systems use.
@@ -78,6 +79,26 @@ def bronze_products(raw: Raw) -> DataFrame:
     )
 
 
+# The joins that landing makes; rows without a partner are not landed.
+LANDING_EDGES = [
+    Edge("lineitem", "orders", "order_key"),
+    Edge("orders", "customer", "customer_key"),
+    Edge("nation", "region", "region_key"),
+]
+
+
+def landed_matches(raw: Raw) -> DataFrame:
+    """Rows of each raw table that landing joins to another, and how many of them find a partner and so are landed."""
+    keyed = {
+        "lineitem": raw.lineitem.select(F.col("l_orderkey").alias("order_key")),
+        "orders": raw.orders.select(F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("customer_key")),
+        "customer": raw.customer.select(F.col("c_custkey").alias("customer_key")),
+        "nation": raw.nation.select(F.col("n_regionkey").alias("region_key")),
+        "region": raw.region.select(F.col("r_regionkey").alias("region_key")),
+    }
+    return edge_counts(keyed.__getitem__, LANDING_EDGES).select("left_table", "right_table", "rows", "matched_rows")
+
+
 def bronze_geography(raw: Raw) -> DataFrame:
     key = F.col("n_nationkey")
     return raw.nation.join(raw.region, F.col("n_regionkey") == F.col("r_regionkey")).select(

@@ -71,6 +71,13 @@ def _layers() -> dict[str, str]:
     found["s3_bronze_shipments"] = over_schema(
         f"SELECT {_dates_as_text(SHIPMENT_COLUMNS, 'ship_date', 'delivery_date')} FROM bronze_shipments", RAW_SHIPMENTS
     )
+    found["s3_landed_matches"] = """
+        SELECT 'lineitem' AS left_table, 'orders' AS right_table, count(*) AS rows,
+          count(*) FILTER (l_orderkey IN (SELECT o_orderkey FROM orders)) AS matched_rows FROM lineitem
+        UNION ALL SELECT 'orders', 'customer', count(*),
+          count(*) FILTER (o_custkey IN (SELECT c_custkey FROM customer)) FROM orders
+        UNION ALL SELECT 'nation', 'region', count(*),
+          count(*) FILTER (n_regionkey IN (SELECT r_regionkey FROM region)) FROM nation"""
     tables = [
         "dim_customers",
         "dim_products",
