@@ -8,7 +8,8 @@ import uuid
 import zipfile
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _shipped: set[str] = set()
 _own_folders: dict[str, str] = {}
@@ -42,6 +43,19 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+#: Most rows of a small key table that is sent to every executor instead of shuffling texts to meet it.
+BROADCAST_ROWS = 500_000
+
+
+def small_side(stored_table: DataFrame, items: Column | None = None) -> DataFrame:
+    """The side of a join to send to every executor if it has at most ``BROADCAST_ROWS`` rows, else as it is.
+
+    For narrow stored tables, whose rows are counted in no time; ``items`` weighs rows that hold more than one small value.
+    """
+    size = stored_table.agg(F.sum(F.lit(1) if items is None else items).alias("size")).first()["size"] or 0
+    return F.broadcast(stored_table) if size <= BROADCAST_ROWS else stored_table
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, so that their Python workers can import it."""
     context = spark.sparkContext

@@ -16,7 +16,7 @@ import json
 import re
 import struct
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlens.llm.shared import model_path, ship, shuffle_partitions, stored
+from martlens.llm.shared import model_path, ship, shuffle_partitions, small_side, stored
 
 MODEL = "word_bpe_49k.json"
 END_ID = 2
@@ -155,16 +155,36 @@ def read_shard(file: bytes) -> tuple[list[int | None], list[int], WaveletMatrix]
     return doc_ids, table[2].tolist(), WaveletMatrix(length, planes)
 
 
-class TokenBytes(dict):
-    """Blank-separated chunk to its ids as little-endian unsigned 32-bit integers; short chunks are remembered.
+class Remembered(dict):
+    """Texts to the little-endian unsigned 32-bit ids that ``find`` gives for them.
+
+    Short texts are remembered; all are forgotten when there are ``CACHED_CHUNKS`` of them.
+    """
+
+    def __init__(self, find: Callable[[str], bytes]):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, text: str) -> bytes:
+        found = self.find(text)
+        if len(text) <= CACHED_LENGTH:
+            if len(self) >= CACHED_CHUNKS:
+                self.clear()
+            self[text] = found
+        return found
+
+
+class TextEncoder:
+    """Encodes texts as the tokenizer does, chunk by chunk between blanks.
 
     The tokenizer drops white space and encodes what stands between it on its own, so the ids of a text are those of its
     chunks. A chunk of Latin letters, digits and signs is lower-cased, split and spelled in the model's byte alphabet here,
-    which gives what the tokenizer's own steps give; any other chunk goes through those. The memory is emptied when it holds
-    ``CACHED_CHUNKS`` chunks.
+    which gives what the tokenizer's own steps give; any other chunk goes through those.
     """
 
-    LATIN = re.compile("[!-~\u00a1-\u024f]+")
+    # Lower-casing changes no other letter's case than the tokenizer does, but for the dotted capital I.
+    LATIN = re.compile("[!-~\u00a1-\u012f\u0131-\u024f]+")
+    SIGNS = set("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
 
     def __init__(self, model: str):
         import os
@@ -174,7 +194,6 @@ class TokenBytes(dict):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
-        super().__init__()
         path = model_path(model)
         self.tokenizer = Tokenizer.from_file(path)
         self.normal, self.split = self.tokenizer.normalizer.normalize_str, self.tokenizer.pre_tokenizer.pre_tokenize_str
@@ -186,45 +205,46 @@ class TokenBytes(dict):
         self.words = regex.compile(steps[0]["pattern"]["Regex"]).findall
         spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.spelling = {c: spell(chr(c))[0][0] for c in range(0xA1, 0x250)}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces, self.chunks = Remembered(self._piece), Remembered(self._chunk)
 
     def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            spelled = piece if piece.isascii() else piece.translate(self.spelling)
-            found = array("I", [token.id for token in self.tokens(spelled)]).tobytes()
-            if len(self.pieces) >= CACHED_CHUNKS:
-                self.pieces.clear()
-            if len(piece) <= CACHED_LENGTH:
-                self.pieces[piece] = found
-        return found
+        spelled = piece if piece.isascii() else piece.translate(self.spelling)
+        return array("I", [token.id for token in self.tokens(spelled)]).tobytes()
 
-    def __missing__(self, chunk: str) -> bytes:
-        if any(s in chunk for s in self.special):
-            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-            found = array("I", ids).tobytes()
-        elif self.LATIN.fullmatch(chunk) and "\u0130" not in chunk:
-            found = b"".join(map(self._piece, self.words(chunk.lower())))
+    def _chunk(self, chunk: str) -> bytes:
+        # Most chunks are a word, or a word and a sign.
+        if chunk[-1:] in self.SIGNS:
+            word, sign = chunk[:-1], self.pieces[chunk[-1]]
         else:
-            ids = [token.id for piece, _ in self.split(self.normal(chunk)) for token in self.tokens(piece)]
-            found = array("I", ids).tobytes()
-        if len(chunk) <= CACHED_LENGTH:
-            if len(self) >= CACHED_CHUNKS:
-                self.clear()
-            self[chunk] = found
-        return found
+            word, sign = chunk, b""
+        if word.isalpha() and (word.isascii() or self.LATIN.fullmatch(word)):
+            return self.pieces[word.lower()] + sign
+        if any(special in chunk for special in self.special):
+            return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+        if self.LATIN.fullmatch(chunk):
+            return b"".join(map(self.pieces.__getitem__, self.words(chunk.lower())))
+        return array("I", [t.id for piece, _ in self.split(self.normal(chunk)) for t in self.tokens(piece)]).tobytes()
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        """The ids of a text as little-endian unsigned 32-bit integers."""
+        try:
+            text.encode("latin-1")
+            # Such a text can be lower-cased as a whole, unless that makes a special token; fewer different chunks are left.
+            lower = text.lower()
+            if not any(special in lower for special in self.special):
+                text = lower
+        except UnicodeEncodeError:
+            pass
+        return b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
 
 
-_encoders: dict[str, TokenBytes] = {}
+_encoders: dict[str, TextEncoder] = {}
 
 
-def encoder(model: str) -> TokenBytes:
+def encoder(model: str) -> TextEncoder:
     """The worker's encoder of a model, kept between tasks."""
     if model not in _encoders:
-        _encoders[model] = TokenBytes(model)
+        _encoders[model] = TextEncoder(model)
     return _encoders[model]
 
 
@@ -299,7 +319,8 @@ def read_documents(shards: DataFrame) -> DataFrame:
                     [pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "n_tokens", "ids_crc32"]
                 )
 
-    files = shards.select("part", "number", "file").join(shard_starts(shards), ["part", "number"])
+    starts = small_side(stored(shard_starts(shards), "shard-starts"))
+    files = shards.select("part", "number", "file").join(starts, ["part", "number"])
     return files.select("file", "start").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
