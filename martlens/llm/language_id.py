@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martlens.llm.shared import code_points, ship
+from martlens.llm.shared import code_points, ship, small_side, stored
 
 SIZE = 4096
 CLUSTERS = 4
@@ -131,7 +131,7 @@ def learn(
     weights = np.log((1.0 + holding[-1]) / (1.0 + holding[:-1])) + 0.1
 
     order = F.xxhash64(F.lit(11), "doc_id", "text")
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = small_side(stored(rows.groupBy("lang").agg(F.count("*").alias("n")), "language-sizes"))
     # A share of each language that holds about twice the bound, then the bound itself.
     share = F.lit(2.0 * per_language + 50) / F.col("n") * F.lit(2.0**32)
     likely = rows.withColumn("order", order).join(sizes, "lang").where(F.pmod("order", F.lit(2**32)) < share)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlens.llm.shared import stored
+from martlens.llm.shared import small_side, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -140,7 +140,7 @@ def mix(
     shard_count = F.ceil((F.col("source_size") + F.col("n_docs")) / shard_words).cast("long")
     sources = stored(sources.join(quotas, "rank").withColumn("shards", shard_count), "sources")
 
-    known = sources.select(F.col("source").alias("_source"), "rank", "source_size", "target", "shards")
+    known = small_side(sources.select(F.col("source").alias("_source"), "rank", "source_size", "target", "shards"))
     doc = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     placed = sizes.join(known, F.col("source").eqNullSafe(F.col("_source"))).select(
         "doc_id",

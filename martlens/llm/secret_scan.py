@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlens.llm.shared import stored
+from martlens.llm.shared import small_side, stored
 
 # The base patterns and their least lengths.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -177,10 +177,11 @@ def redacted(documents: DataFrame, mark: str = "<secret>", copied_by: int = COPI
         .groupBy("key")
         .agg(F.array_sort(F.collect_list(F.struct("from", "start"))).alias("cuts"), F.max("end").alias("last"))
     )
+    cuts = small_side(stored(cuts.withColumnRenamed("key", "_key"), "secret-cuts"), F.size("cuts") + 1)
     text = F.coalesce(F.col("text"), F.lit(""))
     key = F.sha2(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text), 256)
     names = documents.columns
-    joined = documents.withColumn("_key", key).join(cuts.withColumnRenamed("key", "_key"), "_key", "left")
+    joined = documents.withColumn("_key", key).join(cuts, "_key", "left")
     pieces = F.transform(
         "cuts",
         lambda c: F.concat(F.substr("text", (c["from"] + 1).cast("int"), (c["start"] - c["from"]).cast("int")), F.lit(mark)),
