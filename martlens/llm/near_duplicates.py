@@ -1,16 +1,18 @@
 """Near-duplicates by Order MinHash and banded alignment.
 
 A text is the sequence of its runs of five words, each labelled by how often it occurred before, so that no label repeats. For
-each of 32 seeded orders the three smallest labelled runs are taken and kept in text order; their hash is one sketch. Texts
-that share a sketch are candidates, and the alignment of their sequences decides: they are linked if the edit distance is at
-most a fifth of the longer sequence. Linked texts, and their links in turn, are one class.
+each of 48 seeded orders the seven smallest labelled runs are taken and kept in text order; their hash is one sketch. Texts
+that share a sketch are candidates, and the alignment of their sequences decides: they are linked if the runs they share in
+order are at least 0.8 of all runs of the two. Texts at that bound share a sketch with a chance of 0.99998, more similar ones
+almost surely. Linked texts, and their links in turn, are one class.
 
 Exact copies are one node from the start, and only texts with candidates are ever moved. A group of texts that share a sketch
-is not paired up: all are aligned with one pivot, and only what the pivot leaves open goes on (``_rounds``).
+is not paired up: its members are aligned with a few pivots, and go on only as far as they are not in one class yet (``_links``).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -18,12 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlens.llm.shared import mixed, ship, stored
+from martlens.llm.shared import mixed, ship, small_side, stored
 
 WORDS = 5
 SIMILARITY = 0.8
-SKETCHES = 32
-TAKEN = 3
+SKETCHES = 48
+TAKEN = 7
+#: Pivots of a group in the first round of alignments, and how many times more in each further round.
+MORE_PIVOTS = 8
 SEED = 7
 CACHED_WORDS = 500_000
 CELLS = 4_000_000
@@ -93,57 +97,59 @@ def order_minhash(runs: np.ndarray, sketches: int = SKETCHES, taken: int = TAKEN
     return out.view(np.int64)
 
 
-def banded_distance(left: list[int], right: list[int], most: int) -> int | None:
-    """The edit distance of two sequences if it is at most ``most``, else None.
+def shared_in_order(left: list[int], right: list[int], band: int) -> int:
+    """The longest common subsequence of two sequences, of pairs of places at most ``band`` apart.
 
-    Rows are places of ``left``, and one big integer holds the differences between neighbouring rows of a column, for the rows
-    at most ``most`` from the diagonal of a chunk of columns. Rows outside the band count as reached by steps of one, which can
-    only raise the result, and never for a path inside the band.
+    Rows are places of ``left``. One big integer holds, for the rows near the diagonal of a chunk of columns, whether the
+    length grows from a row to the next (a zero bit) as it stands after the last column; the next value of ``right`` is one
+    addition. Rows that leave the window have their growth added up; rows that enter have none yet.
     """
-    if abs(len(left) - len(right)) > most:
-        return None
     begin = 0
     while begin < min(len(left), len(right)) and left[begin] == right[begin]:
         begin += 1
     left, right = left[begin:], right[begin:]
-    while left and right and left[-1] == right[-1]:
-        left, right = left[:-1], right[:-1]
+    end = 0
+    while end < min(len(left), len(right)) and left[-1 - end] == right[-1 - end]:
+        end += 1
+    left, right = left[: len(left) - end], right[: len(right) - end]
     if not left or not right:
-        distance = max(len(left), len(right))
-        return distance if distance <= most else None
+        return begin + end
     places: dict[int, int] = {}
     for i, value in enumerate(left):
         places[value] = places.get(value, 0) | 1 << i
-    rows, columns = len(left), len(right)
-    width = min(rows, CHUNK + 2 * most + 2)
+    rows = len(left)
+    width = min(rows, CHUNK + 2 * band + 2)
     mask = (1 << width) - 1
-    low, top = 0, 0  # first row of the window, and the value above it
-    plus, minus = mask, 0
-    for start in range(0, columns, CHUNK):
-        shift = min(max(0, start - most - 1), rows - width) - low
+    low, grown, flat = 0, 0, mask
+    for start in range(0, len(right), CHUNK):
+        shift = min(max(0, start - band - 1), rows - width) - low
         if shift > 0:
             gone = (1 << shift) - 1
-            top += (plus & gone).bit_count() - (minus & gone).bit_count()
-            plus = plus >> shift | gone << (width - shift)
-            minus >>= shift
+            grown += shift - (flat & gone).bit_count()
+            flat = flat >> shift | gone << (width - shift)
             low += shift
         for value in right[start : start + CHUNK]:
-            match = places.get(value, 0) >> low & mask
-            zero = (((match & plus) + plus) ^ plus | match | minus) & mask
-            up = minus | (mask & ~(zero | plus))
-            down = plus & zero
-            up = (up << 1 | 1) & mask
-            down = down << 1 & mask
-            plus = down | (mask & ~(zero | up))
-            minus = up & zero
-        top += min(CHUNK, columns - start)
-    distance = top + plus.bit_count() - minus.bit_count()
-    return distance if distance <= most else None
+            match = flat & (places.get(value, 0) >> low)
+            if match:
+                flat = ((flat + match) | (flat - match)) & mask
+    return begin + end + grown + width - flat.bit_count()
 
 
-def allowed(left: int, right: int, similarity: float = SIMILARITY) -> int:
-    """The largest distance of linked sequences of these lengths."""
-    return int((1 - similarity) * max(left, right) + 1e-9)
+def least_shared(left: int, right: int, similarity: float = SIMILARITY) -> int:
+    """How many runs linked sequences of these lengths share in order at least."""
+    return math.ceil(similarity * (left + right) / (1 + similarity) - 1e-9)
+
+
+def linked(left: np.ndarray, right: np.ndarray, similarity: float = SIMILARITY) -> bool:
+    """Whether two sequences of runs share enough in order; those that share too little in any order are not aligned."""
+    least = least_shared(len(left), len(right), similarity)
+    if min(len(left), len(right)) < least:
+        return False
+    if len(np.intersect1d(labelled(left), labelled(right), assume_unique=True)) < least:
+        return False
+    # With so much shared, no pair of shared places is further apart than all the rest.
+    band = len(left) + len(right) - 2 * least
+    return shared_in_order(left.tolist(), right.tolist(), band) >= least
 
 
 def sketched(documents: DataFrame, words: int = WORDS) -> DataFrame:
@@ -175,89 +181,97 @@ def sketched(documents: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def aligned(pairs: DataFrame, texts: DataFrame, similarity: float, words: int) -> DataFrame:
-    """(a, b, limit, distance) of pairs (a, b) of nodes; the distance is null if it is over twice the limit."""
+    """(a, b, linked) of pairs (a, b) of nodes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            limits, distances = [], []
-            kept: tuple[str, list[int]] = ("", [])
+            kept, runs, found = None, None, []
             for left, right in zip(batch.column(2), batch.column(3)):
-                if (b := right.as_py()) != kept[0]:
-                    kept = (b, runs_of_words(b, words).tolist())
-                a = runs_of_words(left.as_py(), words).tolist()
-                limits.append(allowed(len(a), len(kept[1]), similarity))
-                distances.append(banded_distance(a, kept[1], 2 * limits[-1]))
+                if (text := right.as_py()) != kept:
+                    kept, runs = text, runs_of_words(text, words)
+                found.append(linked(runs_of_words(left.as_py(), words), runs, similarity))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(limits, pa.int64()), pa.array(distances, pa.int64())],
-                ["a", "b", "limit", "distance"],
+                [batch.column(0), batch.column(1), pa.array(found, pa.bool_())], ["a", "b", "linked"]
             )
 
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text")
-    return both.mapInArrow(run, "a long, b long, limit long, distance long")
+    return both.mapInArrow(run, "a long, b long, linked boolean")
+
+
+def only_here(texts: DataFrame, words: int) -> DataFrame:
+    """(node, only): how many labelled runs of a text no other of the texts has; texts without such runs are left out."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, text in zip(batch.column(0), batch.column(1)):
+                found = labelled(runs_of_words(text.as_py(), words)).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(found), node.as_py())), pa.array(found)], ["node", "run"]
+                )
+
+    runs = texts.select("node", "text").mapInArrow(run, "node long, run long")
+    single = runs.groupBy("run").agg(F.count("*").alias("texts"), F.min("node").alias("node")).where("texts = 1")
+    return single.groupBy("node").agg(F.count("*").alias("only"))
 
 
-def _rounds(members: DataFrame, texts: DataFrame, similarity: float, words: int) -> DataFrame | None:
-    """The links (a, b, distance) inside groups of texts that share a sketch: members (bucket, node, n).
+def linkable(members: DataFrame, texts: DataFrame, similarity: float, words: int) -> DataFrame:
+    """The members (bucket, node, n) that can have a link at all, with ``common``, their runs that some other text has.
 
-    In each round the members of a group are aligned with its pivots, its first members: one at first, then twice as many each
-    time. Those beyond the limit stay for the next round. A linked member may leave if every other member that stays is too far
-    from the pivot to be within the limit of it: by the triangle inequality, if the distances to the pivot differ by more than
-    the limit. So no link is lost that would join two classes, and a group of like texts ends after one round.
+    Two texts share at most the runs that each has in common with any other text. Most texts that share no more than a passage
+    or have too many edits are told by that alone.
     """
-    links, tested, pivots = [], None, 1
+    only = stored(only_here(texts, words), "near-only")
+    counted = members.join(small_side(only), "node", "left")
+    counted = counted.select("bucket", "node", "n", (F.col("n") - F.coalesce("only", F.lit(0))).alias("common"))
+    kept = counted.where(F.col("common") >= F.col("n") * similarity - 1e-9)
+    groups = kept.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"))
+    return stored(kept.join(groups.where("least < most").select("bucket"), "bucket"), "near-linkable")
+
+
+def _links(members: DataFrame, texts: DataFrame, similarity: float, words: int) -> DataFrame:
+    """(node, root) of the classes that the links make inside groups of texts that share a sketch.
+
+    Members are (bucket, node, n, common) with the runs that a text has, and has in common with any other.
+
+    In each round the members of a group are aligned with its pivots, its first members: one at first, then more. A pivot has
+    then met all others and leaves. A group is done when all its members are in one class, by whatever links. Two members of a
+    group that stay in different classes have therefore been aligned, or have too few common runs for their lengths: no link
+    between classes is lost. A large group of like texts ends after a round or two.
+    """
+    tested, roots, pivots = None, None, 1
+    members = members.withColumn("root", F.col("node"))
     while True:
         if pivots == 1:
-            first = members.groupBy("bucket").agg(F.min("node").alias("pivot"))
+            first = members.groupBy("bucket").agg(F.min("node").alias("node")).join(members, ["bucket", "node"])
         else:
             place = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
             first = members.withColumn("place", place).where(F.col("place") <= pivots)
-            first = first.select("bucket", F.col("node").alias("pivot"))
-        sizes = texts.select(F.col("node").alias("pivot"), F.col("n").alias("pivot_n"))
-        first = first.join(sizes, "pivot")
-        met = stored(
-            members.join(first, "bucket").where(F.col("node") > F.col("pivot")), "near-met"
-        )  # (bucket, node, n, pivot, pivot_n)
-        limit = F.floor((1 - similarity) * F.greatest("n", "pivot_n") + 1e-9)
-        near = met.where(F.abs(F.col("n") - F.col("pivot_n")) <= 2 * limit)
-        pairs = near.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+        named = [F.col(c).alias(f"pivot_{c}") for c in ("node", "n", "common", "root")]
+        first = stored(first.select("bucket", *named), "near-pivots")
+        least = F.ceil(similarity * (F.col("n") + F.col("pivot_n")) / (1 + similarity) - 1e-9)
+        enough = F.least("common", "pivot_common") >= least
+        near = members.join(first, "bucket").where((F.col("root") != F.col("pivot_root")) & enough)
+        pairs = near.select(F.greatest("node", "pivot_node").alias("a"), F.least("node", "pivot_node").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         found = stored(aligned(pairs, texts, similarity, words), "near-aligned")
-        links.append(found.where("distance <= limit").select("a", "b", "distance"))
-        tested = found if tested is None else tested.unionByName(found)
-
-        known = tested.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "limit", "distance")
-        judged = met.join(known, ["node", "pivot"], "left").select(
-            "bucket", "node", "n", "pivot", "limit", "distance", (F.col("distance") <= F.col("limit")).alias("linked")
-        )
-        # The nearest member of the group that the pivot leaves open: beyond the limit, but within twice of it.
-        judged = stored(judged, "near-judged")
-        doubt = judged.where("distance > limit").groupBy("bucket", "pivot").agg(F.min("distance").alias("doubt"))
-        widest = judged.groupBy("bucket").agg(F.max("n").alias("widest"))
-        far = F.floor((1 - similarity) * F.col("widest") + 1e-9)
-        safe = F.coalesce(F.col("linked"), F.lit(False)) & (
-            F.col("doubt").isNull() | (F.col("distance") + far < F.col("doubt"))
-        )
-        stays = (
-            judged.join(doubt, ["bucket", "pivot"], "left")
-            .join(widest, "bucket")
-            .groupBy("bucket", "node", "n")
-            .agg(F.max(safe.cast("int")).alias("safe"))
-            .where("safe = 0")
-        )
-        # A member that was a pivot itself has met everybody.
-        stays = stays.join(first.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"], "left_anti")
-        alone = stays.groupBy("bucket").agg(F.count("*").alias("left")).where(F.col("left") > 1).select("bucket")
-        members = stored(stays.join(alone, "bucket").select("bucket", "node", "n"), "near-open")
+        tested = found.select("a", "b") if tested is None else tested.unionByName(found.select("a", "b"))
+        fresh = found.where("linked").select("a", "b")
+        if roots is None:
+            roots = components(fresh)
+        elif not fresh.isEmpty():
+            roots = components(fresh.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
+        stays = members.join(first.select("bucket", F.col("pivot_node").alias("node")), ["bucket", "node"], "left_anti")
+        stays = stays.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        spread = stays.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+        open_ = spread.where("least < most").select("bucket")
+        members = stored(stays.join(open_, "bucket").select("bucket", "node", "n", "common", "root"), "near-open")
         if members.isEmpty():
-            break
-        pivots *= 2
-    out = links[0]
-    for more in links[1:]:
-        out = out.unionByName(more)
-    return out
+            return roots
+        pivots *= MORE_PIVOTS
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -290,24 +304,22 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, words: int = WORDS) -> DataFrame:
-    """One row per document: doc_id, class_id (smallest doc_id of its class), class_size and n_links of its text.
+    """One row per document: doc_id, class_id (smallest doc_id of its class) and class_size (its doc_ids).
 
-    Documents with the same text are one class without a link. A text that is null or has no words is alike to nothing, and a
-    row without a doc_id is in no class: its class_id is null. Rows that share a doc_id count as one document; each is returned.
+    Documents with the same text are one class. A text that is null or has no words is alike to nothing, and a row without a
+    doc_id is in no class: its class_id is null. Rows that share a doc_id count as one document; each is returned.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"))
-    known = class_table(documents, similarity, words)
-    same = known.select(F.col("doc_id").alias("_id"), "class_id", "class_size", "n_links")
-    return rows.join(same, F.col("doc_id") == F.col("_id"), "left").select(
+    known = class_table(documents, similarity, words).withColumnRenamed("doc_id", "_id")
+    return rows.join(known, F.col("doc_id") == F.col("_id"), "left").select(
         "doc_id",
         F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("class_size", F.lit(1)).alias("class_size"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
 
 
 def class_table(documents: DataFrame, similarity: float = SIMILARITY, words: int = WORDS) -> DataFrame:
-    """(doc_id, class_id, class_size, n_links), one row per doc_id that has words, stored."""
+    """(doc_id, class_id, class_size), one row per doc_id that has words, stored."""
     found = stored(sketched(documents, words), "near-sketched")
     nodes = found.groupBy("digest").agg(
         F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("sketches").alias("sketches")
@@ -317,29 +329,22 @@ def class_table(documents: DataFrame, similarity: float = SIMILARITY, words: int
     shared = shared.where("least < most").select("bucket")
     members = stored(members.join(shared, "bucket").select("bucket", "node", "n").distinct(), "near-members")
 
-    wanted = members.select("node", "n").distinct()
+    wanted = small_side(stored(members.select("node").distinct(), "near-nodes"))
     own = documents.select(F.col("doc_id").cast("long").alias("node"), "text").where("text IS NOT NULL")
-    texts = own.join(wanted, "node").groupBy("node", "n").agg(F.min("text").alias("text"))
-    texts = stored(texts, "near-texts")
+    texts = stored(own.join(wanted, "node").groupBy("node").agg(F.min("text").alias("text")), "near-texts")
+    roots = _links(linkable(members, texts, similarity, words), texts, similarity, words)
 
-    links = stored(_rounds(members, texts, similarity, words), "near-links")
-    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
-    counts = ends.groupBy("node").agg(F.count("*").alias("n_links"))
-    # A document with several texts (a repeated doc_id) joins the classes of all of them.
+    # Which node a document's text is; a document with several texts (a repeated doc_id) joins the classes of all of them.
     by_text = found.select("doc_id", "digest").distinct()
     copies = by_text.join(by_text.groupBy("digest").agg(F.min("doc_id").alias("node")), "digest")
-    spread = copies.groupBy("doc_id").agg(F.min("node").alias("node"), F.max("node").alias("_most"))
-    bridges = copies.join(spread.where("node < _most").select("doc_id", F.col("node").alias("v")), "doc_id")
-    bridges = bridges.select(F.col("node").alias("a"), F.col("v").alias("b")).where("a <> b")
-    roots = components(links.select("a", "b").unionByName(bridges))
-    classed = (
-        spread.select("doc_id", "node")
-        .join(roots, "node", "left")
-        .join(counts, "node", "left")
-        .select("doc_id", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    )
+    spread = stored(copies.groupBy("doc_id").agg(F.min("node").alias("node"), F.max("node").alias("most")), "near-copies")
+    several = spread.where("node < most")
+    if not several.isEmpty():
+        bridges = copies.join(several.select("doc_id", F.col("node").alias("b")), "doc_id").select(F.col("node").alias("a"), "b")
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(bridges))
+    classed = spread.join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"))
     sizes = classed.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    return stored(classed.join(sizes, "root").select("doc_id", "class_id", "class_size", "n_links"), "near-classes")
+    return stored(classed.join(sizes, "root").select("doc_id", "class_id", "class_size"), "near-classes")
 
 
 def without_near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, words: int = WORDS) -> DataFrame:
@@ -347,12 +352,14 @@ def without_near_duplicates(documents: DataFrame, similarity: float = SIMILARITY
 
     Documents without a doc_id, and those without words, stay.
     """
-    names = documents.columns
-    classes = class_table(documents, similarity, words).where("doc_id <> class_id").select(F.col("doc_id").alias("_id"))
-    kept = documents.join(classes, F.col("doc_id") == F.col("_id"), "left_anti")
-    repeated = (
-        documents.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_n")).where("_n > 1")
-    )
+    classes = class_table(documents, similarity, words)
+    dropped = stored(classes.where("doc_id <> class_id").select(F.col("doc_id").alias("_id")), "near-dropped")
+    kept = documents.join(small_side(dropped), F.col("doc_id") == F.col("_id"), "left_anti")
+    known = documents.where("doc_id IS NOT NULL")
+    repeated = known.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_n")).where("_n > 1").select("_id")
+    repeated = stored(repeated, "near-repeated")
+    if repeated.isEmpty():
+        return kept
+    repeated = small_side(repeated)
     several = kept.join(repeated, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
-    single = kept.join(repeated, F.col("doc_id") == F.col("_id"), "left_anti")
-    return single.unionByName(several).select(*names)
+    return kept.join(repeated, F.col("doc_id") == F.col("_id"), "left_anti").unionByName(several)
