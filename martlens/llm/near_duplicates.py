@@ -2,9 +2,9 @@
 
 A text is the sequence of its runs of five words, each labelled by how often it occurred before, so that no label repeats. For
 each of 48 seeded orders the seven smallest labelled runs are taken and kept in text order; their hash is one sketch. Texts
-that share a sketch are candidates, and the alignment of their sequences decides: they are linked if the runs they share in
-order are at least 0.8 of all runs of the two. Texts at that bound share a sketch with a chance of 0.99998, more similar ones
-almost surely. Linked texts, and their links in turn, are one class.
+that share three sketches are candidates, and the alignment of their sequences decides: they are linked if the runs they share
+in order are at least 0.8 of all runs of the two. Texts just at that bound share three sketches with a chance of 0.9988, more
+similar ones almost surely (0.99999 at 0.85). Linked texts, and their links in turn, are one class.
 
 Exact copies are one node from the start, and only texts with candidates are ever moved. A group of texts that share a sketch
 is not paired up: its members are aligned with a few pivots, and go on only as far as they are not in one class yet (``_links``).
@@ -26,6 +26,7 @@ WORDS = 5
 SIMILARITY = 0.8
 SKETCHES = 48
 TAKEN = 7
+AGREEING = 3
 #: Pivots of a group in the first round of alignments, and how many times more in each further round.
 MORE_PIVOTS = 8
 SEED = 7
@@ -216,16 +217,16 @@ def only_here(texts: DataFrame, words: int) -> DataFrame:
     return single.groupBy("node").agg(F.count("*").alias("only"))
 
 
-def linkable(members: DataFrame, texts: DataFrame, similarity: float, words: int) -> DataFrame:
-    """The members (bucket, node, n) that can have a link at all, with ``common``, their runs that some other text has.
+def linkable(nodes: DataFrame, texts: DataFrame, similarity: float, words: int) -> DataFrame:
+    """(bucket, node, n, common, sketches) of nodes (node, n, sketches) that can have a link at all, in shared buckets.
 
-    Two texts share at most the runs that each has in common with any other text. Most texts that share no more than a passage
-    or have too many edits are told by that alone.
+    ``common`` counts the runs that some other text has, too. Two texts share no more than what each has in common with any
+    other text: most texts that share just a passage, or have too many edits, are told by that alone.
     """
     only = stored(only_here(texts, words), "near-only")
-    counted = members.join(small_side(only), "node", "left")
-    counted = counted.select("bucket", "node", "n", (F.col("n") - F.coalesce("only", F.lit(0))).alias("common"))
+    counted = nodes.join(small_side(only), "node", "left").withColumn("common", F.col("n") - F.coalesce("only", F.lit(0)))
     kept = counted.where(F.col("common") >= F.col("n") * similarity - 1e-9)
+    kept = kept.select(F.explode("sketches").alias("bucket"), "node", "n", "common", "sketches")
     groups = kept.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"))
     return stored(kept.join(groups.where("least < most").select("bucket"), "bucket"), "near-linkable")
 
@@ -233,12 +234,13 @@ def linkable(members: DataFrame, texts: DataFrame, similarity: float, words: int
 def _links(members: DataFrame, texts: DataFrame, similarity: float, words: int) -> DataFrame:
     """(node, root) of the classes that the links make inside groups of texts that share a sketch.
 
-    Members are (bucket, node, n, common) with the runs that a text has, and has in common with any other.
+    Members are (bucket, node, n, common, sketches) with the runs that a text has, and has in common with any other.
 
     In each round the members of a group are aligned with its pivots, its first members: one at first, then more. A pivot has
-    then met all others and leaves. A group is done when all its members are in one class, by whatever links. Two members of a
-    group that stay in different classes have therefore been aligned, or have too few common runs for their lengths: no link
-    between classes is lost. A large group of like texts ends after a round or two.
+    then met all others and leaves. A group is done when all its members are in one class, by whatever links. Two texts meet in
+    the group of the first sketch they share, and only if they share ``AGREEING``. Such texts that stay in different classes
+    have therefore been aligned, or have too few common runs for their lengths: no link between classes is lost. A large
+    group of like texts ends after a round or two.
     """
     tested, roots, pivots = None, None, 1
     members = members.withColumn("root", F.col("node"))
@@ -248,11 +250,14 @@ def _links(members: DataFrame, texts: DataFrame, similarity: float, words: int)
         else:
             place = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
             first = members.withColumn("place", place).where(F.col("place") <= pivots)
-        named = [F.col(c).alias(f"pivot_{c}") for c in ("node", "n", "common", "root")]
+        named = [F.col(c).alias(f"pivot_{c}") for c in ("node", "n", "common", "sketches", "root")]
         first = stored(first.select("bucket", *named), "near-pivots")
         least = F.ceil(similarity * (F.col("n") + F.col("pivot_n")) / (1 + similarity) - 1e-9)
         enough = F.least("common", "pivot_common") >= least
-        near = members.join(first, "bucket").where((F.col("root") != F.col("pivot_root")) & enough)
+        same = F.zip_with("sketches", "pivot_sketches", lambda mine, other: F.when(mine == other, mine))
+        same = F.filter(same, lambda sketch: sketch.isNotNull())
+        agreeing = (F.size(same) >= AGREEING) & (F.get(same, F.lit(0)) == F.col("bucket"))
+        near = members.join(first, "bucket").where((F.col("root") != F.col("pivot_root")) & enough & agreeing)
         pairs = near.select(F.greatest("node", "pivot_node").alias("a"), F.least("node", "pivot_node").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -268,7 +273,7 @@ def _links(members: DataFrame, texts: DataFrame, similarity: float, words: int)
         stays = stays.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         spread = stays.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most"))
         open_ = spread.where("least < most").select("bucket")
-        members = stored(stays.join(open_, "bucket").select("bucket", "node", "n", "common", "root"), "near-open")
+        members = stored(stays.join(open_, "bucket").select("bucket", "node", "n", "common", "sketches", "root"), "near-open")
         if members.isEmpty():
             return roots
         pivots *= MORE_PIVOTS
@@ -324,15 +329,19 @@ def class_table(documents: DataFrame, similarity: float = SIMILARITY, words: int
     nodes = found.groupBy("digest").agg(
         F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("sketches").alias("sketches")
     )
-    members = nodes.select("node", "n", F.explode("sketches").alias("bucket"))
+    nodes = stored(nodes, "near-nodes")
+    members = nodes.select("node", F.explode("sketches").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"))
     shared = shared.where("least < most").select("bucket")
-    members = stored(members.join(shared, "bucket").select("bucket", "node", "n").distinct(), "near-members")
+    wanted = small_side(stored(members.join(shared, "bucket").select("node").distinct(), "near-wanted"))
 
-    wanted = small_side(stored(members.select("node").distinct(), "near-nodes"))
+    # Of several texts of a repeated doc_id, the one with the smallest digest stands for it.
+    of_node = nodes.join(wanted, "node").groupBy("node")
+    nodes = of_node.agg(F.min_by("n", "digest").alias("n"), F.min_by("sketches", "digest").alias("sketches"))
     own = documents.select(F.col("doc_id").cast("long").alias("node"), "text").where("text IS NOT NULL")
-    texts = stored(own.join(wanted, "node").groupBy("node").agg(F.min("text").alias("text")), "near-texts")
-    roots = _links(linkable(members, texts, similarity, words), texts, similarity, words)
+    texts = own.join(wanted, "node").groupBy("node").agg(F.min_by("text", F.sha2("text", 256)).alias("text"))
+    texts = stored(texts, "near-texts")
+    roots = _links(linkable(nodes, texts, similarity, words), texts, similarity, words)
 
     # Which node a document's text is; a document with several texts (a repeated doc_id) joins the classes of all of them.
     by_text = found.select("doc_id", "digest").distinct()
