@@ -3,6 +3,10 @@
 A text becomes a vector of hashed n-grams of its letters (1 to 3 letters, word ends included), weighted by log counts and by
 how rare each n-gram is among all training documents, scaled to length 1. For each language a bounded sample of its documents
 is clustered; a text gets the language of the centroid with the largest cosine, and is rejected if even that is small.
+
+How small depends on how many different n-grams a text has: a long text of any letters shares many n-grams with a centroid, but
+has a far smaller cosine than the long texts the language was learned from (``floors``). N-grams have 65,536 buckets, as a long
+text in an unlearned script would meet the n-grams of the centroids in fewer ones by chance.
 """
 
 from __future__ import annotations
@@ -17,12 +21,19 @@ from pyspark.sql import functions as F
 
 from martlens.llm.shared import code_points, ship, small_side, stored
 
-SIZE = 4096
+SIZE = 65536
 CLUSTERS = 4
 #: The clustering reads at most so many documents of a language; everything else reads all of them.
 PER_LANGUAGE = 400
 ROUNDS = 15
 REJECT_BELOW = 0.1
+#: A text is rejected below so much of the cosine that all but ``STRAY`` of the training texts of its size reach with the rest of
+#: their language.
+SHARE = 0.5
+STRAY = 0.02
+#: Sizes are powers of two of different n-grams; a size with fewer training texts of a language takes the bound of the size below.
+SIZES = 18
+LEAST_TEXTS = 20
 UNKNOWN = "und"
 _letters: list[np.ndarray] = []
 
@@ -56,28 +67,62 @@ def gram_counts(text: str, size: int = SIZE) -> np.ndarray:
 
 @dataclass
 class LanguageModel:
-    """Weights of the n-grams, centroids as rows of length 1, and the language of each row. No rows: nothing was learned."""
+    """Weights of the n-grams, centroids as rows of length 1, and of each row the language and the smallest cosine by size.
+
+    No rows: nothing was learned.
+    """
 
     weights: np.ndarray
     centroids: np.ndarray
     languages: list[str]
+    floors: np.ndarray
+
+    def entries(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """The places and values of a text's vector that are not 0."""
+        counts = gram_counts(text, len(self.weights))
+        grams = np.flatnonzero(counts)
+        raw = np.log1p(counts[grams]) * self.weights[grams]
+        return grams, (raw / max(float(np.linalg.norm(raw)), 1e-12)).astype(np.float32)
 
     def vector(self, text: str) -> np.ndarray:
-        raw = np.log1p(gram_counts(text, len(self.weights))) * self.weights
-        return (raw / max(float(np.linalg.norm(raw)), 1e-12)).astype(np.float32)
-
-    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        """Language and cosine clipped to 0..1 of each; ``und`` and 0 without a letter or a learned language."""
-        rows = [i for i, text in enumerate(texts) if has_letter(text)] if self.languages else []
-        out = [(UNKNOWN, 0.0)] * len(texts)
-        for begin in range(0, len(rows), 256):
-            part = rows[begin : begin + 256]
-            cosines = np.stack([self.vector(texts[i]) for i in part]) @ self.centroids.T
-            for i, best, cosine in zip(part, cosines.argmax(axis=1), cosines.max(axis=1)):
-                out[i] = (self.languages[best], float(min(1.0, max(0.0, cosine))))
+        out = np.zeros(len(self.weights), dtype=np.float32)
+        grams, values = self.entries(text)
+        out[grams] = values
+        return out
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float, float]]:
+        """Language, cosine clipped to 0..1 and smallest cosine not rejected; ``und``, 0, 0 without a letter or a learned language."""
+        out = [(UNKNOWN, 0.0, 0.0)] * len(texts)
+        by_gram = np.ascontiguousarray(self.centroids.T)
+        for i, text in enumerate(texts):
+            if self.languages and has_letter(text):
+                grams, values = self.entries(text)
+                cosines = values @ by_gram[grams]
+                best = int(cosines.argmax())
+                floor = float(self.floors[best, size_class(len(grams))])
+                out[i] = (self.languages[best], float(min(1.0, max(0.0, cosines[best]))), floor)
         return out
 
 
+def size_class(grams: int) -> int:
+    return min(grams.bit_length(), SIZES - 1)
+
+
+def smallest_cosines(vectors: np.ndarray) -> np.ndarray:
+    """By size, ``SHARE`` of a low cosine of a language's vectors with the sum of its other ones; 0 where too few tell."""
+    total = vectors.sum(axis=0, dtype=np.float64)
+    own = np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64)
+    dots = vectors @ total
+    rest = np.sqrt(np.maximum(total @ total - 2 * dots + own, 0))
+    cosines = (dots - own) / np.maximum(rest, 1e-12)
+    sizes = np.array([size_class(int(n)) for n in np.count_nonzero(vectors, axis=1)])
+    out = np.zeros(SIZES)
+    for size in range(1, SIZES):
+        here = cosines[sizes == size]
+        out[size] = SHARE * max(0.0, float(np.quantile(here, STRAY))) if len(here) >= LEAST_TEXTS else out[size - 1]
+    return out
+
+
 def cluster(vectors: np.ndarray, clusters: int, rounds: int = ROUNDS) -> np.ndarray:
     """Centroids of length 1 by cosine k-means, started from rows that lie far from each other; the same for the same rows."""
     centres = [vectors.mean(axis=0)]
@@ -122,7 +167,8 @@ def learn(
                     documents += 1
                     holding[:-1] += gram_counts(text, size) > 0
         holding[-1] = documents
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size + 1)), pa.array(holding)], ["gram", "n"])
+        held = np.flatnonzero(holding)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(holding[held])], ["gram", "n"])
 
     counted = rows.select("text").mapInArrow(frequencies, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     holding = np.zeros(size + 1)
@@ -138,32 +184,37 @@ def learn(
     place = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id", "text"))
     chosen = likely.withColumn("place", place).where(F.col("place") <= per_language).select("lang", "text")
 
-    blank = LanguageModel(weights, np.zeros((0, size), dtype=np.float32), [])
+    blank = LanguageModel(weights, np.zeros((0, size), dtype=np.float32), [], np.zeros((0, SIZES)))
 
     def centroids(group):
         import pandas as pd
 
         texts = [text for text in sorted(group["text"]) if has_letter(text)]
         if not texts:
-            return pd.DataFrame({"lang": [], "centroid": []})
-        found = cluster(np.stack([blank.vector(text) for text in texts]), clusters)
-        return pd.DataFrame({"lang": [group["lang"].iloc[0]] * len(found), "centroid": [row.tolist() for row in found]})
-
-    learned = chosen.groupBy("lang").applyInPandas(centroids, "lang string, centroid array<float>").collect()
-    learned.sort(key=lambda r: (r["lang"], r["centroid"]))
+            return pd.DataFrame({"lang": [], "centroid": [], "floors": []})
+        vectors = np.stack([blank.vector(text) for text in texts])
+        found = [row.astype("<f4").tobytes() for row in cluster(vectors, clusters)]
+        floors = smallest_cosines(vectors).tolist()
+        return pd.DataFrame({"lang": group["lang"].iloc[0], "centroid": found, "floors": [floors] * len(found)})
+
+    kinds = "lang string, centroid binary, floors array<double>"
+    learned = chosen.groupBy("lang").applyInPandas(centroids, kinds).collect()
+    learned.sort(key=lambda r: (r["lang"], bytes(r["centroid"])))
     if not learned:
         return blank
-    return LanguageModel(weights, np.array([r["centroid"] for r in learned], dtype=np.float32), [r["lang"] for r in learned])
+    rows_of = np.stack([np.frombuffer(bytes(r["centroid"]), dtype="<f4") for r in learned])
+    return LanguageModel(weights, rows_of, [r["lang"] for r in learned], np.array([r["floors"] for r in learned]))
 
 
 def shared_model(spark: SparkSession, model: LanguageModel):
-    return spark.sparkContext.broadcast((model.weights, model.centroids, model.languages))
+    return spark.sparkContext.broadcast((model.weights, model.centroids, model.languages, model.floors))
 
 
 def predict(documents: DataFrame, model: LanguageModel, reject_below: float = REJECT_BELOW) -> DataFrame:
     """The documents' columns, then lang_pred, score and rejected; an existing column of such a name is replaced.
 
-    A null, empty or letterless text is ``und`` with score 0 and rejected.
+    A null, empty or letterless text is ``und`` with score 0 and rejected. Others are rejected below ``reject_below`` or the
+    smallest cosine that the language's texts of such a size have, whichever is larger.
     """
     spark = documents.sparkSession
     ship(spark)
@@ -177,9 +228,9 @@ def predict(documents: DataFrame, model: LanguageModel, reject_below: float = RE
         for batch in batches:
             found = own.predict(batch.column(at).to_pylist())
             columns = [
-                pa.array([lang for lang, _ in found], pa.string()),
-                pa.array([score for _, score in found], pa.float64()),
-                pa.array([lang == UNKNOWN or score < reject_below for lang, score in found], pa.bool_()),
+                pa.array([lang for lang, _, _ in found], pa.string()),
+                pa.array([score for _, score, _ in found], pa.float64()),
+                pa.array([x == UNKNOWN or score < max(reject_below, floor) for x, score, floor in found], pa.bool_()),
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*frame_names, *added])
 

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import random
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from martlens.llm import language_id
@@ -51,6 +53,38 @@ def test_far_texts_are_rejected(spark):
     assert row.rejected and row.lang_pred in model.languages
 
 
+def test_long_texts_of_no_learned_language_are_rejected(spark):
+    documents = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    model = language_id.learn(language_id.training_part(documents))
+    draw = random.Random(4)
+
+    def invented(letters: str, size: int) -> str:
+        text = ""
+        while len(text) < size:
+            text += "".join(draw.choices(letters, k=draw.randint(2, 9))) + " "
+        return text[:size]
+
+    cyrillic, han = ("".join(map(chr, range(*ends))) for ends in ((0x430, 0x450), (0x4E00, 0x5A00)))
+    strange = []
+    for size in (100, 500, 1_000, 3_000, 10_000, 50_000):
+        strange += [invented(letters, size) for letters in (cyrillic, han, "abcdefghijklmnopqrstuvwxyz")]
+        strange.append("".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=size)))
+    held_out = documents.where("crc32(cast(doc_id as string)) % 3 = 1").orderBy("doc_id").collect()
+    longer = [r.text.split() for r in held_out if len(r.text.split()) > 300]
+    strange += [" ".join(word[::-1] for word in words) for words in longer[:50]]
+    clean = [" ".join(words[:n]) for words in longer[:50] for n in (40, 100, 300)]
+    rows = [(i, text) for i, text in enumerate(strange + clean)]
+    found = language_id.predict(spark.createDataFrame(rows, "doc_id long, text string"), model).orderBy("doc_id").collect()
+    assert [r.doc_id for r in found if r.rejected] == list(range(len(strange)))
+
+
+def test_few_training_texts_set_no_bound():
+    vectors = np.eye(3, 8, dtype=np.float32) + 0.5
+    assert language_id.smallest_cosines(vectors).max() == 0
+    many = language_id.smallest_cosines(np.tile(vectors / np.linalg.norm(vectors, axis=1)[:, None], (20, 1)))
+    assert many[4] > 0.3 and many[3] == 0 and many[-1] == many[4]
+
+
 def test_nothing_to_learn(spark):
     assert language_id.identify(no_documents(spark)).collect() == []
     bare = spark.createDataFrame([(1, "some words", None)], "doc_id long, text string, lang string")
