@@ -3,8 +3,12 @@
 A text is the sequence of its runs of five words, each labelled by how often it occurred before, so that no label repeats. For
 each of 48 seeded orders the seven smallest labelled runs are taken and kept in text order; their hash is one sketch. Texts
 that share three sketches are candidates, and the alignment of their sequences decides: they are linked if the runs they share
-in order are at least 0.8 of all runs of the two. Texts just at that bound share three sketches with a chance of 0.9988, more
-similar ones almost surely (0.99999 at 0.85). Linked texts, and their links in turn, are one class.
+in order are at least 0.8 of all runs of the two. Texts of at least 100 runs just at that bound share three sketches with a chance
+of 0.998 (0.9988 for long ones), more similar ones almost surely (0.99999 at 0.85). Linked texts, and their links in turn, are
+one class.
+
+Few sketches of short texts agree. Pairs with a text of under 100 runs are therefore found exactly, by the runs themselves: of
+texts that share enough, the rarest run they share is among the rarest few of both (``short_members``).
 
 Exact copies are one node from the start, and only texts with candidates are ever moved. A group of texts that share a sketch
 is not paired up: its members are aligned with a few pivots, and go on only as far as they are not in one class yet (``_links``).
@@ -27,6 +31,8 @@ SIMILARITY = 0.8
 SKETCHES = 48
 TAKEN = 7
 AGREEING = 3
+#: Pairs with a text of fewer runs are found by the runs instead of sketches.
+SHORT = 100
 #: Pivots of a group in the first round of alignments, and how many times more in each further round.
 MORE_PIVOTS = 8
 SEED = 7
@@ -153,31 +159,36 @@ def linked(left: np.ndarray, right: np.ndarray, similarity: float = SIMILARITY)
     return shared_in_order(left.tolist(), right.tolist(), band) >= least
 
 
-def sketched(documents: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, digest, n, sketches) of every document that has words; n counts its runs."""
+def sketched(documents: DataFrame, similarity: float = SIMILARITY, words: int = WORDS) -> DataFrame:
+    """(doc_id, digest, n, sketches, labels) of every document that has words; n counts its runs.
+
+    Texts of ``SHORT`` runs have sketches, shorter ones and those that may be linked to shorter ones have their labelled runs.
+    """
     ship(documents.sparkSession)
+    most = (SHORT - 1) / similarity + 1e-9
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
         for batch in batches:
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for doc_id, value in zip(batch.column(0), batch.column(1)):
                 text = value.as_py()
                 runs = runs_of_words(text, words)
                 if len(runs):
-                    for column, item in zip(
-                        out, (doc_id.as_py(), hashlib.sha256(text.encode()).digest()[:16], len(runs), order_minhash(runs))
-                    ):
+                    sketches = order_minhash(runs) if len(runs) >= SHORT else None
+                    labels = labelled(runs).view(np.int64) if len(runs) <= most else None
+                    digest = hashlib.sha256(text.encode()).digest()[:16]
+                    for column, item in zip(out, (doc_id.as_py(), digest, len(runs), sketches, labels)):
                         column.append(item)
-            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64())]
+            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(out, kinds)], ["doc_id", "digest", "n", "sketches"]
+                [pa.array(c, k) for c, k in zip(out, kinds)], ["doc_id", "digest", "n", "sketches", "labels"]
             )
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(
-        run, "doc_id long, digest binary, n long, sketches array<long>"
+        run, "doc_id long, digest binary, n long, sketches array<long>, labels array<long>"
     )
 
 
@@ -217,8 +228,27 @@ def only_here(texts: DataFrame, words: int) -> DataFrame:
     return single.groupBy("node").agg(F.count("*").alias("only"))
 
 
+def short_members(nodes: DataFrame, similarity: float) -> DataFrame:
+    """(bucket, node, n, common, marks) of short nodes (node, n, labels) that can have a link, in shared buckets.
+
+    ``marks`` are the runs that some other short text has, too, the rarest first, and ``common`` counts them. Of n runs a
+    link needs at least ``similarity * n`` shared ones, all of them among these; so the first one shared with a linked text has
+    so many less one behind it. The runs up to there are the buckets. Common passages come last and make none.
+    """
+    runs = nodes.where("labels IS NOT NULL").select("node", "n", F.explode("labels").alias("label"))
+    counts = stored(runs.groupBy("label").agg(F.count("*").alias("texts")).where("texts > 1"), "near-short-runs")
+    ordered = F.array_sort(F.collect_list(F.struct("texts", "label")))
+    held = runs.join(small_side(counts), "label").groupBy("node", "n").agg(ordered.alias("held"))
+    held = held.select("node", "n", F.size("held").alias("common"), F.col("held.label").alias("marks"))
+    spare = (F.col("common") - F.ceil(F.col("n") * similarity - 1e-9)).cast("int")
+    kept = held.where(spare >= 0).withColumn("bucket", F.explode(F.slice("marks", F.lit(1), spare + 1)))
+    kept = stored(kept, "near-short")
+    groups = kept.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"))
+    return kept.join(groups.where("least < most").select("bucket"), "bucket")
+
+
 def linkable(nodes: DataFrame, texts: DataFrame, similarity: float, words: int) -> DataFrame:
-    """(bucket, node, n, common, sketches) of nodes (node, n, sketches) that can have a link at all, in shared buckets.
+    """(bucket, node, n, common, marks) of nodes (node, n, sketches) that can have a link at all, in shared buckets.
 
     ``common`` counts the runs that some other text has, too. Two texts share no more than what each has in common with any
     other text: most texts that share just a passage, or have too many edits, are told by that alone.
@@ -226,21 +256,22 @@ def linkable(nodes: DataFrame, texts: DataFrame, similarity: float, words: int)
     only = stored(only_here(texts, words), "near-only")
     counted = nodes.join(small_side(only), "node", "left").withColumn("common", F.col("n") - F.coalesce("only", F.lit(0)))
     kept = counted.where(F.col("common") >= F.col("n") * similarity - 1e-9)
-    kept = kept.select(F.explode("sketches").alias("bucket"), "node", "n", "common", "sketches")
+    kept = kept.select(F.explode("sketches").alias("bucket"), "node", "n", "common", F.col("sketches").alias("marks"))
     groups = kept.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"))
-    return stored(kept.join(groups.where("least < most").select("bucket"), "bucket"), "near-linkable")
+    return kept.join(groups.where("least < most").select("bucket"), "bucket")
 
 
 def _links(members: DataFrame, texts: DataFrame, similarity: float, words: int) -> DataFrame:
-    """(node, root) of the classes that the links make inside groups of texts that share a sketch.
+    """(node, root) of the classes that the links make inside groups of texts that share a sketch or a rare run.
 
-    Members are (bucket, node, n, common, sketches) with the runs that a text has, and has in common with any other.
+    Members are (bucket, node, n, common, marks, by_run) with the runs that a text has, and has in common with any other. The
+    marks are the sketches, or the runs in groups by runs.
 
     In each round the members of a group are aligned with its pivots, its first members: one at first, then more. A pivot has
     then met all others and leaves. A group is done when all its members are in one class, by whatever links. Two texts meet in
-    the group of the first sketch they share, and only if they share ``AGREEING``. Such texts that stay in different classes
-    have therefore been aligned, or have too few common runs for their lengths: no link between classes is lost. A large
-    group of like texts ends after a round or two.
+    the group of the first sketch they share, and only if they share ``AGREEING``, or of the first run, and only if they share
+    enough runs in any order. Such texts that stay in different classes have therefore been aligned, or have too few common runs
+    for their lengths: no link between classes is lost. A large group of like texts ends after a round or two.
     """
     tested, roots, pivots = None, None, 1
     members = members.withColumn("root", F.col("node"))
@@ -250,13 +281,14 @@ def _links(members: DataFrame, texts: DataFrame, similarity: float, words: int)
         else:
             place = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
             first = members.withColumn("place", place).where(F.col("place") <= pivots)
-        named = [F.col(c).alias(f"pivot_{c}") for c in ("node", "n", "common", "sketches", "root")]
+        named = [F.col(c).alias(f"pivot_{c}") for c in ("node", "n", "common", "marks", "root")]
         first = stored(first.select("bucket", *named), "near-pivots")
         least = F.ceil(similarity * (F.col("n") + F.col("pivot_n")) / (1 + similarity) - 1e-9)
         enough = F.least("common", "pivot_common") >= least
-        same = F.zip_with("sketches", "pivot_sketches", lambda mine, other: F.when(mine == other, mine))
-        same = F.filter(same, lambda sketch: sketch.isNotNull())
-        agreeing = (F.size(same) >= AGREEING) & (F.get(same, F.lit(0)) == F.col("bucket"))
+        # Both arrays have the shared ones in the same order.
+        same = F.array_intersect("marks", "pivot_marks")
+        asked = F.when(F.col("by_run"), least).otherwise(AGREEING)
+        agreeing = (F.size(same) >= asked) & (F.get(same, F.lit(0)) == F.col("bucket"))
         near = members.join(first, "bucket").where((F.col("root") != F.col("pivot_root")) & enough & agreeing)
         pairs = near.select(F.greatest("node", "pivot_node").alias("a"), F.least("node", "pivot_node").alias("b")).distinct()
         if tested is not None:
@@ -273,7 +305,8 @@ def _links(members: DataFrame, texts: DataFrame, similarity: float, words: int)
         stays = stays.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         spread = stays.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most"))
         open_ = spread.where("least < most").select("bucket")
-        members = stored(stays.join(open_, "bucket").select("bucket", "node", "n", "common", "sketches", "root"), "near-open")
+        kept = ["bucket", "node", "n", "common", "marks", "by_run", "root"]
+        members = stored(stays.join(open_, "bucket").select(*kept), "near-open")
         if members.isEmpty():
             return roots
         pivots *= MORE_PIVOTS
@@ -325,23 +358,26 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, words:
 
 def class_table(documents: DataFrame, similarity: float = SIMILARITY, words: int = WORDS) -> DataFrame:
     """(doc_id, class_id, class_size), one row per doc_id that has words, stored."""
-    found = stored(sketched(documents, words), "near-sketched")
-    nodes = found.groupBy("digest").agg(
-        F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("sketches").alias("sketches")
-    )
+    found = stored(sketched(documents, similarity, words), "near-sketched")
+    # Of several texts of a repeated doc_id, the one with the smallest digest stands for it.
+    one_text = F.struct("digest", "n", "sketches", "labels")
+    nodes = found.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first(one_text).alias("text"))
+    nodes = nodes.groupBy("node").agg(F.min_by("text", "digest").alias("text")).select("node", "text.*")
     nodes = stored(nodes, "near-nodes")
-    members = nodes.select("node", F.explode("sketches").alias("bucket"))
+    members = nodes.where("sketches IS NOT NULL").select("node", F.explode("sketches").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"))
     shared = shared.where("least < most").select("bucket")
-    wanted = small_side(stored(members.join(shared, "bucket").select("node").distinct(), "near-wanted"))
+    by_sketch = stored(members.join(shared, "bucket").select("node").distinct(), "near-wanted")
+    short = stored(short_members(nodes, similarity), "near-short-members")
+    wanted = small_side(stored(by_sketch.unionByName(short.select("node")).distinct(), "near-wanted"))
 
-    # Of several texts of a repeated doc_id, the one with the smallest digest stands for it.
-    of_node = nodes.join(wanted, "node").groupBy("node")
-    nodes = of_node.agg(F.min_by("n", "digest").alias("n"), F.min_by("sketches", "digest").alias("sketches"))
     own = documents.select(F.col("doc_id").cast("long").alias("node"), "text").where("text IS NOT NULL")
     texts = own.join(wanted, "node").groupBy("node").agg(F.min_by("text", F.sha2("text", 256)).alias("text"))
     texts = stored(texts, "near-texts")
-    roots = _links(linkable(nodes, texts, similarity, words), texts, similarity, words)
+    by_sketch = small_side(by_sketch)
+    long = linkable(nodes.join(by_sketch, "node"), texts.join(by_sketch, "node"), similarity, words)
+    members = long.withColumn("by_run", F.lit(False)).unionByName(short.withColumn("by_run", F.lit(True)))
+    roots = _links(stored(members, "near-members"), texts, similarity, words)
 
     # Which node a document's text is; a document with several texts (a repeated doc_id) joins the classes of all of them.
     by_text = found.select("doc_id", "digest").distinct()

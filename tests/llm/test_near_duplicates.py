@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 from collections import defaultdict
 
@@ -134,6 +135,33 @@ def test_a_pivot_that_leaves_a_link_open(spark):
         assert {r.class_id for r in rows} == {0}
 
 
+def test_near_copies_of_short_texts(spark):
+    """Texts of 5 to 30 words with one word changed, put in front, put behind or left out, and a common passage in many texts."""
+    rows = []
+    for size in range(5, 31):
+        for copy in range(6):
+            words = prose(100 * size + copy, size).split()
+            changed = [words[:-1] + ["other"], words + ["more"], ["more"] + words, words[1:], words[:-2]]
+            rows += [" ".join(x) for x in (words, *changed)]
+    rows += [f"{prose(5, 15)} {prose(9000 + i, 4)}" for i in range(80)]
+    rows = list(enumerate(dict.fromkeys(rows)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = plain_classes(rows)
+    assert {r.doc_id: r.class_id for r in near_duplicates.near_duplicates(frame).collect()} == wanted
+    assert len(set(wanted.values())) < len(rows) - 400
+
+
+@pytest.mark.parametrize("size", [95, 99, 100, 104, 110, 127])
+def test_pairs_about_the_bound_between_the_methods(spark, size):
+    rows = []
+    for copy in range(12):
+        words = prose(50 * size + copy, size).split()
+        rows += [" ".join(words), " ".join(words[: 4 + math.ceil(0.8 * (size - 4))])]
+    rows = list(enumerate(rows))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in near_duplicates.near_duplicates(frame).collect()} == plain_classes(rows)
+
+
 def test_odd_documents(spark):
     rows = near_duplicates.near_duplicates(odd_documents(spark)).collect()
     assert len(rows) == len(odd_rows())
