@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import math
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -102,6 +102,34 @@ def test_classes_equal_all_pairs(spark, folder):
     assert found == wanted and len(set(found.values())) < len(found)
 
 
+def test_classes_equal_plain_shingles(spark):
+    """Pairs of all sizes with ever more words changed, judged by shingles of words alone; no pair swaps passages."""
+
+    def shingles(text: str) -> Counter:
+        words = text.lower().split()
+        return Counter(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+
+    draw = random.Random(8)
+    rows = []
+    for size in (5, 9, 20, 60, 110, 180, 300):
+        for changes in range(1, 12):
+            words = prose(1000 * size + changes, size).split()
+            other = list(words)
+            for place in draw.sample(range(size), min(changes, size)):
+                other[place] = f"c{place}"
+            rows += [" ".join(words), " ".join(other)]
+    rows = list(enumerate(rows))
+    pairs, held = [], [shingles(text) for _, text in rows]
+    for i, left in enumerate(held):
+        for j in range(i):
+            if (left & held[j]).total() >= 0.8 * (left | held[j]).total() - 1e-9:
+                pairs.append((i, j))
+    roots = union_find(pairs)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in near_duplicates.near_duplicates(frame).collect()}
+    assert found == {i: roots.get(i, i) for i, _ in rows} and 10 < len(pairs) < 70
+
+
 def test_many_copies_and_shared_passages(spark):
     """A group of near copies, and texts that share most of a passage but not each other's rest."""
     draw = random.Random(11)
