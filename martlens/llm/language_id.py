@@ -34,6 +34,9 @@ STRAY = 0.02
 #: Sizes are powers of two of different n-grams; a size with fewer training texts of a language takes the bound of the size below.
 SIZES = 18
 LEAST_TEXTS = 20
+#: Texts of up to 127 different n-grams are rejected below this share of the common bound: a clean one of common words has a small cosine.
+SMALL_SIZE = 7
+SMALL_SHARE = 0.4
 UNKNOWN = "und"
 _letters: list[np.ndarray] = []
 
@@ -90,17 +93,18 @@ class LanguageModel:
         out[grams] = values
         return out
 
-    def predict(self, texts: list[str | None]) -> list[tuple[str, float, float]]:
-        """Language, cosine clipped to 0..1 and smallest cosine not rejected; ``und``, 0, 0 without a letter or a learned language."""
-        out = [(UNKNOWN, 0.0, 0.0)] * len(texts)
+    def predict(self, texts: list[str | None], reject_below: float = REJECT_BELOW) -> list[tuple[str, float, bool]]:
+        """Language, cosine clipped to 0..1, and if it is too small; ``und``, 0, True without a letter or a learned language."""
+        out = [(UNKNOWN, 0.0, True)] * len(texts)
         by_gram = np.ascontiguousarray(self.centroids.T)
         for i, text in enumerate(texts):
             if self.languages and has_letter(text):
                 grams, values = self.entries(text)
                 cosines = values @ by_gram[grams]
                 best = int(cosines.argmax())
-                floor = float(self.floors[best, size_class(len(grams))])
-                out[i] = (self.languages[best], float(min(1.0, max(0.0, cosines[best]))), floor)
+                size, cosine = size_class(len(grams)), float(min(1.0, max(0.0, cosines[best])))
+                least = reject_below * (SMALL_SHARE if size <= SMALL_SIZE else 1)
+                out[i] = (self.languages[best], cosine, cosine < max(least, float(self.floors[best, size])))
         return out
 
 
@@ -226,11 +230,11 @@ def predict(documents: DataFrame, model: LanguageModel, reject_below: float = RE
         own = LanguageModel(*held.value)
         at = frame_names.index("text")
         for batch in batches:
-            found = own.predict(batch.column(at).to_pylist())
+            found = own.predict(batch.column(at).to_pylist(), reject_below)
             columns = [
                 pa.array([lang for lang, _, _ in found], pa.string()),
                 pa.array([score for _, score, _ in found], pa.float64()),
-                pa.array([x == UNKNOWN or score < max(reject_below, floor) for x, score, floor in found], pa.bool_()),
+                pa.array([far for _, _, far in found], pa.bool_()),
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*frame_names, *added])
 

@@ -72,7 +72,7 @@ def test_long_texts_of_no_learned_language_are_rejected(spark):
     held_out = documents.where("crc32(cast(doc_id as string)) % 3 = 1").orderBy("doc_id").collect()
     longer = [r.text.split() for r in held_out if len(r.text.split()) > 300]
     strange += [" ".join(word[::-1] for word in words) for words in longer[:50]]
-    clean = [" ".join(words[:n]) for words in longer[:50] for n in (40, 100, 300)]
+    clean = [" ".join(words[:n]) for words in longer[:50] for n in (4, 40, 100, 300)]
     rows = [(i, text) for i, text in enumerate(strange + clean)]
     found = language_id.predict(spark.createDataFrame(rows, "doc_id long, text string"), model).orderBy("doc_id").collect()
     assert [r.doc_id for r in found if r.rejected] == list(range(len(strange)))
