@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from martlens.llm import (
+    bpe_chunks,
     fingerprints,
     language_id,
     mixing,
@@ -65,6 +66,10 @@ def op10_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_vectors.search(table(spark, sf_dir, "embeddings"))
 
 
+def op11_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_chunks.encode_digests(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_fingerprints,
@@ -77,5 +82,6 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_pieces,
         op9_near_duplicates,
         op10_nearest_vectors,
+        op11_bpe_chunks,
     ]
     return {query.__name__: query for query in found}
