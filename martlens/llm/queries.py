@@ -14,6 +14,7 @@ from martlens.llm import (
     near_duplicates,
     nearest_vectors,
     pieces,
+    ranked_search,
     secret_scan,
     token_counts,
     token_output,
@@ -70,6 +71,10 @@ def op11_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_chunks.encode_digests(table(spark, sf_dir, "documents"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_fingerprints,
@@ -83,5 +88,6 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_near_duplicates,
         op10_nearest_vectors,
         op11_bpe_chunks,
+        op13_ranked_search,
     ]
     return {query.__name__: query for query in found}

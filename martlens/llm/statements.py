@@ -153,5 +153,98 @@ SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN taken ELSE 0 E
 """
 
 
+OP12 = r"""
+WITH RECURSIVE pieces AS MATERIALIZED (
+    SELECT row_number() OVER () AS piece, lang, regexp_extract_all(text, '[^\x20\x09]+') AS words
+    FROM (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[.,;:!?\x0A-\x0D]')) AS text
+        FROM documents
+    )
+), sized AS MATERIALIZED (
+    SELECT lang, words, unnest([1, 2, 3, 4]) AS k FROM pieces WHERE len(words) > 0
+), phrases AS MATERIALIZED (
+    SELECT lang, k, phrase, count(*)::BIGINT AS f
+    FROM (
+        SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase
+        FROM (SELECT lang, k, words, unnest(range(1, len(words) - k + 2)) AS i FROM sized)
+    )
+    GROUP BY lang, k, phrase
+), totals AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM phrases WHERE k = 1 GROUP BY lang
+), candidates AS MATERIALIZED (
+    SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS words FROM phrases WHERE k > 1 AND f >= 30
+), cuts AS (
+    SELECT lang, k, phrase, a, array_to_string(words[1:c], ' ') AS head, array_to_string(words[c + 1:k], ' ') AS rest, c
+    FROM (SELECT *, unnest(range(1, k)) AS c FROM candidates)
+), scored AS (
+    SELECT c.lang, c.phrase, c.a, h.f AS l, t.f AS r, c.c,
+           ((2000000::HUGEINT * c.a) // (h.f::HUGEINT + t.f))::BIGINT AS score
+    FROM cuts c JOIN phrases h ON h.lang = c.lang AND h.phrase = c.head AND h.k = c.c
+                JOIN phrases t ON t.lang = c.lang AND t.phrase = c.rest AND t.k = c.k - c.c
+), lowest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+), inside AS (
+    SELECT lang, array_to_string(words[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+    FROM (
+        SELECT lang, a, words, m, unnest(range(1, k - m + 2)) AS i
+        FROM (SELECT lang, a, words, k, unnest(range(2, k)) AS m FROM candidates WHERE k > 2)
+    )
+    GROUP BY 1, 2
+), ranked AS (
+    SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, s.phrase) AS rank,
+           s.phrase, s.a, s.l, s.r, t.n, s.score
+    FROM lowest s JOIN totals t ON t.lang = s.lang LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase
+    WHERE i.longer IS NULL OR 100::HUGEINT * i.longer < 80::HUGEINT * s.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+OP13 = r"""
+WITH docs AS MATERIALIZED (
+    SELECT row_number() OVER () AS doc, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), corpus AS (
+    SELECT count(*)::BIGINT AS docs, sum(len(terms))::BIGINT AS length FROM docs WHERE len(terms) > 0
+), counts AS MATERIALIZED (
+    SELECT doc, term, count(*)::BIGINT AS tf FROM (SELECT doc, unnest(terms) AS term FROM docs) GROUP BY doc, term
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM counts, corpus GROUP BY term, docs
+), asked AS (
+    SELECT item, item_id, term, count(*)::BIGINT AS times
+    FROM (
+        SELECT row_number() OVER () AS item, item_id,
+               unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark
+    )
+    GROUP BY ALL
+), scores AS (
+    SELECT a.item, a.item_id, c.doc, d.doc_id,
+           sum(a.times * w.w * ((1000000000 * c.tf) // (1000 * c.tf + 12 * (100 - 25 + ((25 * len(d.terms) * docs) // length)))))::BIGINT
+               AS score
+    FROM asked a JOIN weights w USING (term) JOIN counts c USING (term) JOIN docs d ON d.doc = c.doc, corpus
+    GROUP BY ALL
+)
+SELECT item_id, rank, doc_id, score
+FROM (
+    SELECT item_id, doc_id, score,
+           row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+    FROM scores WHERE score > 0
+)
+WHERE rank <= 20
+"""
+
+
 def llm_statements() -> dict[str, str]:
-    return {"op3_secret_scans": OP3, "op4_url_filters": OP4, "op6_mixing": OP6}
+    return {
+        "op3_secret_scans": OP3,
+        "op4_url_filters": OP4,
+        "op6_mixing": OP6,
+        "op12_collocations": OP12,
+        "op13_ranked_search": OP13,
+    }
