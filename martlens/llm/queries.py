@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martlens.llm import (
     bpe_chunks,
+    collocations,
     fingerprints,
     language_id,
     mixing,
@@ -71,6 +72,10 @@ def op11_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_chunks.encode_digests(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -88,6 +93,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_near_duplicates,
         op10_nearest_vectors,
         op11_bpe_chunks,
+        op12_collocations,
         op13_ranked_search,
     ]
     return {query.__name__: query for query in found}

@@ -154,7 +154,7 @@ SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN taken ELSE 0 E
 
 
 OP12 = r"""
-WITH RECURSIVE pieces AS MATERIALIZED (
+WITH pieces AS MATERIALIZED (
     SELECT row_number() OVER () AS piece, lang, regexp_extract_all(text, '[^\x20\x09]+') AS words
     FROM (
         SELECT coalesce(lang, 'und') AS lang,
