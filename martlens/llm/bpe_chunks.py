@@ -5,17 +5,18 @@ hold is cut alike in all of them. Chunks that several documents share are counte
 saves most are encoded once, by one task each, and sent to all tasks. Any other chunk is encoded by the task that meets it and
 remembered while the task runs.
 
-Tokens of a chunk need not be tokens of the text: a cut may go through a word, a run of blanks or a contraction. So the end of
-what was accepted and the start of the next chunk are split into words again, in a window that grows until its words end where
-a word of the next chunk starts. From there on both splits agree, as a word depends on nothing before its start; the encoded
-words of the chunk hold. If a window reaches the end of the chunk without that, the chunk is dropped and the window goes on
-into the next one. The ids are those of the whole text, whatever the cuts.
+Tokens of a chunk need not be tokens of the text: a cut may go through a word, a run of blanks or a contraction. So joins are
+encoded again. No merge and no word of the tokenizer goes across a blank that something other than white space follows, and that is
+told by these two characters alone, so both the chunk and the text have a border there. Where the last border of what was accepted
+and the first border inside the next chunk are found, everything between them is encoded anew, and both sides agree with the whole
+text from there on; a chunk without a border inside is taken into the join, which then goes on into the next one. The ids are those
+of the whole text, whatever the cuts.
 """
 
 from __future__ import annotations
 
 import hashlib
-import unicodedata
+import os
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -34,20 +35,8 @@ LEAST, MOST = 64, 4096
 #: The most chunks that are encoded once for all tasks. What is sent is at most so many chunks of at most ``MOST`` code points.
 SENT_CHUNKS = 8192
 #: Words and chunks that a task remembers before it starts anew, and the longest remembered word.
-CACHED_WORDS, CACHED_CHUNKS, CACHED_LENGTH = 200_000, 20_000, 64
+CACHED_WORDS, CACHED_CHUNKS, CACHED_LENGTH = 300_000, 10_000, 64
 FLUSH_ROWS, FLUSH_IDS = 2_000, 2_000_000
-_unassigned: list[np.ndarray] = []
-
-
-def has_unassigned(codes: np.ndarray) -> bool:
-    """If some code point has no category yet; libraries differ on those."""
-    if not _unassigned:
-        table = np.ones(0x110000, dtype=bool)
-        table[:] = [unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)]
-        _unassigned.append(table)
-    return bool(_unassigned[0][codes].any())
-
-
 def cuts(codes: np.ndarray) -> list[int]:
     """Where the chunks of a text end: content-defined places, the last one the end of the text."""
     size = len(codes)
@@ -83,7 +72,8 @@ class Encoder:
     """Encodes texts with a tokenizer of byte-level BPE; ``sent`` holds chunks that were encoded before."""
 
     def __init__(self, model: str = MODEL, sent: dict[str, tuple] | None = None):
-        import public_tokenizers
+        # Batches are small, and tasks run side by side already.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
 
@@ -92,130 +82,78 @@ class Encoder:
         self.library.no_padding()
         if self.library.normalizer is not None or type(self.library.pre_tokenizer).__name__ != "ByteLevel":
             raise ValueError("only byte-level tokenizers without a normalizer are supported")
-        if self.library.pre_tokenizer.add_prefix_space:
-            raise ValueError("tokenizers that put a blank before the text are not supported")
+        if self.library.pre_tokenizer.add_prefix_space or not self.library.pre_tokenizer.use_regex:
+            raise ValueError("only tokenizers that split words with their blank before them are supported")
         added = self.library.get_added_tokens_decoder()
         if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
             raise ValueError("added tokens that take blanks with them are not supported")
         self.added = {t.content: i for i, t in added.items()}
         names = sorted(self.added, key=len, reverse=True)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
-        self.words = regex.compile(public_tokenizers.PATTERN)
+        self.borders = regex.compile(r" (?=\S)")
         self.sent = sent or {}
         self.ids_of: dict[str, list[int]] = {}
         self.chunks: dict[str, tuple] = {}
 
-    def split(self, text: str, plain: bool) -> list[str]:
-        """The words that merges never cross; code points without a category are left to the library."""
-        if plain:
-            return self.words.findall(text)
-        return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
+    def units(self, text: str) -> list[str]:
+        """A text, cut before every blank that something other than white space follows."""
+        first, *others = self.borders.split(text)
+        return [first, *[" " + unit for unit in others]]
 
-    def word_ids(self, words: list[str]) -> list[list[int]]:
+    def unit_ids(self, units: list[str]) -> list[list[int]]:
         known = self.ids_of
-        missing = list(set(words).difference(known))
+        missing = list(set(units).difference(known))
         if missing:
             found = self.library.encode_batch_fast(missing, add_special_tokens=False)
             known.update(zip(missing, [e.ids for e in found]))
-        ids = [known[word] for word in words]
+        ids = list(map(known.__getitem__, units))
         if len(known) > CACHED_WORDS:
             known.clear()
         else:
-            for word in missing:
-                if len(word) > CACHED_LENGTH:
-                    del known[word]
+            for unit in missing:
+                if len(unit) > CACHED_LENGTH:
+                    del known[unit]
         return ids
 
-    def chunk(self, text: str, plain: bool) -> tuple[list[str], list[list[int]]]:
-        """The words of a chunk taken alone, and their ids."""
+    def chunk(self, text: str) -> tuple[int, int, list[int]]:
+        """Where the first and the last border inside a chunk are, and the ids between them; both are -1 without a border."""
         found = self.sent.get(text) or self.chunks.get(text)
         if found is None:
-            words = self.split(text, plain)
-            found = (words, self.word_ids(words))
+            units = self.units(text)
+            if len(units) == 1:
+                found = (-1, -1, [])
+            else:
+                found = (len(units[0]), len(text) - len(units[-1]), list(chain.from_iterable(self.unit_ids(units[1:-1]))))
             if len(self.chunks) >= CACHED_CHUNKS:
                 self.chunks.clear()
             self.chunks[text] = found
         return found
 
     def encode(self, text: str) -> tuple[list[int], int, int]:
-        """The ids of a text, the number of its chunks, and of those joins that no word of the text starts at."""
+        """The ids of a text, the number of its chunks, and of those cuts that are no border, where chunks alone go wrong."""
         ids, chunks, crossed = [], 0, 0
         for part in self.specials.split(text) if self.specials else [text]:
             if part in self.added:
                 ids.append(self.added[part])
             elif part:
-                found, number, through = self._segment(part)
-                ids.extend(found)
+                number, through = self._segment(part, ids)
                 chunks, crossed = chunks + number, crossed + through
         return ids, chunks, crossed
 
-    def _segment(self, text: str) -> tuple[list[int], int, int]:
-        codes = code_points(text)
-        plain = text.isascii() or not has_unassigned(codes)
-        ends = cuts(codes)
-        out: list[list[int]] = []
-        # Everything before ``at`` is in ``out``, and a word of the text starts there.
+    def _segment(self, text: str, ids: list[int]) -> tuple[int, int]:
+        ends = cuts(code_points(text))
+        # Everything before ``at``, a border of the text, is in ``ids``.
         start = at = crossed = 0
         for end in ends:
-            words, ids = self.chunk(text[start:end], plain)
-            first = 0
-            if at < start:
-                first, at, exact = self._joined(text, at, start, end, words, plain, out)
-                crossed += not exact
-            if first is not None:
-                last = len(words)
-                if end < len(text):
-                    # The last words may go on: their ends or what they look ahead to lie beyond the chunk.
-                    last, place = self._certain(words, first, end)
-                    out.extend(ids[first:last])
-                    at = place
-                else:
-                    out.extend(ids[first:])
-                    at = end
+            first, last, between = self.chunk(text[start:end])
+            crossed += start > 0 and first != 0
+            if first >= 0:
+                ids.extend(chain.from_iterable(self.unit_ids(self.units(text[at : start + first]))))
+                ids.extend(between)
+                at = start + last
             start = end
-        return list(chain.from_iterable(out)), len(ends), crossed
-
-    @staticmethod
-    def _certain(words: list[str], first: int, end: int) -> tuple[int, int]:
-        """How many words of a chunk do not depend on what follows it, and where they end.
-
-        A word looks at most one code point past a run of blanks that it leaves one blank of, or two past an apostrophe.
-        """
-        last, place = len(words), end
-        while last > first:
-            begin = place - len(words[last - 1])
-            if max(place + 2, begin + 3) <= end:
-                break
-            last, place = last - 1, begin
-        return last, place
-
-    def _joined(
-        self, text: str, at: int, start: int, end: int, words: list[str], plain: bool, out: list
-    ) -> tuple[int | None, int, bool]:
-        """Split again from ``at`` until a word starts where one of the chunk does; add the words before it.
-
-        Gives the number of that word (None: no such word), its place, and if it is the first one.
-        """
-        starts, place = {}, start
-        for number, word in enumerate(words):
-            starts[place] = number
-            place += len(word)
-        reach = start + WINDOW
-        while True:
-            stop = min(reach, end)
-            fresh, place, taken = self.split(text[at:stop], plain), at, 0
-            for word in fresh:
-                if place in starts:
-                    break
-                after = place + len(word)
-                if stop < len(text) and max(after + 2, place + 3) > stop:
-                    break
-                place, taken = after, taken + 1
-            agreed = starts.get(place)
-            if agreed is not None or stop == end:
-                out.extend(self.word_ids(fresh[:taken]))
-                return agreed, place, agreed == 0
-            reach = start + 2 * (reach - start)
+        ids.extend(chain.from_iterable(self.unit_ids(self.units(text[at:]))))
+        return len(ends), crossed
 
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids, skip_special_tokens=False)
@@ -232,7 +170,7 @@ def segments(text: str, specials) -> list[str]:
 
 
 def shared_chunks(documents: DataFrame, model: str = MODEL, most: int = SENT_CHUNKS) -> dict[str, tuple]:
-    """The words and ids of the ``most`` chunks whose reuse saves most, encoded once each; for ``Encoder.sent``.
+    """What ``Encoder.chunk`` gives for the ``most`` chunks whose reuse saves most, encoded once each; for ``Encoder.sent``.
 
     Every chunk of every document is counted by a 64-bit key, once per document. Only keys with counts move; the texts of the chosen
     chunks follow in a second pass. A wrong choice by two chunks with one key costs time only.
@@ -287,16 +225,14 @@ def shared_chunks(documents: DataFrame, model: str = MODEL, most: int = SENT_CHU
 
     def encoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Encoder(model)
+        names, kinds = ["chunk", "first", "last", "ids"], [pa.string(), pa.int32(), pa.int32(), pa.list_(pa.int32())]
         for batch in batches:
-            chunks = batch.column(0).to_pylist()
-            split = [own.chunk(c, c.isascii() or not has_unassigned(code_points(c))) for c in chunks]
-            kinds = [pa.string(), pa.list_(pa.string()), pa.list_(pa.list_(pa.int32()))]
-            columns = [chunks, [words for words, _ in split], [ids for _, ids in split]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["chunk", "words", "ids"])
+            rows = [(chunk, *own.chunk(chunk)) for chunk in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     once = texts.mapInArrow(met, "chunk string").distinct() if chosen else spark.createDataFrame([], "chunk string")
-    rows = once.mapInArrow(encoded, "chunk string, words array<string>, ids array<array<int>>")
-    return {row["chunk"]: (row["words"], row["ids"]) for row in rows.toLocalIterator()}
+    rows = once.mapInArrow(encoded, "chunk string, first int, last int, ids array<int>")
+    return {row["chunk"]: (row["first"], row["last"], row["ids"]) for row in rows.toLocalIterator()}
 
 
 def encode(documents: DataFrame, model: str = MODEL, most: int = SENT_CHUNKS) -> DataFrame:
@@ -307,8 +243,8 @@ def encode(documents: DataFrame, model: str = MODEL, most: int = SENT_CHUNKS) ->
 def encode_digests(documents: DataFrame, model: str = MODEL, most: int = SENT_CHUNKS) -> DataFrame:
     """doc_id, n_tokens, digests of the ids and of the text decoded from them, and how the text was cut.
 
-    ``n_chunks`` counts the chunks of the text, ``n_crossed`` those joins of two chunks that lie inside a word, where the tokens of
-    the chunks taken alone would be wrong. A null or empty text has no ids; its digests are those of the empty string.
+    ``n_chunks`` counts the chunks of the text, ``n_crossed`` those joins of two chunks that lie inside a unit, where the tokens of
+    the chunks taken alone may be wrong. A null or empty text has no ids; its digests are those of the empty string.
     """
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_chunks long, n_crossed long"
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
