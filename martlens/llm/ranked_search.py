@@ -253,13 +253,18 @@ def bound_rows(matrices: DataFrame, block: Block, floors: np.ndarray | None) ->
                 out: list[tuple] = []
                 for first, found in bounds.of(rows, np.array(sizes.as_py(), dtype=np.int64), bits):
                     wanted = found >= floors[:, None] if floors is not None else found > least[:, None]
-                    for item, column in zip(*np.nonzero(wanted)):
-                        at = first + int(column)
-                        row = (int(item), digests[at], doc_ids[at], int(found[item, column]))
-                        (out if floors is not None else best[item]).append(row)
-                    if floors is None:
-                        for item in np.flatnonzero(wanted.any(axis=1)):
-                            best[item] = sorted(best[item], key=lambda r: (-r[3], r[1]))[:BEST]
+                    for item in np.flatnonzero(wanted.any(axis=1)):
+                        columns = np.flatnonzero(wanted[item])
+                        if floors is None and len(columns) > BEST:
+                            columns = columns[np.argpartition(-found[item, columns], BEST - 1)[:BEST]]
+                        more = [
+                            (int(item), digests[first + c], doc_ids[first + c], bound)
+                            for c, bound in zip(columns.tolist(), found[item, columns].tolist())
+                        ]
+                        if floors is not None:
+                            out += more
+                        else:
+                            best[item] = sorted(best[item] + more, key=lambda r: (-r[3], r[1]))[:BEST]
                             least[item] = best[item][-1][3] if len(best[item]) == BEST else 0
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*out), kinds)], names)
