@@ -18,7 +18,6 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +33,8 @@ AVERAGE_BITS = 9
 LEAST, MOST = 64, 4096
 #: The most chunks that are encoded once for all tasks. What is sent is at most so many chunks of at most ``MOST`` code points.
 SENT_CHUNKS = 8192
-#: Words and chunks that a task remembers before it starts anew, and the longest remembered word.
-CACHED_WORDS, CACHED_CHUNKS, CACHED_LENGTH = 300_000, 10_000, 64
+#: Units and chunks that a task remembers before it starts anew, and the longest remembered unit.
+CACHED_WORDS, CACHED_CHUNKS, CACHED_LENGTH = 600_000, 10_000, 64
 FLUSH_ROWS, FLUSH_IDS = 2_000, 2_000_000
 def cuts(codes: np.ndarray) -> list[int]:
     """Where the chunks of a text end: content-defined places, the last one the end of the text."""
@@ -91,22 +90,40 @@ class Encoder:
         names = sorted(self.added, key=len, reverse=True)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.borders = regex.compile(r" (?=\S)")
+        size = self.library.get_vocab_size(with_added_tokens=True)
+        self.kind = np.dtype("<u2" if size <= 2**16 else "<u4")
+        self.bytes_of = [token_bytes(self.library.id_to_token(i), self.added) for i in range(size)]
+        self.lengths = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
+        self.digits = [str(i) for i in range(size)]
         self.sent = sent or {}
-        self.ids_of: dict[str, list[int]] = {}
+        self.ids_of: dict[str, bytes] = {}
         self.chunks: dict[str, tuple] = {}
 
     def units(self, text: str) -> list[str]:
-        """A text, cut before every blank that something other than white space follows."""
-        first, *others = self.borders.split(text)
-        return [first, *[" " + unit for unit in others]]
-
-    def unit_ids(self, units: list[str]) -> list[list[int]]:
+        """A text, cut before every blank that something other than white space follows; those blanks are left out."""
+        units = text.split(" ")
+        heads = "".join([unit[:1] for unit in units[1:]])
+        if len(heads) == len(units) - 1 and (not heads or heads.split() == [heads]):
+            return units
+        return self.borders.split(text)
+
+    def packed(self, text: str) -> bytes:
+        """The ids of a text by the library, as fixed-width numbers."""
+        (found,) = self.library.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, dtype=self.kind).tobytes()
+
+    def unit_ids(self, units: list[str]) -> bytes:
+        """The packed ids of units that each have a blank before them."""
         known = self.ids_of
-        missing = list(set(units).difference(known))
+        missing = [unit for unit in set(units) if unit not in known]
         if missing:
-            found = self.library.encode_batch_fast(missing, add_special_tokens=False)
-            known.update(zip(missing, [e.ids for e in found]))
-        ids = list(map(known.__getitem__, units))
+            # Units are independent, so they are encoded as one text; the bytes of the ids tell where each ends.
+            ids = np.frombuffer(self.packed(" " + " ".join(missing)), dtype=self.kind)
+            ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(u.encode()) + 1 for u in missing])) + 1
+            raw, width = ids.tobytes(), self.kind.itemsize
+            starts = [0, *(ends[:-1] * width).tolist()]
+            known.update({u: raw[a:b] for u, a, b in zip(missing, starts, (ends * width).tolist())})
+        ids = b"".join(map(known.__getitem__, units))
         if len(known) > CACHED_WORDS:
             known.clear()
         else:
@@ -115,15 +132,15 @@ class Encoder:
                     del known[unit]
         return ids
 
-    def chunk(self, text: str) -> tuple[int, int, list[int]]:
+    def chunk(self, text: str) -> tuple[int, int, bytes]:
         """Where the first and the last border inside a chunk are, and the ids between them; both are -1 without a border."""
         found = self.sent.get(text) or self.chunks.get(text)
         if found is None:
             units = self.units(text)
             if len(units) == 1:
-                found = (-1, -1, [])
+                found = (-1, -1, b"")
             else:
-                found = (len(units[0]), len(text) - len(units[-1]), list(chain.from_iterable(self.unit_ids(units[1:-1]))))
+                found = (len(units[0]), len(text) - len(units[-1]) - 1, self.unit_ids(units[1:-1]))
             if len(self.chunks) >= CACHED_CHUNKS:
                 self.chunks.clear()
             self.chunks[text] = found
@@ -134,29 +151,52 @@ class Encoder:
         ids, chunks, crossed = [], 0, 0
         for part in self.specials.split(text) if self.specials else [text]:
             if part in self.added:
-                ids.append(self.added[part])
+                ids.append(np.array([self.added[part]], dtype=self.kind).tobytes())
             elif part:
                 number, through = self._segment(part, ids)
                 chunks, crossed = chunks + number, crossed + through
-        return ids, chunks, crossed
+        return np.frombuffer(b"".join(ids), dtype=self.kind).tolist(), chunks, crossed
 
-    def _segment(self, text: str, ids: list[int]) -> tuple[int, int]:
+    def _segment(self, text: str, ids: list[bytes]) -> tuple[int, int]:
         ends = cuts(code_points(text))
-        # Everything before ``at``, a border of the text, is in ``ids``.
+        # Everything before ``at``, a border of the text or its start, is in ``ids``.
         start = at = crossed = 0
         for end in ends:
             first, last, between = self.chunk(text[start:end])
             crossed += start > 0 and first != 0
             if first >= 0:
-                ids.extend(chain.from_iterable(self.unit_ids(self.units(text[at : start + first]))))
-                ids.extend(between)
+                self._again(text[at : start + first], ids)
+                ids.append(between)
                 at = start + last
             start = end
-        ids.extend(chain.from_iterable(self.unit_ids(self.units(text[at:]))))
+        self._again(text[at:], ids)
         return len(ends), crossed
 
+    def _again(self, text: str, ids: list[bytes]) -> None:
+        """The ids of a join; it starts with the blank of a border, unless it starts the text."""
+        first, *others = self.units(text)
+        if first:
+            ids.append(self.packed(first))
+        ids.append(self.unit_ids(others))
+
+    def joined(self, ids: list[int]) -> str:
+        return ",".join(map(self.digits.__getitem__, ids))
+
     def decode(self, ids: list[int]) -> str:
-        return self.library.decode(ids, skip_special_tokens=False)
+        """The text of ids, as the library decodes them; bytes that are no UTF-8 are replaced."""
+        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
+
+
+# Printable Latin-1 stands for itself in a token, the other bytes in order are the code points from 256.
+_PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_OTHERS = [b for b in range(256) if b not in _PLAIN]
+
+
+def token_bytes(token: str, added: dict[str, int]) -> bytes:
+    """The bytes a token stands for."""
+    if token in added:
+        return token.encode()
+    return bytes([_OTHERS[c - 256] if c >= 256 else c for c in map(ord, token)])
 
 
 def texts_of(batches: Iterable[pa.RecordBatch], column: int) -> Iterator[str]:
@@ -225,14 +265,14 @@ def shared_chunks(documents: DataFrame, model: str = MODEL, most: int = SENT_CHU
 
     def encoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Encoder(model)
-        names, kinds = ["chunk", "first", "last", "ids"], [pa.string(), pa.int32(), pa.int32(), pa.list_(pa.int32())]
+        names, kinds = ["chunk", "first", "last", "ids"], [pa.string(), pa.int32(), pa.int32(), pa.binary()]
         for batch in batches:
             rows = [(chunk, *own.chunk(chunk)) for chunk in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     once = texts.mapInArrow(met, "chunk string").distinct() if chosen else spark.createDataFrame([], "chunk string")
-    rows = once.mapInArrow(encoded, "chunk string, first int, last int, ids array<int>")
-    return {row["chunk"]: (row["first"], row["last"], row["ids"]) for row in rows.toLocalIterator()}
+    rows = once.mapInArrow(encoded, "chunk string, first int, last int, ids binary")
+    return {row["chunk"]: (row["first"], row["last"], bytes(row["ids"])) for row in rows.toLocalIterator()}
 
 
 def encode(documents: DataFrame, model: str = MODEL, most: int = SENT_CHUNKS) -> DataFrame:
@@ -270,7 +310,7 @@ def _mapped(documents: DataFrame, model: str, most: int, schema: str, kinds: lis
             for doc_id, value in zip(batch.column(0), batch.column(1)):
                 ids, chunks, crossed = own.encode(value.as_py() or "")
                 if digests:
-                    joined = ",".join(map(str, ids))
+                    joined = own.joined(ids)
                     decoded = own.decode(ids)
                     shas = [hashlib.sha256(text.encode()).hexdigest() for text in (joined, decoded)]
                     rows.append((doc_id.as_py(), len(ids), *shas, chunks, crossed))

@@ -35,8 +35,9 @@ RANKED_BYTES = 64
 TILE = 1024
 DENSE_CELLS = TILE * TILE // 16
 DENSE_TILES = 16
-BUFFER, COORDINATES, TEXTS = 2_000_000, 3_000_000, 300_000
+BUFFER, COORDINATES, TEXTS = 1_000_000, 1_500_000, 300_000
 REST_BITS = 24
+MASK_BITS = 22
 BLOCK_BYTES = 2_000_000
 LANG_SHIFT = 2 * RANK_BITS
 
@@ -203,8 +204,19 @@ class Reader:
     def __init__(self, levels: list[Ranked]):
         self.levels = levels
         self.langs = {lang: i for i, lang in enumerate(sorted(levels[0].names))}
+        self.masks = [self._mask(level.cells) for level in levels]
         self.words = {lang: {word: i for i, word in enumerate(names)} for lang, names in levels[0].names.items()}
 
+    @staticmethod
+    def _address(cells: np.ndarray) -> np.ndarray:
+        return ((cells.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - MASK_BITS)).astype(np.int64)
+
+    def _mask(self, cells: np.ndarray) -> np.ndarray:
+        """Where ranked cells hash to: it spares most other cells the search."""
+        mask = np.zeros(1 << MASK_BITS, dtype=bool)
+        mask[self._address(cells)] = True
+        return mask
+
     def word_ranks(self, lang: str, words: list[bytes]) -> np.ndarray:
         known = self.words.get(lang, {})
         ranks = np.fromiter(map(known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
@@ -235,10 +247,14 @@ class Reader:
                 new = np.arange(len(cells)) + k > carried
                 return cells[ranked & new], [b" ".join(words[i : i + k]) for i in np.flatnonzero(as_text & new)]
             own = self.levels[k - 1]
-            place = np.minimum(np.searchsorted(own.cells, cells), max(len(own.cells) - 1, 0))
-            hit = ranked & (own.cells[place] == cells) if len(own.cells) else np.zeros(len(cells), dtype=bool)
-            found = np.full(len(cells), -1, dtype=np.int64)
-            found[hit] = own.ranks[place[hit]]
+            hit, found = np.zeros(len(cells), dtype=bool), np.full(len(cells), -1, dtype=np.int64)
+            likely = np.flatnonzero(ranked)
+            likely = likely[self.masks[k - 1][self._address(cells[likely])]]
+            if len(own.cells):
+                place = np.minimum(np.searchsorted(own.cells, cells[likely]), len(own.cells) - 1)
+                same = own.cells[place] == cells[likely]
+                hit[likely[same]] = True
+                found[likely[same]] = own.ranks[place[same]]
             if own.rest is not None:
                 for i in np.flatnonzero((ranked & ~hit) | as_text):
                     if own.beyond(b" ".join(words[i : i + k])):
