@@ -81,13 +81,17 @@ class MetricView:
         measures: Sequence[Measure],
         only: Column | None = None,
         only_reads: tuple[str, ...] = (),
+        rolled_up: MetricView | None = None,
     ) -> None:
+        """``rolled_up`` is the same view over fewer rows. It has those dimensions and measures that its rows determine, under the
+        same names, and is asked instead wherever these suffice."""
         self.source = source
         self.joins = {join.name: join for join in joins}
         self.dimensions = {dimension.name: dimension for dimension in dimensions}
         self.measures = {measure.name: measure for measure in measures}
         self.only = only
         self.only_reads = only_reads
+        self.rolled_up = rolled_up
 
     def query(
         self,
@@ -106,6 +110,8 @@ class MetricView:
         tests = [(_named(self.dimensions, name, "dimension"), test) for name, test in (where or {}).items()]
         if not wanted:
             raise ValueError("a metric view query needs at least one measure")
+        if self.rolled_up is not None and self.rolled_up.knows([*dims, *(where or {})], measures):
+            return self.rolled_up.query(dims, measures, where, order_by, limit)
 
         needed = set(self.only_reads).union(*[m.reads for m in wanted], *[d.reads for d, _ in tests]) - {SOURCE}
         for_keys = set().union(*[d.reads for d in keys]) - {SOURCE} - needed
@@ -126,6 +132,9 @@ class MetricView:
             result = result.orderBy(*order_by)
         return result if limit is None else result.limit(limit)
 
+    def knows(self, dims: Sequence[str], measures: Sequence[str]) -> bool:
+        return set(dims) <= self.dimensions.keys() and set(measures) <= self.measures.keys()
+
     def require_single_matches(self) -> None:
         """Fail when a joined table repeats its key, which would multiply source rows."""
         for join in self.joins.values():

@@ -26,7 +26,7 @@ from martlens.operators.joins import with_partner
 from martlens.plans.bank import customers_with_unshipped
 from martlens.plans.gold import Gold
 from martlens.plans.parameters import Parameters
-from martlens.plans.revenue import collected_lines, collected_per
+from martlens.plans.revenue import collected_orders, collected_per
 
 
 def unshipped_customers(gold: Gold, p: Parameters) -> DataFrame:
@@ -53,7 +53,7 @@ def top_products(gold: Gold, p: Parameters) -> DataFrame:
 
 def monthly_revenue(gold: Gold, p: Parameters) -> DataFrame:
     return (
-        collected_lines(gold)
+        collected_per(gold, "order_date")
         .groupBy(month_of("order_date").alias("month"))
         .agg(as_double(F.round(F.sum("net_amount"), 2)).alias("revenue"))
         .orderBy("month")
@@ -99,10 +99,10 @@ def punctuality_by_carrier(gold: Gold, p: Parameters) -> DataFrame:
 
 def repeat_customers(gold: Gold, p: Parameters) -> DataFrame:
     return (
-        collected_lines(gold)
+        collected_orders(gold)
         .groupBy("customer_id")
         .agg(
-            F.count_distinct("order_id").alias("orders"),
+            F.count(F.lit(1)).alias("orders"),
             as_double(F.round(F.sum("net_amount"), 2)).alias("spend"),
         )
         .where("orders > 1")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, replace
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martlens.functions.calendar import month_of
 from martlens.operators.joins import bucket_imbalance
@@ -87,8 +89,28 @@ COLUMN_COMMENTS = {
     },
 }
 
+# One row per order, with what its lines add up to and what became of it. No table of the star schema: questions that need no
+# line are answered from it.
+ORDER_TOTALS = "order_totals"
+ORDER_TOTALS_COMMENTS = {
+    "order_id": "Key of the order.",
+    "customer_id": "Customer who ordered (dim_customers).",
+    "geo_id": "Where the order came from (dim_geography).",
+    "order_date": "Day of the order.",
+    "order_channel": "Where the order was placed: Mobile, Web, Store or Partner.",
+    "lines": "Lines of the order.",
+    "quantity": "Units on all lines.",
+    "net_amount": "Net amounts of all lines added up.",
+    "cogs_amount": "Cost of the goods on all lines.",
+    "status": "Status of the order's payment, NULL without one.",
+    "payment_method": "Code of the payment's means, NULL without one.",
+    "currency": "Currency of the payment, NULL without one.",
+    "shipped": "True where the order has a shipment.",
+    "order_month": "First day of the month of the order; the totals are stored by it.",
+}
+
 # The lines are stored in a folder per month, so that bounds on the order date leave other months unread.
-MONTHS = {"fact_orders": "order_month"}
+MONTHS = {"fact_orders": "order_month", ORDER_TOTALS: "order_month"}
 
 # Order of the rows inside each written file. Date bounds then skip most of a file by its own statistics, and the lines
 # of an order, which share a date, stay next to each other.
@@ -96,6 +118,7 @@ ROW_ORDER = {
     "fact_orders": ["order_month", "order_date", "order_id", "order_line_id"],
     "fact_transactions": ["txn_date", "order_id"],
     "fact_shipments": ["ship_date", "order_id"],
+    ORDER_TOTALS: ["order_month", "order_date", "order_id"],
 }
 
 # Gold table -> (layer name, function that cleans its bronze table).
@@ -111,7 +134,10 @@ _CLEANING = {
 
 @dataclass(frozen=True)
 class Gold:
-    """The six tables every question is asked of."""
+    """The six tables every question is asked of, and what a build may have recorded to answer some of them with less.
+
+    ``order_totals`` has one row per order; ``latest_month`` is the last month that has a folder of order lines.
+    """
 
     dim_customers: DataFrame
     dim_products: DataFrame
@@ -119,10 +145,22 @@ class Gold:
     fact_orders: DataFrame
     fact_transactions: DataFrame
     fact_shipments: DataFrame
+    order_totals: DataFrame | None = None
+    latest_month: date | None = None
 
     @classmethod
     def names(cls) -> list[str]:
-        return [field.name for field in fields(cls)]
+        return list(TABLE_COMMENTS)
+
+    def ordered(self, days: Column) -> Gold:
+        """The same with only those orders whose day or month meets a condition; payments and shipments stay."""
+        totals = None if self.order_totals is None else self.order_totals.where(days)
+        return replace(self, fact_orders=self.fact_orders.where(days), order_totals=totals)
+
+    def latest_orders(self) -> DataFrame:
+        """Orders, or their lines, among which the latest are: those of the last month where it is known."""
+        rows = self.fact_orders if self.order_totals is None else self.order_totals
+        return rows if self.latest_month is None else rows.where(F.col("order_month") == F.lit(self.latest_month))
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
@@ -134,7 +172,7 @@ class Gold:
 
 
 def documented(name: str, df: DataFrame) -> DataFrame:
-    return with_comments(df, COLUMN_COMMENTS[name])
+    return with_comments(df, ORDER_TOTALS_COMMENTS if name == ORDER_TOTALS else COLUMN_COMMENTS[name])
 
 
 def in_row_order(name: str, df: DataFrame) -> DataFrame:
@@ -177,6 +215,18 @@ def derive_roll_ups(lines: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def derive_order_totals(lines: DataFrame, payments: DataFrame, shipments: DataFrame) -> DataFrame:
+    """One row per order, if its lines agree on customer, place, day and channel; the build checks that they do."""
+    of_lines = lines.groupBy("order_id", "customer_id", "geo_id", "order_date", "order_channel", "order_month").agg(
+        F.count(F.lit(1)).alias("lines"), *[F.sum(name).alias(name) for name in ("quantity", "net_amount", "cogs_amount")]
+    )
+    shipped = shipments.select("order_id").distinct().withColumn("shipped", F.lit(True))
+    met = of_lines.join(payments.select("order_id", "status", "payment_method", "currency"), "order_id", "left")
+    met = met.join(shipped, "order_id", "left").withColumn("shipped", F.coalesce("shipped", F.lit(False)))
+    # The folder column comes last, as it does when it is read back.
+    return documented(ORDER_TOTALS, met.select(*ORDER_TOTALS_COMMENTS))
+
+
 def derive_gold(raw: Raw) -> Gold:
     """The whole chain raw -> bronze -> silver -> gold as lazy frames: every question derives what it reads."""
     lines = derive_lines(raw)
@@ -255,5 +305,16 @@ def build_gold(spark: SparkSession, layout: Layout, order_buckets: int | None =
 
 
 def gold_from_catalog(spark: SparkSession, layout: Layout) -> Gold:
+    """The catalog's tables. The latest month comes from the names of the folders, which the catalog keeps."""
     apply_scale_settings(spark)
-    return Gold(**{name: spark.table(layout.gold(name)) for name in Gold.names()})
+    folders = spark.sql(f"SHOW PARTITIONS {layout.gold('fact_orders')}").collect()
+    return Gold(
+        **{name: spark.table(layout.gold(name)) for name in Gold.names()},
+        latest_month=latest_month([row["partition"] for row in folders]),
+    )
+
+
+def latest_month(folders: list[str]) -> date | None:
+    """The last month among folder names of the kind ``order_month=2001-05-01``."""
+    months = [name.partition("=")[2] for name in folders if name.startswith(f"{MONTHS['fact_orders']}=")]
+    return max((date.fromisoformat(month) for month in months if month[:1].isdigit()), default=None)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,24 +21,42 @@ def collected_lines(gold: Gold) -> DataFrame:
     return gold.fact_orders.join(completed_payments(gold), "order_id")
 
 
+def collected_orders(gold: Gold) -> DataFrame:
+    """Orders whose payment completed, one row each, with the sums of their lines."""
+    if gold.order_totals is not None:
+        return gold.order_totals.where(is_completed())
+    per_order = gold.fact_orders.groupBy("order_id", "customer_id", "geo_id", "order_date", "order_channel")
+    sums = [F.sum(name).alias(name) for name in ("quantity", "net_amount", "cogs_amount")]
+    return per_order.agg(*sums).join(completed_payments(gold), "order_id")
+
+
 def collected_per(gold: Gold, *keys: str) -> DataFrame:
-    """Collected net amount per key of the order line, added up before any dimension is joined."""
-    return collected_lines(gold).groupBy(*keys).agg(F.sum("net_amount").alias("net_amount"))
+    """Collected net amount per key of the order line, added up before any dimension is joined.
+
+    Keys that belong to the order are looked up in the order totals, where a build has left them; then no line is read.
+    """
+    of_orders = gold.order_totals is not None and set(keys).issubset(gold.order_totals.columns)
+    rows = collected_orders(gold) if of_orders else collected_lines(gold)
+    return rows.groupBy(*keys).agg(F.sum("net_amount").alias("net_amount"))
 
 
-def collected_total(gold: Gold, lines: DataFrame) -> DataFrame:
-    """Collected revenue of some order lines as one number.
+def collected_total(gold: Gold, which: Callable[[DataFrame], DataFrame] = lambda orders: orders) -> DataFrame:
+    """Collected revenue of some orders as one number; ``which`` chooses them by columns of the order.
 
-    Lines are added up per order before they meet the payments: an order with very many lines arrives as one row, and
-    the aggregation already leaves the rows where the join needs them.
+    Without order totals, lines are added up per order before they meet the payments: an order with very many lines arrives as
+    one row, and the aggregation already leaves the rows where the join needs them.
     """
-    per_order = lines.groupBy("order_id").agg(F.sum("net_amount").alias("net_amount"))
-    return per_order.join(completed_payments(gold), "order_id").agg(
-        as_double(F.sum("net_amount")).alias("revenue")
-    )
+    if gold.order_totals is not None:
+        collected = which(gold.order_totals).where(is_completed())
+    else:
+        per_order = which(gold.fact_orders).groupBy("order_id").agg(F.sum("net_amount").alias("net_amount"))
+        collected = per_order.join(completed_payments(gold), "order_id")
+    return collected.agg(as_double(F.sum("net_amount")).alias("revenue"))
 
 
 def unshipped_orders(gold: Gold, *columns: str) -> DataFrame:
-    """Orders without a shipment, with columns of their lines. Lines that say the same are merged before any shuffle."""
+    """Orders without a shipment, with columns of the order; one row for each order and what its lines say."""
+    if gold.order_totals is not None:
+        return gold.order_totals.where(~F.col("shipped")).select("order_id", *columns)
     orders = gold.fact_orders.select("order_id", *columns).distinct()
     return without_partner(orders, gold.fact_shipments, "order_id")

@@ -18,6 +18,7 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import date
 from functools import cache
 from weakref import WeakKeyDictionary
 
@@ -29,7 +30,16 @@ from martlens.operators import cleaning
 from martlens.operators.values import value_index
 from martlens.plans import gold as gold_tables
 from martlens.plans import silver
-from martlens.plans.gold import INDEXED_COLUMNS, TABLE_COMMENTS, Gold, derive_dimensions, derive_lines, derive_roll_ups
+from martlens.plans.gold import (
+    INDEXED_COLUMNS,
+    ORDER_TOTALS,
+    TABLE_COMMENTS,
+    Gold,
+    derive_dimensions,
+    derive_lines,
+    derive_order_totals,
+    derive_roll_ups,
+)
 from martlens.session import apply_scale_settings
 from martlens.sources import files, landing, raw
 from martlens.sources.catalog import overwrite_files
@@ -95,8 +105,11 @@ def open_store(spark: SparkSession, raw_dir: str, folder: str) -> Store:
             # A column kept in folder names comes back without its comment.
             for name in gold_tables.MONTHS:
                 frames[name] = gold_tables.documented(name, frames[name])
-            index = frames.pop(INDEX)
-            opened[path] = Store(Gold(**frames), index, published["rows"], published["comments"])
+            index, latest = frames.pop(INDEX), published["latest_month"]
+            if not published["single_orders"]:
+                del frames[ORDER_TOTALS]
+            gold = Gold(**frames, latest_month=latest and date.fromisoformat(latest))
+            opened[path] = Store(gold, index, published["rows"], published["comments"])
             return opened[path]
     raise StaleStore(f"nothing under {versions} was built from the files of {raw_dir} as they are now")
 
@@ -105,7 +118,7 @@ def build_store(spark: SparkSession, raw_dir: str, folder: str) -> Store:
     """Build a version from the raw folder, publish and open it.
 
     Order lines are written first; payments and shipments are rolled up from the written lines, so the join and clean-up of the
-    line table run once. Tables that do not depend on each other are written by concurrent jobs.
+    line table run once, and the order totals from all three. Tables that do not depend on each other are written by concurrent jobs.
     """
     apply_scale_settings(spark)
     sources = _raw_files(spark, raw_dir)
@@ -128,13 +141,21 @@ def build_store(spark: SparkSession, raw_dir: str, folder: str) -> Store:
         running = {name: pool.submit(job(name, df)) for name, df in derive_dimensions(tables).items()}
         running |= {name: pool.submit(job(name, df)) for name, df in derive_roll_ups(lines.result()).items()}
         stored = {name: written.result() for name, written in running.items()}
-    write(INDEX, value_index([(stored[name], columns) for name, columns in INDEXED_COLUMNS.items()]))
+        facts = [lines.result(), stored["fact_transactions"], stored["fact_shipments"]]
+        totals = pool.submit(job(ORDER_TOTALS, derive_order_totals(*facts)))
+        index = value_index([(stored[name], columns) for name, columns in INDEXED_COLUMNS.items()])
+        for written in (totals, pool.submit(job(INDEX, index))):
+            written.result()
+    latest = gold_tables.latest_month(files.names_in(spark, f"{version}/fact_orders"))
     published = {
         "sources": sources,
         "definition": _definition(),
         "schemas": schemas,
         "rows": rows,
         "comments": TABLE_COMMENTS,
+        # Every order has one payment, so as many totals as payments means one row for every order.
+        "single_orders": rows[ORDER_TOTALS] == rows["fact_transactions"],
+        "latest_month": latest and latest.isoformat(),
     }
     files.publish_text(spark, f"{version}/published.json", json.dumps(published))
     return open_store(spark, raw_dir, folder)

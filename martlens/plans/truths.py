@@ -57,7 +57,7 @@ def cad_revenue(gold: Gold, p: Parameters) -> DataFrame:
 
 
 def completed_revenue(gold: Gold, p: Parameters) -> DataFrame:
-    return collected_total(gold, gold.fact_orders)
+    return collected_total(gold)
 
 
 def order_value(gold: Gold, p: Parameters) -> DataFrame:
@@ -90,7 +90,8 @@ def refunded_and_shipped_count(gold: Gold, p: Parameters) -> DataFrame:
 
 
 def calendar_quarter_revenue(gold: Gold, p: Parameters) -> DataFrame:
-    return collected_total(gold, gold.fact_orders.where(ordered_between(*last_calendar_quarter_days(p.fiscal_as_of))))
+    quarter = ordered_between(*last_calendar_quarter_days(p.fiscal_as_of))
+    return collected_total(gold, lambda orders: orders.where(quarter))
 
 
 def completed_payments_only(gold: Gold, p: Parameters) -> DataFrame:
@@ -452,11 +453,24 @@ def _shipment_numbers(gold: Gold, p: Parameters) -> DataFrame:
     return gold.fact_shipments.agg((flag_rate("on_time_flag") * 100).alias("q08_on_time_rate"))
 
 
+def _known_orders(gold: Gold) -> DataFrame:
+    """The same of every order with lines, from the order totals; payments and shipments of other orders do not exist."""
+    return gold.order_totals.select(
+        "customer_id",
+        "order_date",
+        "net_amount",
+        "lines",
+        F.coalesce(is_completed(), F.lit(False)).alias("completed"),
+        F.coalesce(is_refunded(), F.lit(False)).alias("refunded"),
+        "shipped",
+    )
+
+
 def _order_numbers(gold: Gold, p: Parameters) -> DataFrame:
     """What has to be known of an order as a whole: its amount, customer, day, payment and shipment.
 
-    The three facts are laid together and added up per order, so each is read once and none is joined; a second aggregation
-    per customer then meets the customers.
+    The order totals hold all that. Without them the three facts are laid together and added up per order, so each is read once and
+    none is joined. A second aggregation per customer then meets the customers.
     """
     nothing = {name: F.lit(None) for name in ("customer_id", "order_date", "net_amount", "status", "shipped")}
 
@@ -467,7 +481,7 @@ def _order_numbers(gold: Gold, p: Parameters) -> DataFrame:
     laid = rows(gold.fact_orders, **own)
     laid = laid.unionByName(rows(gold.fact_transactions, status=F.col("status")))
     laid = laid.unionByName(rows(gold.fact_shipments, shipped=F.lit(True)))
-    orders = laid.groupBy("order_id").agg(
+    per_order = laid.groupBy("order_id").agg(
         F.min("customer_id").alias("customer_id"),
         F.max("order_date").alias("order_date"),
         F.sum("net_amount").alias("net_amount"),
@@ -476,6 +490,7 @@ def _order_numbers(gold: Gold, p: Parameters) -> DataFrame:
         F.coalesce(F.max(is_refunded()), F.lit(False)).alias("refunded"),
         F.coalesce(F.max("shipped"), F.lit(False)).alias("shipped"),
     )
+    orders = per_order if gold.order_totals is None else _known_orders(gold)
     collected = F.when(F.col("completed"), F.col("net_amount"))
     fiscal = F.col("order_date").between(*fiscal_quarter_days(p.fiscal_as_of))
     calendar = F.col("order_date").between(*last_calendar_quarter_days(p.fiscal_as_of))
@@ -489,7 +504,7 @@ def _order_numbers(gold: Gold, p: Parameters) -> DataFrame:
         F.count(F.when((F.col("lines") > 0) & ~F.col("shipped"), 1)).alias("unshipped"),
         F.count(F.when(F.col("refunded") & F.col("shipped"), 1)).alias("refunded_and_shipped"),
     )
-    since = gold.fact_orders.agg(F.date_sub(F.max("order_date"), p.active_days)).scalar()
+    since = gold.latest_orders().agg(F.date_sub(F.max("order_date"), p.active_days)).scalar()
     of_customer = customers.join(gold.dim_customers.select("customer_id", "segment", "is_internal"), "customer_id", "left")
     enterprise = means("segment", "enterprise")
     return of_customer.agg(

@@ -67,6 +67,7 @@ def order_analytics(gold: Gold) -> MetricView:
             _dimension("Payment Method", "transactions.payment_method"),
             _dimension("Currency", "transactions.currency"),
         ],
+        rolled_up=None if gold.order_totals is None else _per_order(gold),
         measures=[
             Measure("Total Revenue", (total(net),), as_double),
             Measure("Total COGS", (total(cogs),), as_double),
@@ -79,6 +80,38 @@ def order_analytics(gold: Gold) -> MetricView:
     )
 
 
+def _per_order(gold: Gold) -> MetricView:
+    """What of it the order determines, over one row per order: no line is read, and orders are counted as rows."""
+    net, cogs = F.col("source.net_amount"), F.col("source.cogs_amount")
+    return MetricView(
+        source=gold.order_totals,
+        joins=[
+            _joined(gold, "geography", "fact_orders", "dim_geography"),
+            _joined(gold, "customers", "fact_orders", "dim_customers"),
+        ],
+        only=is_completed("source.status"),
+        dimensions=[
+            Dimension("Order Month", F.col("source.order_month")),
+            _dimension("Order Channel", "source.order_channel"),
+            _dimension("Region", "geography.region_name"),
+            _dimension("State", "geography.state_code"),
+            _dimension("Country", "geography.country_name"),
+            _dimension("Customer Segment", "customers.segment"),
+            _dimension("Payment Method", "source.payment_method"),
+            _dimension("Currency", "source.currency"),
+        ],
+        measures=[
+            Measure("Total Revenue", (total(net),), as_double),
+            Measure("Total COGS", (total(cogs),), as_double),
+            Measure("Gross Profit", (total(net - cogs),), as_double),
+            Measure("Gross Margin Pct", (total(net - cogs), total(net)), ratio),
+            Measure("Order Count", (row_count(),), _whole),
+            Measure("Units Sold", (total(F.col("source.quantity")),), _whole),
+            Measure("Average Order Value", (total(net), row_count()), ratio),
+        ],
+    )
+
+
 def shipment_performance(gold: Gold) -> MetricView:
     """Shipments: punctuality, duration, cost."""
     on_time, days = F.col("source.on_time_flag"), F.col("source.delivery_days")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 
 import duckdb
 import pytest
@@ -136,8 +137,9 @@ def test_views_with_distinct_counts_do_not_shuffle_raw_lines(gold, settings, dim
 
 def test_revenue_by_country_and_margin_meet_customers_after_totals(gold, settings):
     settings(autoBroadcastJoinThreshold="-1", maxMetadataStringLength="1000")
+    of_lines = replace(gold, order_totals=None)
     for query in (bank.revenue_by_country, examples.margin_without_internal):
-        plan = initial_plan(query(gold, TABLE_PARAMETERS))
+        plan = initial_plan(query(of_lines, TABLE_PARAMETERS))
         lines = plan[: plan.index("fact_orders")]
         for exchange in re.findall(r"Exchange hashpartitioning\(customer_id#\d+L?, \d+\)[^\n]*\n[^\n]*", lines):
             assert "Aggregate" in exchange
@@ -184,7 +186,8 @@ def test_top_k_needs_no_full_sort(gold):
 
 
 def test_unshipped_orders_use_an_anti_join(gold):
-    assert "LeftAnti" in initial_plan(bank.unshipped_order_count(gold, TABLE_PARAMETERS))
+    of_lines = replace(gold, order_totals=None)
+    assert "LeftAnti" in initial_plan(bank.unshipped_order_count(of_lines, TABLE_PARAMETERS))
 
 
 def test_written_rows_follow_the_date(gold):
@@ -201,6 +204,7 @@ def test_date_bounds_leave_other_months_unread(gold, settings):
     settings(maxMetadataStringLength="1000")
     months = gold.fact_orders.select("order_month").distinct().count()
     assert months > 60 and len(gold.fact_orders.inputFiles()) == months
+    of_lines = replace(gold, order_totals=None)
     for query, most in [
         (bank.fiscal_quarter_revenue, 3),
         (truths.calendar_quarter_revenue, 3),
@@ -208,9 +212,24 @@ def test_date_bounds_leave_other_months_unread(gold, settings):
         (bank.latest_month_summary, 1),
         (truths.half_year_by_subcategory, 6),
     ]:
-        frame = query(gold, TABLE_PARAMETERS)
-        assert re.search(r"PartitionFilters: \[[^\]]*order_month", initial_plan(frame)), query
-        assert files_read(frame, "fact_orders") <= most, query
+        for known in (gold, of_lines):
+            frame = query(known, TABLE_PARAMETERS)
+            table = "order_totals" if known is gold and query is not truths.half_year_by_subcategory else "fact_orders"
+            assert re.search(r"PartitionFilters: \[[^\]]*order_month", initial_plan(frame)), query
+            assert files_read(frame, table) <= most, query
+
+
+@pytest.mark.parametrize("query", [bank.active_customers, bank.latest_month_summary])
+def test_the_latest_day_is_looked_up_in_the_last_month(gold, settings, query):
+    settings(maxMetadataStringLength="1000")
+    last = gold.fact_orders.agg(F.max("order_month")).first()[0]
+    assert gold.latest_month == last
+    for known in (gold, replace(gold, order_totals=None)):
+        files = known.latest_orders().select(F.input_file_name().alias("file")).distinct().collect()
+        assert len(files) == 1 and f"order_month={last}" in files[0].file
+        assert f"= {last}" in initial_plan(query(known, TABLE_PARAMETERS))
+        unknown = replace(known, latest_month=None)
+        assert query(known, TABLE_PARAMETERS).collect() == query(unknown, TABLE_PARAMETERS).collect()
 
 
 def files_read(df, table: str) -> int:
