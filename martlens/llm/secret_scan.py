@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlens.llm.shared import small_side, stored
+from martlens.llm.shared import stored, unused
 
 # The base patterns and their least lengths.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -177,20 +177,20 @@ def redacted(documents: DataFrame, mark: str = "<secret>", copied_by: int = COPI
         .groupBy("key")
         .agg(F.array_sort(F.collect_list(F.struct("from", "start"))).alias("cuts"), F.max("end").alias("last"))
     )
-    cuts = small_side(stored(cuts.withColumnRenamed("key", "_key"), "secret-cuts"), F.size("cuts") + 1)
+    # All names that are added are beside the documents' own, which may be anything: one struct under a name not in use.
+    own = unused("_secrets", documents.columns)
+    cuts = stored(cuts.select(F.struct("key", "cuts", "last").alias(own)), "secret-cuts")
     text = F.coalesce(F.col("text"), F.lit(""))
     key = F.sha2(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text), 256)
     names = documents.columns
-    joined = documents.withColumn("_key", key).join(cuts, "_key", "left")
+    joined = documents.join(cuts, key == F.col(f"{own}.key"), "left")
     pieces = F.transform(
-        "cuts",
-        lambda c: F.concat(F.substr("text", (c["from"] + 1).cast("int"), (c["start"] - c["from"]).cast("int")), F.lit(mark)),
+        f"{own}.cuts",
+        lambda c: F.concat(F.substr(text, (c["from"] + 1).cast("int"), (c["start"] - c["from"]).cast("int")), F.lit(mark)),
     )
-    new = F.concat(F.array_join(pieces, ""), F.substr("text", (F.col("last") + 1).cast("int"), F.length("text")))
-    changed = F.col("cuts").isNotNull()
-    return joined.withColumns(
-        {
-            "text": F.when(changed, new).otherwise(F.col("text")),
-            "n_chars": F.when(changed, F.length(new).cast("long")).otherwise(F.col("n_chars")),
-        }
-    ).select(*names)
+    new = F.concat(F.array_join(pieces, ""), F.substr(text, (F.col(f"{own}.last") + 1).cast("int"), F.length(text)))
+    changed = F.col(own).isNotNull()
+    # The length is taken from the finished text in a second step: within one step the new text stands in for the old one.
+    redone = joined.withColumn("text", F.when(changed, new).otherwise(F.col("text")))
+    length = F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return redone.withColumn("n_chars", length).select(*names)

@@ -56,6 +56,14 @@ def small_side(stored_table: DataFrame, items: Column | None = None) -> DataFram
     return F.broadcast(stored_table) if size <= BROADCAST_ROWS else stored_table
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """A column name that none of the columns has, whatever their case."""
+    taken = {column.lower() for column in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, so that their Python workers can import it."""
     context = spark.sparkContext

@@ -58,7 +58,7 @@ def test_copied_examples_and_owned_credentials(copied):
         if row.doc_id < 1000:
             assert (row.spans, row.n_live, row.n_copied) == ("access:4:24", 0, 1)
         else:
-            assert row.spans == "live:8:30,assign:33:65,live:43:65" and row.n_live == 3
+            assert row.spans == "live:8:31,assign:34:67,live:44:67" and row.n_live == 3
 
 
 def test_redaction(spark, copied):
@@ -70,7 +70,7 @@ def test_redaction(spark, copied):
     found = secret_scan.redacted(odd)
     assert found.columns == odd.columns and found.count() == odd.count()
     by_id = {r.doc_id: r for r in found.collect()}
-    assert by_id[11].text == "<secret> token:abc <secret> <secret>" and by_id[1].text is None and by_id[4].part == "clash"
+    assert by_id[11].text == '<secret>" token:abc <secret> <secret>' and by_id[1].text is None and by_id[4].part == "clash"
 
 
 def test_matches_sql(spark, tmp_path):
