@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlens.llm.shared import small_side, stored
+from martlens.llm.shared import small_side, stored, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -188,12 +188,13 @@ def mixed_documents(documents: DataFrame, seed: int = SEED, **options) -> DataFr
     A document that takes 1.3 times its words comes once, or with a chance of 0.3 by a seeded hash twice, so that the words of
     a source add up to its target but for chance. Documents without words are not taken. Repeated doc_ids share one decision.
     """
-    decided = mix(documents, seed=seed, **options).groupBy(F.col("doc_id").alias("_id")).agg(
-        F.max(F.col("taken") / F.greatest("size", F.lit(1))).alias("_times")
+    own, times, copies, copy = (unused(name, documents.columns) for name in ("_id", "_times", "_copies", "_copy"))
+    decided = mix(documents, seed=seed, **options).groupBy(F.col("doc_id").alias(own)).agg(
+        F.max(F.col("taken") / F.greatest("size", F.lit(1))).alias(times)
     )
     chance = hashed(F.lit(seed), F.lit("times"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))) / F.lit(2.0**60)
-    copies = F.floor(F.col("_times") + chance).cast("int")
-    joined = documents.join(decided, F.col("doc_id").eqNullSafe(F.col("_id"))).withColumn("_copies", copies)
+    joined = documents.join(decided, F.col("doc_id").eqNullSafe(F.col(own)))
+    joined = joined.withColumn(copies, F.floor(F.col(times) + chance).cast("int"))
     has_words = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
-    kept = joined.where(has_words & (F.col("_copies") > 0)).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    kept = joined.where(has_words & (F.col(copies) > 0)).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
     return kept.select(*[F.col(name) for name in documents.columns])
