@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -80,6 +81,10 @@ class LanguageModel:
     languages: list[str]
     floors: np.ndarray
 
+    @cached_property
+    def by_gram(self) -> np.ndarray:
+        return np.ascontiguousarray(self.centroids.T)
+
     def entries(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """The places and values of a text's vector that are not 0."""
         counts = gram_counts(text, len(self.weights))
@@ -96,7 +101,7 @@ class LanguageModel:
     def predict(self, texts: list[str | None], reject_below: float = REJECT_BELOW) -> list[tuple[str, float, bool]]:
         """Language, cosine clipped to 0..1, and if it is too small; ``und``, 0, True without a letter or a learned language."""
         out = [(UNKNOWN, 0.0, True)] * len(texts)
-        by_gram = np.ascontiguousarray(self.centroids.T)
+        by_gram = self.by_gram
         for i, text in enumerate(texts):
             if self.languages and has_letter(text):
                 grams, values = self.entries(text)
@@ -116,7 +121,8 @@ def smallest_cosines(vectors: np.ndarray) -> np.ndarray:
     """By size, ``SHARE`` of a low cosine of a language's vectors with the sum of its other ones; 0 where too few tell."""
     total = vectors.sum(axis=0, dtype=np.float64)
     own = np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64)
-    dots = vectors @ total
+    # In blocks, as each is widened to the precision of the total.
+    dots = np.concatenate([block @ total for block in np.array_split(vectors, -(-len(vectors) // 32))])
     rest = np.sqrt(np.maximum(total @ total - 2 * dots + own, 0))
     cosines = (dots - own) / np.maximum(rest, 1e-12)
     sizes = np.array([size_class(int(n)) for n in np.count_nonzero(vectors, axis=1)])
@@ -230,7 +236,8 @@ def predict(documents: DataFrame, model: LanguageModel, reject_below: float = RE
         own = LanguageModel(*held.value)
         at = frame_names.index("text")
         for batch in batches:
-            found = own.predict(batch.column(at).to_pylist(), reject_below)
+            # One text at a time, so that a batch of long texts is not held twice.
+            found = [own.predict([text.as_py()], reject_below)[0] for text in batch.column(at)]
             columns = [
                 pa.array([lang for lang, _, _ in found], pa.string()),
                 pa.array([score for _, score, _ in found], pa.float64()),

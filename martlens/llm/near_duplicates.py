@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlens.llm.shared import mixed, ship, small_side, stored
+from martlens.llm.shared import mixed, ship, small_side, stored, unused
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -56,6 +56,22 @@ class WordHashes(dict):
 _words = WordHashes()
 
 
+def forget() -> None:
+    _words.clear()
+
+
+def forgetting(run):
+    """A task's function that leaves no remembered words to later tasks of its worker."""
+
+    def wrapped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            forget()
+
+    return wrapped
+
+
 def runs_of_words(text: str, words: int = WORDS) -> np.ndarray:
     """A hash of every run of ``words`` words, lower-cased and parted by white space; fewer words are one run, none gives none."""
     parts = text.lower().split()
@@ -209,7 +225,7 @@ def aligned(pairs: DataFrame, texts: DataFrame, similarity: float, words: int) -
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text")
-    return both.mapInArrow(run, "a long, b long, linked boolean")
+    return both.mapInArrow(forgetting(run), "a long, b long, linked boolean")
 
 
 def only_here(texts: DataFrame, words: int) -> DataFrame:
@@ -223,7 +239,7 @@ def only_here(texts: DataFrame, words: int) -> DataFrame:
                     [pa.array(np.full(len(found), node.as_py())), pa.array(found)], ["node", "run"]
                 )
 
-    runs = texts.select("node", "text").mapInArrow(run, "node long, run long")
+    runs = texts.select("node", "text").mapInArrow(forgetting(run), "node long, run long")
     single = runs.groupBy("run").agg(F.count("*").alias("texts"), F.min("node").alias("node")).where("texts = 1")
     return single.groupBy("node").agg(F.count("*").alias("only"))
 
@@ -398,13 +414,14 @@ def without_near_duplicates(documents: DataFrame, similarity: float = SIMILARITY
     Documents without a doc_id, and those without words, stay.
     """
     classes = class_table(documents, similarity, words)
-    dropped = stored(classes.where("doc_id <> class_id").select(F.col("doc_id").alias("_id")), "near-dropped")
-    kept = documents.join(small_side(dropped), F.col("doc_id") == F.col("_id"), "left_anti")
+    own, times = unused("_id", documents.columns), unused("_n", documents.columns)
+    dropped = stored(classes.where("doc_id <> class_id").select(F.col("doc_id").alias(own)), "near-dropped")
+    kept = documents.join(small_side(dropped), F.col("doc_id") == F.col(own), "left_anti")
     known = documents.where("doc_id IS NOT NULL")
-    repeated = known.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_n")).where("_n > 1").select("_id")
+    repeated = known.groupBy(F.col("doc_id").alias(own)).agg(F.count("*").alias(times)).where(F.col(times) > 1).select(own)
     repeated = stored(repeated, "near-repeated")
     if repeated.isEmpty():
         return kept
     repeated = small_side(repeated)
-    several = kept.join(repeated, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, F.col("doc_id") == F.col("_id"), "left_anti").unionByName(several)
+    several = kept.join(repeated, F.col("doc_id") == F.col(own), "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(repeated, F.col("doc_id") == F.col(own), "left_anti").unionByName(several)

@@ -252,6 +252,12 @@ def encoder(model: str = MODEL) -> Encoder:
     return _encoders[model]
 
 
+def forget() -> None:
+    """Drop what the worker's encoders remember of the texts of a task that is over."""
+    for own in _encoders.values():
+        own.known.clear()
+
+
 def encode(documents: DataFrame, model: str = MODEL) -> DataFrame:
     """doc_id, ids, and the begin and end byte of each id in the UTF-8 text. A null text is empty and has the end id alone."""
     ship(documents.sparkSession)
@@ -295,6 +301,12 @@ def _mapped(documents: DataFrame, rows, schema: str, kinds: list[pa.DataType]) -
     names = [column.split()[0] for column in schema.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from encoded(batches)
+        finally:
+            forget()
+
+    def encoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, size = [[] for _ in kinds], 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1)):
