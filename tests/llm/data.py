@@ -16,6 +16,7 @@ DOCUMENTS = T.StructType(
         T.StructField("n_chars", T.LongType()),
         # Names that operators use for themselves.
         *[T.StructField(n, T.StringType()) for n in ("part", "row", "size", "bucket", "node", "fingerprint", "spans", "key")],
+        *[T.StructField(n, T.StringType()) for n in ("cuts", "last", "_id", "_n", "_times", "_copies", "_copy", "_secrets")],
     ]
 )
 CLASHES = len(DOCUMENTS) - 5

@@ -14,7 +14,7 @@ from martlens.llm import bpe_chunks
 from martlens.llm.queries import op11_bpe_chunks
 from martlens.llm.shared import code_points, model_path
 from tests.conftest import SMALL
-from tests.llm.data import DOCUMENTS, no_documents, odd_documents, odd_rows, prose
+from tests.llm.data import CLASHES, DOCUMENTS, no_documents, odd_documents, odd_rows, prose
 
 
 OWN = bpe_chunks.Encoder()
@@ -74,7 +74,7 @@ def test_cuts_follow_the_content():
 
 def test_shared_chunks_are_found_once_and_used(spark):
     passage = prose(8, 900)
-    rows = [(i, prose(50 + i, 60) + passage, None, None, 0) + (None,) * 8 for i in range(30)]
+    rows = [(i, prose(50 + i, 60) + passage, None, None, 0) + (None,) * CLASHES for i in range(30)]
     docs = spark.createDataFrame(rows, DOCUMENTS).repartition(6)
     sent = bpe_chunks.shared_chunks(docs)
     assert sent and all(chunk in passage for chunk in sent)

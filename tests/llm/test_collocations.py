@@ -14,7 +14,7 @@ from martlens.llm.queries import op12_collocations
 from martlens.llm.statements import llm_statements
 from tests.compare import differences, oracle_connection
 from tests.conftest import SMALL
-from tests.llm.data import DOCUMENTS, no_documents, odd_documents, odd_rows, prose
+from tests.llm.data import CLASHES, DOCUMENTS, no_documents, odd_documents, odd_rows, prose
 
 
 def plain_pieces(text: str | None) -> list[list[str]]:
@@ -59,7 +59,7 @@ def varied(spark):
     rows = odd_rows()
     for i in range(250):
         text = f"the old {prose(i % 7, 12)}; in the\tOLD house. {prose(i % 23, 25)}\nthe old house of the old house"
-        rows.append((100 + i, text, [None, "en", "de", "und"][i % 4], None, 0) + (None,) * 8)
+        rows.append((100 + i, text, [None, "en", "de", "und"][i % 4], None, 0) + (None,) * CLASHES)
     return rows, spark.createDataFrame(rows, DOCUMENTS).repartition(4)
 
 

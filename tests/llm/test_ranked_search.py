@@ -12,7 +12,7 @@ import pytest
 from martlens.llm import ranked_search
 from martlens.llm.queries import op13_ranked_search
 from tests.conftest import SMALL
-from tests.llm.data import DOCUMENTS, no_documents, odd_documents, odd_rows, prose
+from tests.llm.data import CLASHES, DOCUMENTS, no_documents, odd_documents, odd_rows, prose
 
 TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 
@@ -59,8 +59,8 @@ ITEMS = [
 
 
 def test_against_all_scores(spark):
-    rows = odd_rows() + [(100 + i % 70, prose(i % 50, 3 + i % 90), None, None, 0) + (None,) * 8 for i in range(300)]
-    rows += [(5000 + i, "a copy: " + prose(2, 50), None, None, 0) + (None,) * 8 for i in range(200)]
+    rows = odd_rows() + [(100 + i % 70, prose(i % 50, 3 + i % 90), None, None, 0) + (None,) * CLASHES for i in range(300)]
+    rows += [(5000 + i, "a copy: " + prose(2, 50), None, None, 0) + (None,) * CLASHES for i in range(200)]
     docs = spark.createDataFrame(rows, DOCUMENTS).repartition(5)
     found = ranked_search.search(docs, asked(spark, ITEMS))
     assert found.columns == ["item_id", "rank", "doc_id", "score"]
