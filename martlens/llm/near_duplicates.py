@@ -204,7 +204,7 @@ def sketched(documents: DataFrame, similarity: float = SIMILARITY, words: int =
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(
-        run, "doc_id long, digest binary, n long, sketches array<long>, labels array<long>"
+        forgetting(run), "doc_id long, digest binary, n long, sketches array<long>, labels array<long>"
     )
 
 

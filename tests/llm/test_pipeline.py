@@ -45,7 +45,7 @@ def test_each_stage_does_what_it_says(spark):
 def test_run_and_registration(spark):
     assert registered.queries()["pipeline"] is corpus_pipeline.run
     assert corpus_pipeline.run(spark, SMALL).count() > 0
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     assert all(sum(q.startswith(n) for q in registered.queries()) == 1 for n in names)
 
 
