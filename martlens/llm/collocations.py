@@ -6,8 +6,9 @@ corner. The matrix is laid out in tiles of 1,024 by 1,024 ranks. In a task, a ti
 added up by Spark. Pairs that are frequent enough are ranked in turn, and a pair with the word behind it is a cell of the next
 matrix, and once more for four words: a phrase cannot be more frequent than what it contains.
 
-The ranks that tasks are given are bounded in number. Frequent words and phrases beyond them are told by a bitmap of their
-hashes, of fixed size, and phrases with such a part are counted as text. A hash met by chance costs a counted phrase, not an error.
+The ranks that tasks are given are bounded in number. Frequent words and phrases beyond them are told by bitmaps of the hashes of
+their cells, or of their texts where they have no cell. Bitmaps have a fixed size, and phrases with such a part are counted as text.
+A hash met by chance costs a counted phrase, not an error.
 """
 
 from __future__ import annotations
@@ -178,17 +179,36 @@ def text_rows(held: Counter) -> pa.RecordBatch:
 # ---- what tasks are given ----------------------------------------------------------------------------------------
 
 
+def cell_bit(cells: np.ndarray | Column) -> np.ndarray | Column:
+    """The bit of a cell in a bitmap, alike for arrays and columns; products of ranks and factors stay below 2**58."""
+    low = RANKS - 1
+    if isinstance(cells, Column):
+        lang, before = F.shiftright(cells, LANG_SHIFT), F.shiftright(cells, RANK_BITS).bitwiseAND(low)
+        mixed = lang * 0x5851F42D4D + before * 0x9E3779B97D + cells.bitwiseAND(low) * 0x7F4A7C15F5
+        return F.shiftright(mixed, 20).bitwiseAND((1 << REST_BITS) - 1)
+    mixed = (cells >> LANG_SHIFT) * 0x5851F42D4D + (cells >> RANK_BITS & low) * 0x9E3779B97D + (cells & low) * 0x7F4A7C15F5
+    return mixed >> 20 & ((1 << REST_BITS) - 1)
+
+
 @dataclass
 class Ranked:
-    """The frequent phrases of one length: by language those with a rank, in order, and the bitmap of the hashes of all others.
+    """The frequent phrases of one length: by language those with a rank, in order, and bitmaps of the hashes of all others.
 
-    ``cells`` are the ranked phrases' cells, sorted, and ``ranks`` their ranks; words have none.
+    ``cells`` are the ranked phrases' cells, sorted, and ``ranks`` their ranks; words have none. ``rest`` marks phrases without a
+    cell by their text, ``rest_cells`` those with a cell by that.
     """
 
     names: dict[str, list[bytes]] = field(default_factory=dict)
     cells: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.int64))
     ranks: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.int64))
     rest: np.ndarray | None = None
+    rest_cells: np.ndarray | None = None
+
+    def beyond_cells(self, cells: np.ndarray) -> np.ndarray:
+        """Which phrases with a cell, but no rank, may be frequent."""
+        bits = cell_bit(cells)
+        marks = self.rest_cells[bits >> 6] >> (bits & 63).astype(np.uint64)
+        return (marks & np.uint64(1)).astype(bool)
 
     def beyond(self, phrase: bytes) -> bool:
         """If a phrase without a rank may be frequent."""
@@ -255,8 +275,11 @@ class Reader:
                 same = own.cells[place] == cells[likely]
                 hit[likely[same]] = True
                 found[likely[same]] = own.ranks[place[same]]
+            if own.rest_cells is not None:
+                others = np.flatnonzero(ranked & ~hit)
+                found[others[own.beyond_cells(cells[others])]] = -2
             if own.rest is not None:
-                for i in np.flatnonzero((ranked & ~hit) | as_text):
+                for i in np.flatnonzero(as_text):
                     if own.beyond(b" ".join(words[i : i + k])):
                         found[i] = -2
         raise ValueError("phrases have two words at least")
@@ -333,7 +356,7 @@ def frequent_phrases(documents: DataFrame, levels: list[Ranked], size: int, leas
 
 
 def ranked(frequent: DataFrame, words: bool) -> Ranked:
-    """Ranks for the ``RANKS`` most frequent phrases over all languages, the bitmap of the hashes of the others."""
+    """Ranks for the ``RANKS`` most frequent phrases over all languages, bitmaps of the hashes of the others."""
     rows = frequent.where("phrase != ''")
     able = F.octet_length("phrase") <= RANKED_BYTES if words else F.col("cell").isNotNull()
     order = [F.desc("n"), F.col("lang"), F.col("phrase")]
@@ -355,15 +378,25 @@ def ranked(frequent: DataFrame, words: bool) -> Ranked:
             F.lit(-last["n"]).cast("long").alias("n"), F.lit(last["lang"]), F.lit(last["phrase"])
         )
         beyond = beyond | later
-    bit = F.xxhash64("phrase").bitwiseAND((1 << REST_BITS) - 1)
-    marks = rows.where(beyond).withColumn("bit", bit).selectExpr(
-        "shiftright(bit, 6) AS at", "shiftleft(1L, CAST(bit & 63 AS INT)) AS mark"
-    )
+    text_bit = F.xxhash64("phrase").bitwiseAND((1 << REST_BITS) - 1)
+    others = rows.where(beyond)
+    if words:
+        out.rest = bitmap(others.select(text_bit.alias("bit")))
+    else:
+        out.rest = bitmap(others.where("cell IS NULL").select(text_bit.alias("bit")))
+        out.rest_cells = bitmap(others.where("cell IS NOT NULL").select(cell_bit(F.col("cell")).alias("bit")))
+    return out
+
+
+def bitmap(bits: DataFrame) -> np.ndarray | None:
+    """The set bits as 64-bit words of a map of fixed size, None if there are none."""
+    marks = bits.selectExpr("shiftright(bit, 6) AS at", "shiftleft(1L, CAST(bit & 63 AS INT)) AS mark")
     found = marks.groupBy("at").agg(F.bit_or("mark").alias("marks")).collect()
-    if found:
-        out.rest = np.zeros(1 << (REST_BITS - 6), dtype=np.uint64)
-        for row in found:
-            out.rest[row["at"]] = row["marks"] % 2**64
+    if not found:
+        return None
+    out = np.zeros(1 << (REST_BITS - 6), dtype=np.uint64)
+    for row in found:
+        out[row["at"]] = row["marks"] % 2**64
     return out
 
 

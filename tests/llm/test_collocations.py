@@ -130,6 +130,22 @@ def test_the_hash_is_the_one_of_the_engine(spark):
     assert all(r.h % 2**64 == xxh64_intdigest(r.p.encode(), 42) for r in found)
 
 
+def test_the_bit_of_a_cell_is_the_one_of_the_engine(spark):
+    from pyspark.sql import functions as F
+
+    top = collocations.RANKS - 1
+    cells = [lang << collocations.LANG_SHIFT | before << collocations.RANK_BITS | last
+             for lang in (0, 3, 5000) for before in (0, 1, 77, top) for last in (0, 9, top)]
+    frame = spark.createDataFrame([(c,) for c in cells], "c long").select("c", collocations.cell_bit(F.col("c")).alias("bit"))
+    own = dict(zip(cells, collocations.cell_bit(np.array(cells)).tolist()))
+    assert {r.c: r.bit for r in frame.collect()} == own
+    words = collocations.bitmap(frame.where("c > 9").select("bit"))
+    level = collocations.Ranked(rest_cells=words)
+    marked = {own[c] for c in cells if c > 9}
+    assert level.beyond_cells(np.array(cells)).tolist() == [own[c] in marked for c in cells]
+    assert collocations.bitmap(frame.where("false").select("bit")) is None
+
+
 def test_odd_and_no_documents(spark):
     expected = plain_collocations([(r[1], r[2]) for r in odd_rows()], 30)
     assert rows_of(spark, odd_documents(spark)) == expected
