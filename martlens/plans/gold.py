@@ -109,6 +109,10 @@ ORDER_TOTALS_COMMENTS = {
     "order_month": "First day of the month of the order; the totals are stored by it.",
 }
 
+# What the payment of its order says about a line. It is stored with the lines, so that questions by product meet payments
+# without a join: any line is in one place, however many lines its order has.
+PAYMENT_COLUMNS = ["status", "payment_method", "currency"]
+
 # The lines are stored in a folder per month, so that bounds on the order date leave other months unread.
 MONTHS = {"fact_orders": "order_month", ORDER_TOTALS: "order_month"}
 
@@ -136,7 +140,8 @@ _CLEANING = {
 class Gold:
     """The six tables every question is asked of, and what a build may have recorded to answer some of them with less.
 
-    ``order_totals`` has one row per order; ``latest_month`` is the last month that has a folder of order lines.
+    ``order_totals`` has one row per order; ``paid_lines`` are the order lines with what their payment says;
+    ``latest_month`` is the last month that has a folder of order lines.
     """
 
     dim_customers: DataFrame
@@ -146,6 +151,7 @@ class Gold:
     fact_transactions: DataFrame
     fact_shipments: DataFrame
     order_totals: DataFrame | None = None
+    paid_lines: DataFrame | None = None
     latest_month: date | None = None
 
     @classmethod
@@ -154,8 +160,9 @@ class Gold:
 
     def ordered(self, days: Column) -> Gold:
         """The same with only those orders whose day or month meets a condition; payments and shipments stay."""
-        totals = None if self.order_totals is None else self.order_totals.where(days)
-        return replace(self, fact_orders=self.fact_orders.where(days), order_totals=totals)
+        recorded = {"order_totals": self.order_totals, "paid_lines": self.paid_lines}
+        kept = {name: None if rows is None else rows.where(days) for name, rows in recorded.items()}
+        return replace(self, fact_orders=self.fact_orders.where(days), **kept)
 
     def latest_orders(self) -> DataFrame:
         """Orders, or their lines, among which the latest are: those of the last month where it is known."""
@@ -215,6 +222,22 @@ def derive_roll_ups(lines: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def derive_paid_lines(lines: DataFrame, payments: DataFrame) -> DataFrame:
+    """The lines with what the payment of their order says, NULL without one. An order has at most one payment.
+
+    Adaptive execution splits the lines of a heavy order here, once for all questions.
+    """
+    met = lines.join(payments.select("order_id", *PAYMENT_COLUMNS), "order_id", "left")
+    # The folder column comes last, as it does when it is read back.
+    own = [name for name in COLUMN_COMMENTS["fact_orders"] if name != MONTHS["fact_orders"]]
+    return documented("fact_orders", met.select(*own, *PAYMENT_COLUMNS, MONTHS["fact_orders"]))
+
+
+def plain_lines(paid_lines: DataFrame) -> DataFrame:
+    """The lines as the star schema has them."""
+    return paid_lines.select(*COLUMN_COMMENTS["fact_orders"])
+
+
 def derive_order_totals(lines: DataFrame, payments: DataFrame, shipments: DataFrame) -> DataFrame:
     """One row per order, if its lines agree on customer, place, day and channel; the build checks that they do."""
     of_lines = lines.groupBy("order_id", "customer_id", "geo_id", "order_date", "order_channel", "order_month").agg(

@@ -38,7 +38,9 @@ from martlens.plans.gold import (
     derive_dimensions,
     derive_lines,
     derive_order_totals,
+    derive_paid_lines,
     derive_roll_ups,
+    plain_lines,
 )
 from martlens.session import apply_scale_settings
 from martlens.sources import files, landing, raw
@@ -47,6 +49,9 @@ from martlens.sources.raw import RAW_SCHEMAS, read_raw
 
 INDEX = "value_index"
 
+# Clean lines on their way: payments are rolled up from them, and they are stored for good with what their payment says.
+UNPAID = "unpaid_lines"
+
 # What each session has opened, by version. A version never changes, and a session's frames are its own.
 _read: WeakKeyDictionary[SparkSession, dict[str, Store]] = WeakKeyDictionary()
 
@@ -108,7 +113,9 @@ def open_store(spark: SparkSession, raw_dir: str, folder: str) -> Store:
             index, latest = frames.pop(INDEX), published["latest_month"]
             if not published["single_orders"]:
                 del frames[ORDER_TOTALS]
-            gold = Gold(**frames, latest_month=latest and date.fromisoformat(latest))
+            paid = frames.pop("fact_orders")
+            lines = plain_lines(paid)
+            gold = Gold(fact_orders=lines, paid_lines=paid, **frames, latest_month=latest and date.fromisoformat(latest))
             opened[path] = Store(gold, index, published["rows"], published["comments"])
             return opened[path]
     raise StaleStore(f"nothing under {versions} was built from the files of {raw_dir} as they are now")
@@ -117,8 +124,9 @@ def open_store(spark: SparkSession, raw_dir: str, folder: str) -> Store:
 def build_store(spark: SparkSession, raw_dir: str, folder: str) -> Store:
     """Build a version from the raw folder, publish and open it.
 
-    Order lines are written first; payments and shipments are rolled up from the written lines, so the join and clean-up of the
-    line table run once, and the order totals from all three. Tables that do not depend on each other are written by concurrent jobs.
+    Clean lines are written first; payments and shipments are rolled up from the written lines, so the join and clean-up of the
+    line table run once, and the order totals from all three. The lines are then stored by month with their payment's columns, and
+    the first writing is removed. Tables that do not depend on each other are written by concurrent jobs.
     """
     apply_scale_settings(spark)
     sources = _raw_files(spark, raw_dir)
@@ -137,15 +145,20 @@ def build_store(spark: SparkSession, raw_dir: str, folder: str) -> Store:
 
     tables = read_raw(spark, raw_dir)
     with ThreadPoolExecutor() as pool:
-        lines = pool.submit(job("fact_orders", derive_lines(tables)))
+        lines = pool.submit(job(UNPAID, derive_lines(tables)))
         running = {name: pool.submit(job(name, df)) for name, df in derive_dimensions(tables).items()}
         running |= {name: pool.submit(job(name, df)) for name, df in derive_roll_ups(lines.result()).items()}
         stored = {name: written.result() for name, written in running.items()}
         facts = [lines.result(), stored["fact_transactions"], stored["fact_shipments"]]
         totals = pool.submit(job(ORDER_TOTALS, derive_order_totals(*facts)))
+        paid = pool.submit(job("fact_orders", derive_paid_lines(*facts[:2])))
         index = value_index([(stored[name], columns) for name, columns in INDEXED_COLUMNS.items()])
-        for written in (totals, pool.submit(job(INDEX, index))):
+        for written in (totals, paid, pool.submit(job(INDEX, index))):
             written.result()
+    if rows.pop(UNPAID) != rows["fact_orders"]:
+        raise ValueError("an order has more than one payment, so its lines would be repeated")
+    del schemas[UNPAID]
+    files.remove(spark, f"{version}/{UNPAID}")
     latest = gold_tables.latest_month(files.names_in(spark, f"{version}/fact_orders"))
     published = {
         "sources": sources,

@@ -42,18 +42,20 @@ def _whole(value: Column) -> Column:
 
 
 def order_analytics(gold: Gold) -> MetricView:
-    """Order lines with completed payments: revenue, margin, order value."""
+    """Order lines with completed payments: revenue, margin, order value. Lines stored with their payment join none."""
+    stored = gold.paid_lines is not None
+    payment = "source" if stored else "transactions"
     net, cogs, order = F.col("source.net_amount"), F.col("source.cogs_amount"), F.col("source.order_id")
     return MetricView(
-        source=gold.fact_orders,
+        source=gold.paid_lines if stored else gold.fact_orders,
         joins=[
-            _joined(gold, "transactions", "fact_orders", "fact_transactions"),
+            *([] if stored else [_joined(gold, "transactions", "fact_orders", "fact_transactions")]),
             _joined(gold, "geography", "fact_orders", "dim_geography"),
             _joined(gold, "products", "fact_orders", "dim_products"),
             _joined(gold, "customers", "fact_orders", "dim_customers"),
         ],
-        only=is_completed("transactions.status"),
-        only_reads=("transactions",),
+        only=is_completed(f"{payment}.status"),
+        only_reads=(payment,),
         dimensions=[
             Dimension("Order Month", month_of(F.col("source.order_date"))),
             _dimension("Order Channel", "source.order_channel"),
@@ -64,8 +66,8 @@ def order_analytics(gold: Gold) -> MetricView:
             _dimension("Subcategory", "products.subcategory"),
             _dimension("Product", "products.product_name"),
             _dimension("Customer Segment", "customers.segment"),
-            _dimension("Payment Method", "transactions.payment_method"),
-            _dimension("Currency", "transactions.currency"),
+            _dimension("Payment Method", f"{payment}.payment_method"),
+            _dimension("Currency", f"{payment}.currency"),
         ],
         rolled_up=None if gold.order_totals is None else _per_order(gold),
         measures=[

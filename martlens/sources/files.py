@@ -52,3 +52,9 @@ def publish_text(spark: SparkSession, path: str, text: str) -> None:
     stream.close()
     if not system.rename(unfinished, _at(spark, path)[0]):
         raise FileExistsError(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this build has written, with all that is in it."""
+    place, system = _at(spark, path)
+    system.delete(place, True)
