@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from martlens.llm.shared import code_points, mixed, ship, shuffle_partitions
 
 GRAM = 16
-WINDOW = 64
+WINDOW = 14
 BASE = np.uint64(0x9E3779B97F4A7C15)
 FLUSH_CHARS = 4_000_000
 
