@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlens.llm.shared import model_path, ship
+from martlens.llm.shared import model_path, ship, stored
 
 MODEL = "byte_bpe_50k.tiktoken"
 BLOCK = 4096
@@ -57,8 +57,10 @@ def limit_table(histogram: DataFrame) -> DataFrame:
     longer ones; ``truncated_tokens`` is the total when every document is cut to the limit; ``share_within`` is the rank of the
     length among all documents, so its quantiles. An empty histogram gives no rows.
 
-    Lengths are summed in blocks of 4,096 lengths, in parallel, and the blocks' totals once more.
+    Lengths are summed in blocks of 4,096 lengths, in parallel, and the blocks' totals once more. The histogram is written once
+    and read for both, so no text is encoded twice.
     """
+    histogram = stored(histogram, "length-histogram")
     rows = histogram.withColumn("block", F.floor(F.col("n_tokens") / BLOCK)).withColumn(
         "tokens", F.col("n_tokens") * F.col("n_docs")
     )
@@ -89,19 +91,30 @@ def limit_table(histogram: DataFrame) -> DataFrame:
     )
 
 
-def answers(histogram: DataFrame, limits: list[int]) -> DataFrame:
-    """One row per given limit, which need not be a length: documents within it, all tokens and tokens after truncation."""
-    asked = [
-        F.struct(
-            F.lit(limit).cast("long").alias("context_limit"),
-            F.coalesce(F.sum(F.when(F.col("n_tokens") <= limit, F.col("n_docs"))), F.lit(0)).alias("docs_within"),
-            F.coalesce(F.sum(F.col("n_docs")), F.lit(0)).alias("docs"),
-            F.coalesce(F.sum(F.col("n_tokens") * F.col("n_docs")), F.lit(0)).alias("tokens"),
-            F.coalesce(F.sum(F.least(F.col("n_tokens"), F.lit(limit)) * F.col("n_docs")), F.lit(0)).alias("truncated_tokens"),
+def answers(table: DataFrame, limits: list[int]) -> DataFrame:
+    """One row per given limit, which need not be a length: documents within it, all tokens and tokens after truncation.
+
+    The sums are looked up in the limit table, at the greatest length that the limit does not exceed.
+    """
+    none = F.lit(0).cast("long")
+    docs = F.coalesce(F.max(F.col("docs_within") + F.col("docs_beyond")), none)
+    tokens = F.coalesce(F.max(F.col("tokens_within") + F.col("tokens_beyond")), none)
+    asked = []
+    for limit in limits:
+        length = F.when(F.col("n_tokens") <= limit, F.col("n_tokens"))
+        within, tokens_within, beyond = (
+            F.max_by(name, length) for name in ("docs_within", "tokens_within", "docs_beyond")
         )
-        for limit in limits
-    ]
-    return histogram.agg(F.array(*asked).alias("rows")).select(F.inline("rows"))
+        asked.append(
+            F.struct(
+                F.lit(limit).cast("long").alias("context_limit"),
+                F.coalesce(within, none).alias("docs_within"),
+                docs.alias("docs"),
+                tokens.alias("tokens"),
+                (F.coalesce(tokens_within, none) + F.coalesce(beyond, docs) * limit).alias("truncated_tokens"),
+            )
+        )
+    return table.agg(F.array(*asked).alias("rows")).select(F.inline("rows"))
 
 
 def quantiles(table: DataFrame, shares: list[float]) -> DataFrame:
