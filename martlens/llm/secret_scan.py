@@ -1,9 +1,10 @@
 """Secret scans judged by how widely a value is copied.
 
 Three fixed patterns give the base spans. Long mixed tokens without such a context are candidates too. The hash of every
-value is counted by the distinct repositories and owners it occurs in: what many owners share is a copied example, what
-belongs to one or two owners and looks random is a live-looking credential. Live-looking tokens other than plain hexadecimal
-become spans of the kind ``live``; base spans stay whatever their verdict.
+value is counted by the distinct repositories and owners it occurs in. A copied example is what many owners share, or what
+several owners share over many repositories; what a single owner repeats over its own repositories is not. Other values that
+look random are live-looking credentials. Live-looking tokens other than plain hexadecimal become spans of the kind ``live``;
+base spans stay whatever their verdict.
 
 Everything is expressions and joins inside Spark. Positions are counted in code points: the text is split by the pattern, and
 the lengths of the pieces before a match add up to its start.
@@ -25,6 +26,8 @@ KINDS = ["assign", "access", "hex", "live"]
 
 TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
 COPIED_BY = 3
+# Repositories that make a copied example of a value which at least two owners hold.
+COPIED_IN = 5
 DISTINCT_CHARACTERS = 8
 
 
@@ -83,11 +86,12 @@ def scanned(documents: DataFrame, owner: F.Column, repository: F.Column) -> Data
     return stored(frame, "secret-matches")
 
 
-def spans(scan: DataFrame, copied_by: int = COPIED_BY) -> DataFrame:
+def spans(scan: DataFrame, copied_by: int = COPIED_BY, copied_in: int = COPIED_IN) -> DataFrame:
     """One row per span: row, rank (place in KINDS), start, end, value, and how many owners and repositories hold the value.
 
-    ``copied`` tells values of at least ``copied_by`` owners, ``live`` the others that look random. Matches too short for their
-    kind are dropped after they took part in counting positions. A null owner or repository counts as one of its own.
+    ``copied`` tells values of at least ``copied_by`` owners, or of two owners and at least ``copied_in`` repositories, ``live``
+    the others that look random. Matches too short for their kind are dropped after they took part in counting positions. A null
+    owner or repository counts as one of its own.
     """
     each = scan.where(F.size("matches") > 0).select("row", "key", "owner", "repository", F.inline("matches"))
     so_far = Window.partitionBy("row", "rank").orderBy("number").rowsBetween(Window.unboundedPreceding, 0)
@@ -110,30 +114,40 @@ def spans(scan: DataFrame, copied_by: int = COPIED_BY) -> DataFrame:
         .groupBy("hash")
         .agg(F.countDistinct("owner").alias("owners"), F.countDistinct("repository").alias("repositories"))
     )
-    judged = placed.join(owned, "hash").withColumn("copied", F.col("owners") >= copied_by)
+    widely = (F.col("owners") >= copied_by) | ((F.col("owners") >= 2) & (F.col("repositories") >= copied_in))
+    judged = placed.join(owned, "hash").withColumn("copied", widely)
     judged = judged.withColumn("live", F.col("random") & ~F.col("copied"))
     return judged.where((F.col("rank") < 3) | F.col("live")).drop("random", "owner", "repository")
 
 
 def secret_scan(
-    documents: DataFrame, owner: F.Column | None = None, repository: F.Column | None = None, copied_by: int = COPIED_BY
+    documents: DataFrame,
+    owner: F.Column | None = None,
+    repository: F.Column | None = None,
+    copied_by: int = COPIED_BY,
+    copied_in: int = COPIED_IN,
 ) -> DataFrame:
     """One row per document: counts of base spans, a digest of them, all spans as text, and counts by verdict.
 
+    ``span_owners`` and ``span_repositories`` hold, in the order of the spans, how many owners and repositories have the value.
+
     The owner is the source and the repository the source and language unless given. A null text is empty. Repeated rows are
     each reported, with the same spans. Spans are ``kind:start:end``, by start, then kind, comma-joined; no span gives "".
     """
     owner = F.col("source") if owner is None else owner
     repository = F.concat_ws("/", "source", "lang") if repository is None else repository
     scan = scanned(documents, owner, repository)
-    span = F.struct("start", "rank", "end", "live", "copied")
-    per_row = spans(scan, copied_by).groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("spans"))
+    span = F.struct("start", "rank", "end", "live", "copied", "owners", "repositories")
+    per_row = spans(scan, copied_by, copied_in).groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("spans"))
     kinds = F.array(*[F.lit(kind) for kind in KINDS])
 
     def joined(found: F.Column) -> F.Column:
         text = F.transform(found, lambda s: F.concat_ws(":", F.get(kinds, s["rank"]), s["start"], s["end"]))
         return F.coalesce(F.array_join(text, ","), F.lit(""))
 
+    def each(name: str) -> F.Column:
+        return F.coalesce(F.array_join(F.transform("spans", lambda s: s[name].cast("string")), ","), F.lit("")).alias(f"span_{name}")
+
     def counted(test) -> F.Column:
         return F.coalesce(F.size(F.filter("spans", test)), F.lit(0)).cast("long")
 
@@ -151,17 +165,21 @@ def secret_scan(
             joined(F.col("spans")).alias("spans"),
             counted(lambda s: s["live"]).alias("n_live"),
             counted(lambda s: s["copied"]).alias("n_copied"),
+            each("owners"),
+            each("repositories"),
         )
     )
 
 
-def redacted(documents: DataFrame, mark: str = "<secret>", copied_by: int = COPIED_BY) -> DataFrame:
-    """The documents with every span replaced by a mark, but for values that many owners share; n_chars follows the text.
+def redacted(
+    documents: DataFrame, mark: str = "<secret>", copied_by: int = COPIED_BY, copied_in: int = COPIED_IN
+) -> DataFrame:
+    """The documents with every span replaced by a mark, but for copied examples; n_chars follows the text.
 
     Overlapping spans become one mark. Documents without such spans, null texts included, pass unchanged.
     """
     scan = scanned(documents, F.col("source"), F.concat_ws("/", "source", "lang"))
-    chosen = spans(scan, copied_by).where(~F.col("copied")).select("key", "start", "end").distinct()
+    chosen = spans(scan, copied_by, copied_in).where(~F.col("copied")).select("key", "start", "end").distinct()
     by_start = Window.partitionBy("key").orderBy("start", "end")
     reached = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     opens = (reached.isNull() | (F.col("start") >= reached)).cast("int")

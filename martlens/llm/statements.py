@@ -40,9 +40,11 @@ WITH docs AS MATERIALIZED (
 ), candidates AS (
     SELECT * FROM likely WHERE rank < 3 OR (random AND NOT regexp_full_match(value, '[0-9a-f]+'))
 ), owned AS (
-    SELECT value, count(DISTINCT owner) AS owners FROM candidates JOIN docs USING (row) GROUP BY value
+    SELECT value, count(DISTINCT owner) AS owners, count(DISTINCT repository) AS repositories,
+           count(DISTINCT owner) >= 3 OR (count(DISTINCT owner) = 2 AND count(DISTINCT repository) >= 5) AS copied
+    FROM candidates JOIN docs USING (row) GROUP BY value
 ), judged AS (
-    SELECT row, rank, start, stop, owners >= 3 AS copied, random AND owners < 3 AS live,
+    SELECT row, rank, start, stop, owners, repositories, copied, random AND NOT copied AS live,
            (['assign', 'access', 'hex', 'live'])[rank + 1] || ':' || start || ':' || stop AS span
     FROM candidates JOIN owned USING (value)
 ), kept AS (
@@ -52,12 +54,15 @@ WITH docs AS MATERIALIZED (
            count(*) FILTER (rank = 2) AS n_hex,
            string_agg(span, ',' ORDER BY start, rank) FILTER (rank < 3) AS base,
            string_agg(span, ',' ORDER BY start, rank) AS spans,
-           count(*) FILTER (live) AS n_live, count(*) FILTER (copied) AS n_copied
+           count(*) FILTER (live) AS n_live, count(*) FILTER (copied) AS n_copied,
+           string_agg(owners, ',' ORDER BY start, rank) AS span_owners,
+           string_agg(repositories, ',' ORDER BY start, rank) AS span_repositories
     FROM kept GROUP BY row
 )
 SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
        coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
-       coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_copied, 0)::BIGINT AS n_copied
+       coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_copied, 0)::BIGINT AS n_copied,
+       coalesce(span_owners, '') AS span_owners, coalesce(span_repositories, '') AS span_repositories
 FROM docs LEFT JOIN per_row USING (row)
 """
 
