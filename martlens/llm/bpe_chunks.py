@@ -16,6 +16,7 @@ of the whole text, whatever the cuts.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterable, Iterator
 
@@ -36,6 +37,10 @@ SENT_CHUNKS = 8192
 #: Units and chunks that a task remembers before it starts anew, and the longest remembered unit.
 CACHED_WORDS, CACHED_CHUNKS, CACHED_LENGTH = 600_000, 10_000, 64
 FLUSH_ROWS, FLUSH_IDS = 2_000, 2_000_000
+#: Units that the library is given at once.
+UNITS_AT_ONCE = 8192
+
+
 def cuts(codes: np.ndarray) -> list[int]:
     """Where the chunks of a text end: content-defined places, the last one the end of the text."""
     size = len(codes)
@@ -87,8 +92,7 @@ class Encoder:
         if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
             raise ValueError("added tokens that take blanks with them are not supported")
         self.added = {t.content: i for i, t in added.items()}
-        names = sorted(self.added, key=len, reverse=True)
-        self.specials = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
+        self.specials = special_pattern(self.added)
         self.borders = regex.compile(r" (?=\S)")
         size = self.library.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2" if size <= 2**16 else "<u4")
@@ -97,6 +101,7 @@ class Encoder:
         self.digits = [str(i) for i in range(size)]
         self.sent = sent or {}
         self.ids_of: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}
         self.chunks: dict[str, tuple] = {}
 
     def units(self, text: str) -> list[str]:
@@ -112,39 +117,47 @@ class Encoder:
         (found,) = self.library.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found.ids, dtype=self.kind).tobytes()
 
-    def unit_ids(self, units: list[str]) -> bytes:
-        """The packed ids of units that each have a blank before them."""
+    def learn(self, units: Iterable[str]) -> None:
+        """Encode the units, each with a blank before it, that are not remembered yet."""
         known = self.ids_of
-        missing = [unit for unit in set(units) if unit not in known]
-        if missing:
+        new = [unit for unit in units if unit not in known]
+        for begin in range(0, len(new), UNITS_AT_ONCE):
+            some = new[begin : begin + UNITS_AT_ONCE]
             # Units are independent, so they are encoded as one text; the bytes of the ids tell where each ends.
-            ids = np.frombuffer(self.packed(" " + " ".join(missing)), dtype=self.kind)
-            ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(u.encode()) + 1 for u in missing])) + 1
+            ids = np.frombuffer(self.packed(" " + " ".join(some)), dtype=self.kind)
+            ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(u.encode()) + 1 for u in some])) + 1
             raw, width = ids.tobytes(), self.kind.itemsize
-            starts = [0, *(ends[:-1] * width).tolist()]
-            known.update({u: raw[a:b] for u, a, b in zip(missing, starts, (ends * width).tolist())})
-        ids = b"".join(map(known.__getitem__, units))
-        if len(known) > CACHED_WORDS:
-            known.clear()
+            stops = (ends * width).tolist()
+            known.update({u: raw[a:b] for u, a, b in zip(some, [0, *stops[:-1]], stops)})
+
+    def forget(self, units: Iterable[str]) -> None:
+        """Keep what is remembered within its bounds; ``units`` are those just learned."""
+        if len(self.ids_of) > CACHED_WORDS:
+            self.ids_of.clear()
         else:
-            for unit in missing:
+            for unit in units:
                 if len(unit) > CACHED_LENGTH:
-                    del known[unit]
-        return ids
+                    self.ids_of.pop(unit, None)
+
+    def unit_ids(self, units: list[str]) -> bytes:
+        """The packed ids of learned units that each have a blank before them."""
+        return b"".join(map(self.ids_of.__getitem__, units))
+
+    def inside(self, text: str) -> tuple[int, int, list[str]]:
+        """Where the first and the last border inside a chunk are, and the units between them; both are -1 without a border."""
+        units = self.units(text)
+        if len(units) == 1:
+            return -1, -1, []
+        return len(units[0]), len(text) - len(units[-1]) - 1, units[1:-1]
 
     def chunk(self, text: str) -> tuple[int, int, bytes]:
-        """Where the first and the last border inside a chunk are, and the ids between them; both are -1 without a border."""
-        found = self.sent.get(text) or self.chunks.get(text)
-        if found is None:
-            units = self.units(text)
-            if len(units) == 1:
-                found = (-1, -1, b"")
-            else:
-                found = (len(units[0]), len(text) - len(units[-1]) - 1, self.unit_ids(units[1:-1]))
-            if len(self.chunks) >= CACHED_CHUNKS:
-                self.chunks.clear()
-            self.chunks[text] = found
-        return found
+        """``inside`` of a chunk, with the ids of its units."""
+        first, last, units = self.inside(text)
+        new = set(units)
+        self.learn(new)
+        ids = self.unit_ids(units)
+        self.forget(new)
+        return first, last, ids
 
     def encode(self, text: str) -> tuple[list[int], int, int]:
         """The ids of a text, the number of its chunks, and of those cuts that are no border, where chunks alone go wrong."""
@@ -158,26 +171,59 @@ class Encoder:
         return np.frombuffer(b"".join(ids), dtype=self.kind).tolist(), chunks, crossed
 
     def _segment(self, text: str, ids: list[bytes]) -> tuple[int, int]:
+        """Add the ids of a text without special tokens; the library is asked once for all its units that are new."""
         ends = cuts(code_points(text))
-        # Everything before ``at``, a border of the text or its start, is in ``ids``.
+        fresh: dict[str, tuple[int, int, list[str]]] = {}
+        # In text order: ids, a chunk of ``fresh``, or the units of a join.
+        pieces: list[bytes | str | list[str]] = []
+        # Everything before ``at``, a border of the text or its start, is in ``pieces``.
         start = at = crossed = 0
         for end in ends:
-            first, last, between = self.chunk(text[start:end])
+            part = text[start:end]
+            known = self.sent.get(part) or self.chunks.get(part)
+            if known is None and part not in fresh:
+                fresh[part] = self.inside(part)
+            first, last, _ = known or fresh[part]
             crossed += start > 0 and first != 0
             if first >= 0:
-                self._again(text[at : start + first], ids)
-                ids.append(between)
+                self._again(text[at : start + first], pieces)
+                pieces.append(known[2] if known else part)
                 at = start + last
             start = end
-        self._again(text[at:], ids)
+        self._again(text[at:], pieces)
+        new = {unit for piece in pieces if isinstance(piece, list) for unit in piece}
+        new.update(*[units for _, _, units in fresh.values()])
+        self.learn(new)
+        done = {part: (first, last, self.unit_ids(units)) for part, (first, last, units) in fresh.items()}
+        for piece in pieces:
+            if isinstance(piece, bytes):
+                ids.append(piece)
+            else:
+                ids.append(done[piece][2] if isinstance(piece, str) else self.unit_ids(piece))
+        self.forget(new)
+        if len(self.chunks) + len(done) > CACHED_CHUNKS:
+            self.chunks.clear()
+        if len(done) <= CACHED_CHUNKS:
+            self.chunks.update(done)
         return len(ends), crossed
 
-    def _again(self, text: str, ids: list[bytes]) -> None:
-        """The ids of a join; it starts with the blank of a border, unless it starts the text."""
+    def _again(self, text: str, pieces: list) -> None:
+        """Add a join; it starts with the blank of a border, unless it starts the text."""
         first, *others = self.units(text)
         if first:
-            ids.append(self.packed(first))
-        ids.append(self.unit_ids(others))
+            pieces.append(self._head(first))
+        pieces.append(others)
+
+    def _head(self, unit: str) -> bytes:
+        """The packed ids of a unit that starts a text, so without a blank before it."""
+        found = self.heads.get(unit)
+        if found is None:
+            found = self.packed(unit)
+            if len(self.heads) >= CACHED_CHUNKS:
+                self.heads.clear()
+            if len(unit) <= CACHED_LENGTH:
+                self.heads[unit] = found
+        return found
 
     def joined(self, ids: list[int]) -> str:
         return ",".join(map(self.digits.__getitem__, ids))
@@ -205,6 +251,20 @@ def texts_of(batches: Iterable[pa.RecordBatch], column: int) -> Iterator[str]:
             yield value.as_py() or ""
 
 
+def special_pattern(names: Iterable[str]):
+    """What splits a text at the special tokens, the longest first; None without any."""
+    import regex
+
+    longest = sorted(names, key=len, reverse=True)
+    return regex.compile("(" + "|".join(map(regex.escape, longest)) + ")") if longest else None
+
+
+def specials_of(model: str):
+    """``special_pattern`` of a tokenizer's file, without its vocabulary being built up."""
+    with open(model_path(model)) as file:
+        return special_pattern([token["content"] for token in json.load(file)["added_tokens"]])
+
+
 def segments(text: str, specials) -> list[str]:
     return [part for part in (specials.split(text) if specials else [text])[::2] if part]
 
@@ -219,15 +279,15 @@ def shared_chunks(documents: DataFrame, model: str = MODEL, most: int = SENT_CHU
     ship(spark)
     texts = documents.select("text")
 
-    def chunks_of(own: Encoder, text: str) -> Iterator[str]:
-        for segment in segments(text, own.specials):
+    def chunks_of(text: str, specials) -> Iterator[str]:
+        for segment in segments(text, specials):
             start = 0
             for end in cuts(code_points(segment)):
                 yield segment[start:end]
                 start = end
 
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, held = Encoder(model), {}
+        specials, held = specials_of(model), {}
 
         def flushed() -> pa.RecordBatch:
             keys = np.fromiter(held.keys(), dtype=np.int64, count=len(held))
@@ -237,7 +297,7 @@ def shared_chunks(documents: DataFrame, model: str = MODEL, most: int = SENT_CHU
             )
 
         for text in texts_of(batches, 0):
-            for chunk in set(chunks_of(own, text)):
+            for chunk in set(chunks_of(text, specials)):
                 key = chunk_key(chunk)
                 held[key] = (held.get(key, (0, 0))[0] + 1, len(chunk))
             if len(held) > 500_000:
@@ -256,9 +316,9 @@ def shared_chunks(documents: DataFrame, model: str = MODEL, most: int = SENT_CHU
     wanted = spark.sparkContext.broadcast({row["key"] for row in chosen})
 
     def met(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, seen = Encoder(model), set()
+        specials, seen = specials_of(model), set()
         for text in texts_of(batches, 0):
-            found = [c for c in set(chunks_of(own, text)) if c not in seen and chunk_key(c) in wanted.value]
+            found = [c for c in set(chunks_of(text, specials)) if c not in seen and chunk_key(c) in wanted.value]
             seen.update(found)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["chunk"])
