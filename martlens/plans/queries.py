@@ -247,27 +247,35 @@ def orders_by_term(spark: SparkSession, raw_dir: str) -> DataFrame:
     )
 
 
-def numbers_by_term(spark: SparkSession, raw_dir: str) -> DataFrame:
+def numbers_by_term(spark: SparkSession, raw_dir: str, terms: list[str] = SNIPPET_TERMS) -> DataFrame:
     """What the reusable filters, measures and fields give whose words the user typed: (term, kind, name, number).
 
-    A filter gives the rows it keeps, a measure its value, a field the number of its groups.
+    A filter gives the rows it keeps, a measure its value, a field the number of its groups. The words are resolved before the
+    facts are planned, so only the numbers asked for are computed and tables without any are not read.
     """
     gold, p = open_gold(spark, raw_dir), TABLE_PARAMETERS
-    numbers = [
-        gold.fact_orders.agg(
-            F.count(F.when(is_high_value(p.high_value), 1)).cast("double").alias("is_high_value"),
-            F.count_distinct("customer_id").cast("double").alias("distinct_customers"),
-            F.count_distinct(order_size("net_amount", p.small_below, p.medium_below)).cast("double").alias("order_size"),
+    # At most one name for each term and kind.
+    named = resolve_names(user_terms(spark, terms), word_table(spark)).select("term", "kind", "name").toArrow()
+    asked = set(named.column("name").to_pylist())
+    known = [
+        (
+            gold.fact_orders,
+            {
+                "is_high_value": F.count(F.when(is_high_value(p.high_value), 1)),
+                "distinct_customers": F.count_distinct("customer_id"),
+                "order_size": F.count_distinct(order_size("net_amount", p.small_below, p.medium_below)),
+            },
         ),
-        gold.fact_transactions.agg(
-            F.count(F.when(is_refunded(), 1)).cast("double").alias("is_refunded"),
-            as_double(net_of_refunds()).alias("net_of_refunds"),
-        ),
-        gold.dim_customers.agg(F.count_distinct(age_group("birth_date", p.age_as_of)).cast("double").alias("age_group")),
+        (gold.fact_transactions, {"is_refunded": F.count(F.when(is_refunded(), 1)), "net_of_refunds": net_of_refunds()}),
+        (gold.dim_customers, {"age_group": F.count_distinct(age_group("birth_date", p.age_as_of))}),
     ]
-    known = reduce(DataFrame.unionByName, [n.unpivot([], n.columns, "name", "number") for n in numbers])
-    named = resolve_names(user_terms(spark, SNIPPET_TERMS), word_table(spark))
-    return named.join(known, "name").select("term", "kind", "name", "number")
+    numbers = spark.createDataFrame([], "name string, number double")
+    for table, measures in known:
+        chosen = [as_double(measure).alias(name) for name, measure in measures.items() if name in asked]
+        if chosen:
+            row = table.agg(*chosen)
+            numbers = numbers.unionByName(row.unpivot([], row.columns, "name", "number"))
+    return spark.createDataFrame(named).join(numbers, "name").select("term", "kind", "name", "number")
 
 
 # ---- registry ----------------------------------------------------------------------------------------------------

@@ -10,6 +10,8 @@ import pytest
 
 from martlens.functions.vocabulary import word_table
 from martlens.operators.values import EDITS, resolve, resolve_names, rows_meaning, value_index
+from martlens.plans import queries
+from tests.conftest import SMALL
 
 
 def nearest_by_brute_force(terms, known, edits=EDITS):
@@ -103,3 +105,15 @@ def test_filters_measures_and_fields_are_named_by_their_words(spark):
         ("province", "column", "state_code", 0),
         ("basket size", "field", "order_size", 0),
     }
+
+
+def test_only_numbers_asked_for_are_computed(spark, gold):
+    everything = {(r.term, r.name): r.number for r in queries.numbers_by_term(spark, SMALL).collect()}
+    large = queries.numbers_by_term(spark, SMALL, ["big orders"])
+    assert {(r.term, r.name): r.number for r in large.collect()} == {
+        ("big orders", "is_high_value"): everything["big orders", "is_high_value"]
+    }
+    read = large.inputFiles()
+    assert read and all("/fact_orders/" in path for path in read)
+    nothing = queries.numbers_by_term(spark, SMALL, ["campaign", ""])
+    assert nothing.columns == large.columns and nothing.collect() == [] and nothing.inputFiles() == []
