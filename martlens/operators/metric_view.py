@@ -154,11 +154,12 @@ class MetricView:
         """Add up before the tables are joined that are needed for nothing but the grouping.
 
         The rows are added up per join key, per dimension that needs none of these tables, and per value that is counted
-        distinct; what is left of them meets the tables. Sums and counts are added up again, distinct values counted then.
+        distinct; what is left of them meets the tables. Sums and counts are added up again, distinct values counted then. A
+        part that several measures share is kept once: each further column of distinct values would repeat all rows.
         """
         apart = {join.name for join in joins}
         own = {d.name: f"key_{i}" for i, d in enumerate(keys) if apart.isdisjoint(d.reads)}
-        parts = [part for m in wanted for part in m.parts]
+        parts = list({id(part): part for m in wanted for part in m.parts}.values())
         columns = [f"part_{i}" for i in range(len(parts))]
         joined_on = {join.key: join.key for join in joins}
         first = rows.groupBy(
@@ -171,13 +172,11 @@ class MetricView:
         for join in joins:
             on = F.col(f"{SOURCE}.{join.key}") == F.col(f"{join.name}.{join.key}")
             met = met.join(join.table.alias(join.name), on, "left")
-        again = [
-            F.sum(f"{SOURCE}.{c}") if p.distinct is None else F.count_distinct(f"{SOURCE}.{c}") for p, c in zip(parts, columns)
-        ]
-        finished, at = [], 0
-        for m in wanted:
-            finished.append(m.finish(*again[at : at + len(m.parts)]).alias(m.name))
-            at += len(m.parts)
+        again = {
+            id(p): F.sum(f"{SOURCE}.{c}") if p.distinct is None else F.count_distinct(f"{SOURCE}.{c}")
+            for p, c in zip(parts, columns)
+        }
+        finished = [m.finish(*[again[id(part)] for part in m.parts]).alias(m.name) for m in wanted]
         grouped = met.groupBy(
             *[F.col(f"{SOURCE}.{own[d.name]}").alias(d.name) if d.name in own else d.expr.alias(d.name) for d in keys]
         )
