@@ -50,10 +50,12 @@ def silver_orders(bronze: DataFrame) -> DataFrame:
 
 
 def silver_transactions(bronze: DataFrame) -> DataFrame:
-    return first_per_key(bronze.withColumn("txn_date", iso_date("txn_date")), "transaction_id")
+    """A payment belongs to one order, so payments already partitioned by order are cleaned in place."""
+    return first_per_key(bronze.withColumn("txn_date", iso_date("txn_date")), "transaction_id", colocated_with="order_id")
 
 
 def silver_shipments(bronze: DataFrame) -> DataFrame:
+    """A shipment belongs to one order, as a payment does."""
     clean = bronze.withColumns(
         {
             "carrier": canonical(bronze.carrier, CARRIER_SPELLINGS),
@@ -61,4 +63,4 @@ def silver_shipments(bronze: DataFrame) -> DataFrame:
             "delivery_date": iso_date("delivery_date"),
         }
     )
-    return first_per_key(clean, "shipment_id")
+    return first_per_key(clean, "shipment_id", colocated_with="order_id")

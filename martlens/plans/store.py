@@ -86,6 +86,10 @@ def _raw_files(spark: SparkSession, raw_dir: str) -> dict[str, list]:
     return {name: files.data_files(spark, f"{raw_dir}/{name}.parquet") for name in RAW_SCHEMAS}
 
 
+def _size(sources: dict[str, list]) -> int:
+    return sum(size for found in sources.values() for _, size, _ in found)
+
+
 def _versions(folder: str, raw_dir: str) -> str:
     return f"{folder}/{hashlib.sha256(raw_dir.encode()).hexdigest()[:16]}"
 
@@ -100,7 +104,7 @@ def open_store(spark: SparkSession, raw_dir: str, folder: str) -> Store:
         text = files.read_text(spark, f"{path}/published.json")
         published = json.loads(text) if text else {}
         if published.get("sources") == sources and published.get("definition") == definition:
-            apply_scale_settings(spark)
+            apply_scale_settings(spark, _size(sources))
             if path in opened:
                 return opened[path]
             frames = {
@@ -128,8 +132,8 @@ def build_store(spark: SparkSession, raw_dir: str, folder: str) -> Store:
     line table run once, and the order totals from all three. The lines are then stored by month with their payment's columns, and
     the first writing is removed. Tables that do not depend on each other are written by concurrent jobs.
     """
-    apply_scale_settings(spark)
     sources = _raw_files(spark, raw_dir)
+    apply_scale_settings(spark, _size(sources))
     version = f"{_versions(folder, raw_dir)}/{time.time_ns()}-{uuid.uuid4().hex[:8]}"
     rows: dict[str, int] = {}
     schemas: dict[str, dict] = {}
