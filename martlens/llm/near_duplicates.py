@@ -21,10 +21,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from martlens.llm.shared import mixed, ship, small_side, stored, unused
+from martlens.llm.shared import BROADCAST_ROWS, mixed, ship, small_side, stored, unused
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -39,6 +39,8 @@ SEED = 7
 CACHED_WORDS = 500_000
 CELLS = 4_000_000
 CHUNK = 512
+#: Edges that one task writes at most, where they are few.
+EDGES_A_TASK = 20_000
 
 
 class WordHashes(dict):
@@ -332,26 +334,36 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each connected component of the links (a, b), for nodes that have links.
 
     Alternates two steps until nothing changes: a node's larger neighbours are hung on its smallest neighbour, then its smaller
-    ones. Rows that repeat are dropped before each shuffle.
+    ones. Rows that repeat are dropped before each shuffle. Edges that are few by their count are not shuffled for the joins, as
+    the smallest neighbours are sent to them, and are written as a few files.
     """
     edges = stored(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "edges"
     )
-    before = None
+
+    def digest() -> Row:
+        return edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")).first()
+
+    before = digest()
     while True:
+        few = 2 * before["n"] <= BROADCAST_ROWS
+
+        def sent(least: DataFrame, few: bool = few) -> DataFrame:
+            return F.broadcast(least) if few else least
+
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("least")).withColumn("least", F.least("u", "least"))
-        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("least").alias("v"))
-        large = large.where("u > v").distinct()
+        large = both.join(sent(least), "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("least").alias("v"))
+        large = large.where("u > v")
+        large = large if few else large.distinct()
         least = large.groupBy("u").agg(F.min("v").alias("least"))
-        small = large.join(least, "u")
+        small = large.join(sent(least), "u")
         small = small.select("u", F.col("least").alias("v")).unionByName(
             small.where(F.col("v") > F.col("least")).select(F.col("v").alias("u"), F.col("least").alias("v"))
         )
-        edges = stored(small.distinct(), "edges")
-        sums = edges.agg(
-            F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")
-        ).first()
+        small = small.distinct()
+        edges = stored(small.repartition(math.ceil(before["n"] / EDGES_A_TASK) or 1) if few else small, "edges")
+        sums = digest()
         if sums == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = sums

@@ -215,3 +215,14 @@ def test_one_document_of_each_class_stays(spark):
 def test_no_documents(spark):
     assert near_duplicates.near_duplicates(no_documents(spark)).collect() == []
     assert near_duplicates.without_near_duplicates(no_documents(spark)).collect() == []
+
+
+def test_components_of_few_edges_and_of_many_are_the_same(spark, monkeypatch):
+    draw = random.Random(5)
+    pairs = [(draw.randrange(200), draw.randrange(200)) for _ in range(120)] + [(900 + i, 901 + i) for i in range(30)]
+    found = []
+    for most in (near_duplicates.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(near_duplicates, "BROADCAST_ROWS", most)
+        frame = spark.createDataFrame(pairs, "a long, b long")
+        found.append({r.node: r.root for r in near_duplicates.components(frame).collect()})
+    assert found[0] == found[1] != {}
