@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlens.llm.shared import stored, unused
+from martlens.llm.shared import small_side, stored, unused
 
 # The base patterns and their least lengths.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -176,7 +176,8 @@ def redacted(
 ) -> DataFrame:
     """The documents with every span replaced by a mark, but for copied examples; n_chars follows the text.
 
-    Overlapping spans become one mark. Documents without such spans, null texts included, pass unchanged.
+    Overlapping spans become one mark. Documents without such spans, null texts included, pass unchanged. The texts stay where
+    they are, unless the cuts are too many to be sent to them.
     """
     scan = scanned(documents, F.col("source"), F.concat_ws("/", "source", "lang"))
     chosen = spans(scan, copied_by, copied_in).where(~F.col("copied")).select("key", "start", "end").distinct()
@@ -201,7 +202,7 @@ def redacted(
     text = F.coalesce(F.col("text"), F.lit(""))
     key = F.sha2(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text), 256)
     names = documents.columns
-    joined = documents.join(cuts, key == F.col(f"{own}.key"), "left")
+    joined = documents.join(small_side(cuts, F.size(f"{own}.cuts")), key == F.col(f"{own}.key"), "left")
     pieces = F.transform(
         f"{own}.cuts",
         lambda c: F.concat(F.substr(text, (c["from"] + 1).cast("int"), (c["start"] - c["from"]).cast("int")), F.lit(mark)),

@@ -105,3 +105,12 @@ def test_no_python_in_the_plan(spark):
     found = secret_scan.secret_scan(odd_documents(spark))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_redaction_of_few_texts_does_not_shuffle_all(spark, settings):
+    settings(autoBroadcastJoinThreshold="-1")
+    rows = [(i, "token=Zx81kQ93mfa7" if i == 3 else f"text {i}", "en", "s", 9) for i in range(50)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = secret_scan.redacted(frame)
+    assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [r.doc_id for r in found.collect() if "<secret>" in r.text] == [3]
