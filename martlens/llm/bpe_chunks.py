@@ -44,14 +44,18 @@ UNITS_AT_ONCE = 8192
 def cuts(codes: np.ndarray) -> list[int]:
     """Where the chunks of a text end: content-defined places, the last one the end of the text."""
     size = len(codes)
-    hashes, width, base = codes.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15), 1, 0x5851F42D4C957F2D
+    hashes, width, base = codes.astype(np.uint64), 1, 0x5851F42D4C957F2D
+    hashes += np.uint64(0x9E3779B97F4A7C15)
     found: np.ndarray = np.empty(0, dtype=np.int64)
     if size > LEAST:
         while width < WINDOW:
-            hashes = hashes[:-width] * np.uint64(base) + hashes[width:]
+            joined = hashes[:-width] * np.uint64(base)
+            joined += hashes[width:]
+            hashes = joined
             base, width = base * base % 2**64, width * 2
-        top = (hashes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - AVERAGE_BITS)
-        found = np.flatnonzero(top == 0) + WINDOW
+        hashes *= np.uint64(0x9E3779B97F4A7C15)
+        # The highest bits are 0.
+        found = np.flatnonzero(hashes < np.uint64(1 << 64 - AVERAGE_BITS)) + WINDOW
     ends, last = [], 0
     for place in found.tolist():
         while place - last > MOST:
@@ -69,7 +73,10 @@ def cuts(codes: np.ndarray) -> list[int]:
 
 
 def chunk_key(chunk: str) -> int:
-    return int.from_bytes(hashlib.blake2b(chunk.encode(), digest_size=8).digest(), "little", signed=True)
+    import xxhash
+
+    key = xxhash.xxh3_64_intdigest(chunk)
+    return key - (key >> 63 << 64)
 
 
 class Encoder:

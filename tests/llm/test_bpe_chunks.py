@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -111,3 +112,13 @@ def test_the_query(spark, library):
     found = op11_bpe_chunks(spark, SMALL)
     assert found.columns[:4] == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert sorted([tuple(r)[:4] for r in found.collect()], key=repr) == expected(library, rows)
+
+
+def test_cuts_leave_their_input_and_keys_are_signed_64_bit_numbers():
+    import xxhash
+
+    codes = np.frombuffer(("many words, " * 900).encode("utf-32-le"), dtype="<u4")
+    before = codes.copy()
+    assert bpe_chunks.cuts(codes)[-1] == len(codes) and (codes == before).all()
+    for chunk in ("", "a", "é 😀", *map(str, range(50))):
+        assert np.uint64(xxhash.xxh3_64_intdigest(chunk)).view(np.int64) == bpe_chunks.chunk_key(chunk)
