@@ -22,10 +22,9 @@ from martlens.llm.shared import model_path, ship
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-CACHED_CHUNKS = 300_000
-CACHED_LENGTH = 64
+BLOCK = 65_536
 FLUSH_IDS = 2_000_000
-RUNS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+CUT = re.compile(f"(?<!{SPACE}){SPACE}")
 
 
 class CharacterMap:
@@ -133,10 +132,10 @@ class Encoded:
 
 
 class Encoder:
-    """Encodes texts with a model, chunk by chunk.
+    """Encodes texts with a model, block by block.
 
-    No piece of the model holds a blank after another character, so a text splits before each run of blanks into chunks that
-    encode on their own. The ids of a short chunk are remembered, for about ``CACHED_CHUNKS`` of them.
+    If no piece of the model holds a blank after another character, a text may be cut before any run of blanks, so what the
+    library holds at once is bounded. Blocks go to it one by one: given a list it starts threads, which cost more than they save.
     """
 
     def __init__(self, model: str = MODEL):
@@ -164,51 +163,39 @@ class Encoder:
         self.end_id = self.library.eos_id()
         self.unknown = self.pieces.unk_id()
         # A merge can cross a blank only if some piece holds one after another character.
-        self.chunked = not any(SPACE in p.piece.lstrip(SPACE) for p in proto.pieces if p.type == p.NORMAL)
+        self.cuttable = not any(SPACE in p.piece.lstrip(SPACE) for p in proto.pieces if p.type == p.NORMAL)
         # Bytes of each piece where a blank counts as one; a piece for a byte is one.
         self.sizes = np.array(
             [1 if p.type == p.BYTE else len(p.piece.replace(SPACE, " ").encode()) for p in proto.pieces], dtype=np.int64
         )
-        self.known: dict[str, str] = {}
-
-    def _joined(self, keys: list[str]) -> str:
-        """The ids of chunks, given without their first blank, as text."""
-        known = self.known
-        if len(known) > CACHED_CHUNKS:
-            known.clear()
-        missing = list(set(keys).difference(known))
-        if missing:
-            found = self.pieces.encode([SPACE + key for key in missing])
-            known.update(zip(missing, [" ".join(map(str, ids)) for ids in found]))
-        joined = " ".join(map(known.__getitem__, keys))
-        for key in missing:
-            if len(key) > CACHED_LENGTH:
-                del known[key]
-        return joined
-
-    def _ids(self, normal: str, words: list[str] | None) -> str:
-        """The ids of a normalised text; its words are given if each stands behind one blank."""
-        if not normal:
-            return ""
-        if words is not None:
-            return self._joined(words)
-        if not self.chunked or normal[0] != SPACE:
-            return " ".join(map(str, self.pieces.encode(normal)))
-        return self._joined([chunk[1:] for chunk in RUNS.findall(normal)])
+        self.decimals = [str(i) for i in range(len(proto.pieces))]
+
+    def _blocks(self, normal: str) -> Iterator[str]:
+        """A normalised text, cut before the first run of blanks that follows ``BLOCK`` characters or more."""
+        at = 0
+        while self.cuttable and (cut := CUT.search(normal, at + BLOCK)):
+            yield normal[at : cut.start()]
+            at = cut.start()
+        if normal:
+            yield normal[at:]
+
+    def _ids(self, normal: str) -> tuple[np.ndarray, str]:
+        """The ids of a normalised text, also as decimal numbers joined by blanks."""
+        found, shown = [np.empty(0, dtype=np.int64)], []
+        for block in self._blocks(normal):
+            found.append(self.pieces.encode(block, return_type="numpy"))
+            shown.append(" ".join(map(self.decimals.__getitem__, found[-1].tolist())))
+        return np.concatenate(found), " ".join(shown)
 
     def encode(self, text: str) -> tuple[Encoded, str]:
         """The pieces of a text, and its ids as decimal numbers joined by blanks."""
         plain = self.normalizer.plain and SPACE not in text
-        words = None
         if plain:
             normal, places = (SPACE + text.replace(" ", SPACE) if text else ""), None
-            if self.chunked and "  " not in text and text[:1] != " " and text[-1:] != " ":
-                words = text.split(" ")
         else:
             raw, places = self.normalizer.normalize(text)
             normal = raw.decode()
-        joined = self._ids(normal, words)
-        ids = np.fromstring(joined, dtype=np.int64, sep=" ") if joined else np.empty(0, dtype=np.int64)
+        ids, joined = self._ids(normal)
         lengths = self.sizes[ids]
         if (ids == self.unknown).any():
             found = self.pieces.encode(normal, return_type="proto").pieces
@@ -252,12 +239,6 @@ def encoder(model: str = MODEL) -> Encoder:
     return _encoders[model]
 
 
-def forget() -> None:
-    """Drop what the worker's encoders remember of the texts of a task that is over."""
-    for own in _encoders.values():
-        own.known.clear()
-
-
 def encode(documents: DataFrame, model: str = MODEL) -> DataFrame:
     """doc_id, ids, and the begin and end byte of each id in the UTF-8 text. A null text is empty and has the end id alone."""
     ship(documents.sparkSession)
@@ -301,12 +282,6 @@ def _mapped(documents: DataFrame, rows, schema: str, kinds: list[pa.DataType]) -
     names = [column.split()[0] for column in schema.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        try:
-            yield from encoded(batches)
-        finally:
-            forget()
-
-    def encoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, size = [[] for _ in kinds], 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1)):

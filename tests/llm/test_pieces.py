@@ -9,7 +9,7 @@ import sentencepiece
 from martlens.llm import pieces
 from martlens.llm.shared import model_path
 from tests.conftest import SMALL
-from tests.llm.data import no_documents, odd_documents, odd_rows
+from tests.llm.data import no_documents, odd_documents, odd_rows, prose
 
 LETTERS = ["a", "the", "é", " ", "  ", "\n", "\t", "▁", "😀", "日本", "ﬁ", " ", "\x00", "①", "ｱﾞ", "é", "</s>", "<0x41>", "Ａ"]
 
@@ -33,6 +33,50 @@ def test_ids_equal_the_library(library):
         assert joined == " ".join(map(str, wanted))
 
 
+class Asked:
+    """The library, and the texts it was asked to encode."""
+
+    def __init__(self, pieces):
+        self.pieces, self.texts = pieces, []
+
+    def encode(self, text, **how):
+        self.texts.append(text)
+        return self.pieces.encode(text, **how)
+
+
+def test_a_text_is_encoded_once_as_a_whole(monkeypatch):
+    own = pieces.encoder()
+    for text in ("the same word and the same word", " two  blanks ", "▁ a ▁", prose(3, 5000)):
+        asked = Asked(own.pieces)
+        monkeypatch.setattr(own, "pieces", asked)
+        own.encode(text)
+        own.encode(text)
+        monkeypatch.undo()
+        assert asked.texts == ["▁" + text.replace(" ", "▁")] * 2
+
+
+@pytest.mark.parametrize("block", [1, 2, 7])
+def test_blocks_of_long_texts_change_nothing(monkeypatch, block):
+    own = pieces.encoder()
+    whole = {text: own.encode(text) for text in odd_texts()}
+    monkeypatch.setattr(pieces, "BLOCK", block)
+    for text, (found, joined) in whole.items():
+        again, shown = own.encode(text)
+        assert shown == joined, repr(text)
+        for field in ("ids", "begins", "ends"):
+            assert getattr(again, field).tolist() == getattr(found, field).tolist(), repr(text)
+
+
+def test_blocks_are_bounded_and_start_with_blanks():
+    own = pieces.encoder()
+    normal = "▁" + prose(4, 40_000).replace(" ", "▁▁")
+    blocks = list(own._blocks(normal))
+    assert "".join(blocks) == normal and len(blocks) > 1
+    assert all(len(block) < pieces.BLOCK + 100 for block in blocks)
+    assert all(block[:2] == "▁▁" and block[-1] != "▁" for block in blocks[1:])
+    assert list(own._blocks("")) == []
+
+
 def test_spans_cover_the_text_and_hold_the_pieces(library):
     own = pieces.encoder()
     for text in odd_texts():
