@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martlens.llm.shared import code_points, ship, small_side, stored
+from martlens.llm.shared import code_points, ship, small_batches, small_side, stored
 
 SIZE = 65536
 CLUSTERS = 4
@@ -92,12 +92,6 @@ class LanguageModel:
         raw = np.log1p(counts[grams]) * self.weights[grams]
         return grams, (raw / max(float(np.linalg.norm(raw)), 1e-12)).astype(np.float32)
 
-    def vector(self, text: str) -> np.ndarray:
-        out = np.zeros(len(self.weights), dtype=np.float32)
-        grams, values = self.entries(text)
-        out[grams] = values
-        return out
-
     def predict(self, texts: list[str | None], reject_below: float = REJECT_BELOW) -> list[tuple[str, float, bool]]:
         """Language, cosine clipped to 0..1, and if it is too small; ``und``, 0, True without a letter or a learned language."""
         out = [(UNKNOWN, 0.0, True)] * len(texts)
@@ -117,37 +111,58 @@ def size_class(grams: int) -> int:
     return min(grams.bit_length(), SIZES - 1)
 
 
-def smallest_cosines(vectors: np.ndarray) -> np.ndarray:
-    """By size, ``SHARE`` of a low cosine of a language's vectors with the sum of its other ones; 0 where too few tell."""
-    total = vectors.sum(axis=0, dtype=np.float64)
-    own = np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64)
-    # In blocks, as each is widened to the precision of the total.
-    dots = np.concatenate([block @ total for block in np.array_split(vectors, -(-len(vectors) // 32))])
+#: A vector by its entries that are not 0: their places and values.
+Entries = tuple[np.ndarray, np.ndarray]
+
+
+def summed(rows: list[Entries], size: int, kind: type) -> np.ndarray:
+    total = np.zeros(size, dtype=kind)
+    for places, values in rows:
+        total[places] += values
+    return total
+
+
+def smallest_cosines(vectors: np.ndarray | list[Entries], size: int = SIZE) -> np.ndarray:
+    """By size, ``SHARE`` of a low cosine of a language's vectors with the sum of its other ones; 0 where too few tell.
+
+    Vectors are given by their entries, or whole as the rows of an array of at most ``size`` columns.
+    """
+    rows = [(np.flatnonzero(v), v[v != 0]) for v in vectors] if isinstance(vectors, np.ndarray) else vectors
+    total = summed(rows, size, np.float64)
+    own = np.array([np.square(values, dtype=np.float64).sum() for _, values in rows])
+    dots = np.array([values @ total[places] for places, values in rows])
     rest = np.sqrt(np.maximum(total @ total - 2 * dots + own, 0))
     cosines = (dots - own) / np.maximum(rest, 1e-12)
-    sizes = np.array([size_class(int(n)) for n in np.count_nonzero(vectors, axis=1)])
+    sizes = np.array([size_class(len(places)) for places, _ in rows])
     out = np.zeros(SIZES)
-    for size in range(1, SIZES):
-        here = cosines[sizes == size]
-        out[size] = SHARE * max(0.0, float(np.quantile(here, STRAY))) if len(here) >= LEAST_TEXTS else out[size - 1]
+    for at in range(1, SIZES):
+        here = cosines[sizes == at]
+        out[at] = SHARE * max(0.0, float(np.quantile(here, STRAY))) if len(here) >= LEAST_TEXTS else out[at - 1]
     return out
 
 
-def cluster(vectors: np.ndarray, clusters: int, rounds: int = ROUNDS) -> np.ndarray:
+def cluster(rows: list[Entries], size: int, clusters: int, rounds: int = ROUNDS) -> np.ndarray:
     """Centroids of length 1 by cosine k-means, started from rows that lie far from each other; the same for the same rows."""
-    centres = [vectors.mean(axis=0)]
-    centres[0] = centres[0] / max(float(np.linalg.norm(centres[0])), 1e-12)
-    nearest = vectors @ centres[0]
-    while len(centres) < min(clusters, len(vectors)):
-        centres.append(vectors[int(nearest.argmin())])
-        nearest = np.maximum(nearest, vectors @ centres[-1])
+
+    def centre(some: list[Entries]) -> np.ndarray:
+        mean = summed(some, size, np.float32) / len(some)
+        return mean / max(float(np.linalg.norm(mean)), 1e-12)
+
+    def cosines(centres: np.ndarray) -> np.ndarray:
+        by_place = np.ascontiguousarray(centres.T)
+        return np.stack([values @ by_place[places] for places, values in rows])
+
+    centres = [centre(rows)]
+    nearest = cosines(centres[0])
+    while len(centres) < min(clusters, len(rows)):
+        centres.append(summed([rows[int(nearest.argmin())]], size, np.float32))
+        nearest = np.maximum(nearest, cosines(centres[-1]))
     found = np.stack(centres)
     for _ in range(rounds):
-        own = (vectors @ found.T).argmax(axis=1)
+        own = cosines(found).argmax(axis=1)
         for i in range(len(found)):
             if (own == i).any():
-                mean = vectors[own == i].mean(axis=0)
-                found[i] = mean / max(float(np.linalg.norm(mean)), 1e-12)
+                found[i] = centre([row for row, at in zip(rows, own) if at == i])
     return found
 
 
@@ -167,6 +182,7 @@ def learn(
     """
     spark = training.sparkSession
     ship(spark)
+    small_batches(spark)
     rows = training.select("doc_id", "text", "lang")
 
     def frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,9 +218,10 @@ def learn(
         texts = [text for text in sorted(group["text"]) if has_letter(text)]
         if not texts:
             return pd.DataFrame({"lang": [], "centroid": [], "floors": []})
-        vectors = np.stack([blank.vector(text) for text in texts])
-        found = [row.astype("<f4").tobytes() for row in cluster(vectors, clusters)]
-        floors = smallest_cosines(vectors).tolist()
+        # By their entries: as whole rows of ``size`` numbers they took more than all else that a worker holds.
+        entries = [blank.entries(text) for text in texts]
+        found = [row.astype("<f4").tobytes() for row in cluster(entries, size, clusters)]
+        floors = smallest_cosines(entries, size).tolist()
         return pd.DataFrame({"lang": group["lang"].iloc[0], "centroid": found, "floors": [floors] * len(found)})
 
     kinds = "lang string, centroid binary, floors array<double>"
@@ -228,6 +245,7 @@ def predict(documents: DataFrame, model: LanguageModel, reject_below: float = RE
     """
     spark = documents.sparkSession
     ship(spark)
+    small_batches(spark)
     held = shared_model(spark, model)
     added = ["lang_pred", "score", "rejected"]
     frame = documents.drop(*added)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from martlens.llm.shared import BROADCAST_ROWS, mixed, ship, small_side, stored, unused
+from martlens.llm.shared import BROADCAST_ROWS, mixed, ship, small_batches, small_side, stored, unused
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -183,6 +183,7 @@ def sketched(documents: DataFrame, similarity: float = SIMILARITY, words: int =
     Texts of ``SHORT`` runs have sketches, shorter ones and those that may be linked to shorter ones have their labelled runs.
     """
     ship(documents.sparkSession)
+    small_batches(documents.sparkSession)
     most = (SHORT - 1) / similarity + 1e-9
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlens.llm.shared import model_path, ship
+from martlens.llm.shared import model_path, ship, small_batches
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
@@ -242,6 +242,7 @@ def encoder(model: str = MODEL) -> Encoder:
 def encode(documents: DataFrame, model: str = MODEL) -> DataFrame:
     """doc_id, ids, and the begin and end byte of each id in the UTF-8 text. A null text is empty and has the end id alone."""
     ship(documents.sparkSession)
+    small_batches(documents.sparkSession)
     schema = "doc_id long, ids array<int>, begins array<long>, ends array<long>"
     kinds = [pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
 
@@ -259,6 +260,7 @@ def encode_digests(documents: DataFrame, model: str = MODEL, with_ids: bool = Fa
     ids themselves.
     """
     ship(documents.sparkSession)
+    small_batches(documents.sparkSession)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_crc32 long"
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
     if with_ids:

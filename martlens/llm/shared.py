@@ -11,6 +11,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martlens.session import _bytes
+
 _shipped: set[str] = set()
 _own_folders: dict[str, str] = {}
 
@@ -81,6 +83,21 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+#: Most bytes of rows that Spark hands to a Python worker at once.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the batches that the session hands to Python workers; a smaller bound of the caller stays.
+
+    Without it a batch of whole texts has up to 64 MB, which each of an executor's tasks holds several times, inside and outside
+    the JVM.
+    """
+    if _bytes(spark.conf.get(_BATCH)) > BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

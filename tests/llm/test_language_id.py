@@ -1,14 +1,16 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from martlens.llm import language_id
+from martlens.llm import language_id, shared
 from tests.conftest import MEDIUM
-from tests.llm.data import no_documents, odd_documents, odd_rows
+from tests.llm.data import no_documents, odd_documents, odd_rows, prose
 
 
 def test_held_out_accuracy(spark):
@@ -90,3 +92,58 @@ def test_nothing_to_learn(spark):
     bare = spark.createDataFrame([(1, "some words", None)], "doc_id long, text string, lang string")
     (row,) = language_id.identify(bare).collect()
     assert (row.lang_pred, row.score) == ("und", 0.0)
+
+
+def whole(entries, size: int) -> np.ndarray:
+    out = np.zeros((len(entries), size), dtype=np.float32)
+    for row, (places, values) in zip(out, entries):
+        row[places] = values
+    return out
+
+
+def plain_clusters(vectors: np.ndarray, clusters: int) -> np.ndarray:
+    def scaled(v: np.ndarray) -> np.ndarray:
+        return v / np.linalg.norm(v)
+
+    centres = [scaled(vectors.mean(axis=0))]
+    while len(centres) < clusters:
+        centres.append(vectors[int((vectors @ np.stack(centres).T).max(axis=1).argmin())])
+    found = np.stack(centres)
+    for _ in range(language_id.ROUNDS):
+        own = (vectors @ found.T).argmax(axis=1)
+        found = np.stack([scaled(vectors[own == i].mean(axis=0)) if (own == i).any() else found[i] for i in range(clusters)])
+    return found
+
+
+def test_clustering_holds_no_whole_vectors():
+    size, texts = language_id.SIZE, [prose(seed, 150) for seed in range(200)]
+    blank = language_id.LanguageModel(np.ones(size), np.zeros((0, size), dtype=np.float32), [], np.zeros((0, language_id.SIZES)))
+    tracemalloc.start()
+    entries = [blank.entries(text) for text in texts]
+    found, floors = language_id.cluster(entries, size, 4), language_id.smallest_cosines(entries)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # 200 whole vectors have 52 MB.
+    assert peak < 15e6
+    vectors = whole(entries, size)
+    assert np.abs(found - plain_clusters(vectors, 4)).max() < 1e-6
+    assert np.abs(floors - language_id.smallest_cosines(vectors)).max() < 1e-12
+
+
+def test_texts_reach_workers_in_small_batches(spark, settings):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    settings(execution__arrow__maxBytesPerBatch="64m")
+    rows = [(i, "some words of a text " * 5000, "en") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    model = language_id.learn(language_id.training_part(docs))
+    assert language_id.predict(docs, model).count() == 100
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+    # What a batch may exceed the bound by is one row.
+    assert max(r.size for r in docs.mapInArrow(sizes, "size long").collect()) < shared.BATCH_BYTES + 200_000
+    settings(execution__arrow__maxBytesPerBatch="1m")
+    shared.small_batches(spark)
+    assert spark.conf.get(name) == "1m"
