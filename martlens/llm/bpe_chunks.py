@@ -3,7 +3,7 @@
 A text is cut where a rolling hash of the 16 code points before a place is 0 in its lowest bits, so a passage that many documents
 hold is cut alike in all of them. Chunks that several documents share are counted over the whole corpus; those whose reuse
 saves most are encoded once, by one task each, and sent to all tasks. Any other chunk is encoded by the task that meets it and
-remembered while the task runs.
+remembered, in bounded memory, for later texts and tasks of the same worker, and so are the units between two blanks.
 
 Tokens of a chunk need not be tokens of the text: a cut may go through a word, a run of blanks or a contraction. So joins are
 encoded again. No merge and no word of the tokenizer goes across a blank that something other than white space follows, and that is
@@ -19,6 +19,7 @@ import hashlib
 import json
 import os
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,9 @@ AVERAGE_BITS = 9
 LEAST, MOST = 64, 4096
 #: The most chunks that are encoded once for all tasks. What is sent is at most so many chunks of at most ``MOST`` code points.
 SENT_CHUNKS = 8192
-#: Units and chunks that a task remembers before it starts anew, and the longest remembered unit.
-CACHED_WORDS, CACHED_CHUNKS, CACHED_LENGTH = 600_000, 10_000, 64
+#: The most units and chunks that a worker remembers, and the longest remembered unit. Of the units the older half goes at a time,
+#: less those that were met again, so that frequent ones stay.
+CACHED_WORDS, CACHED_CHUNKS, CACHED_LENGTH = 1_000_000, 10_000, 64
 FLUSH_ROWS, FLUSH_IDS = 2_000, 2_000_000
 #: Units that the library is given at once.
 UNITS_AT_ONCE = 8192
@@ -107,7 +109,10 @@ class Encoder:
         self.lengths = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
         self.digits = [str(i) for i in range(size)]
         self.sent = sent or {}
+        # Units that were met since the older half of what was remembered went, and those from before.
         self.ids_of: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.long: list[str] = []
         self.heads: dict[str, bytes] = {}
         self.chunks: dict[str, tuple] = {}
 
@@ -125,9 +130,13 @@ class Encoder:
         return np.array(found.ids, dtype=self.kind).tobytes()
 
     def learn(self, units: Iterable[str]) -> None:
-        """Encode the units, each with a blank before it, that are not remembered yet."""
-        known = self.ids_of
+        """Encode the units, each different and with a blank before it, that are not remembered yet."""
+        known, older = self.ids_of, self.older
         new = [unit for unit in units if unit not in known]
+        if older:
+            known.update({unit: older[unit] for unit in new if unit in older})
+            new = [unit for unit in new if unit not in known]
+        self.long = [unit for unit in new if len(unit) > CACHED_LENGTH]
         for begin in range(0, len(new), UNITS_AT_ONCE):
             some = new[begin : begin + UNITS_AT_ONCE]
             # Units are independent, so they are encoded as one text; the bytes of the ids tell where each ends.
@@ -137,18 +146,24 @@ class Encoder:
             stops = (ends * width).tolist()
             known.update({u: raw[a:b] for u, a, b in zip(some, [0, *stops[:-1]], stops)})
 
-    def forget(self, units: Iterable[str]) -> None:
-        """Keep what is remembered within its bounds; ``units`` are those just learned."""
-        if len(self.ids_of) > CACHED_WORDS:
-            self.ids_of.clear()
-        else:
-            for unit in units:
-                if len(unit) > CACHED_LENGTH:
-                    self.ids_of.pop(unit, None)
+    def forget(self) -> None:
+        """Keep what is remembered within its bounds, when the units just learned have been used."""
+        for unit in self.long:
+            del self.ids_of[unit]
+        if 2 * len(self.ids_of) > CACHED_WORDS:
+            self.older, self.ids_of = self.ids_of, {}
 
-    def unit_ids(self, units: list[str]) -> bytes:
-        """The packed ids of learned units that each have a blank before them."""
-        return b"".join(map(self.ids_of.__getitem__, units))
+    def unit_ids(self, units: list[str]) -> list[bytes]:
+        """The packed ids of each of the units, with a blank before it; those not remembered yet are learned at once."""
+        known = self.ids_of
+        found = list(map(known.get, units))
+        new = [place for place, ids in enumerate(found) if ids is None]
+        if new:
+            self.learn({units[place] for place in new})
+            for place in new:
+                found[place] = known[units[place]]
+            self.forget()
+        return found
 
     def inside(self, text: str) -> tuple[int, int, list[str]]:
         """Where the first and the last border inside a chunk are, and the units between them; both are -1 without a border."""
@@ -160,11 +175,7 @@ class Encoder:
     def chunk(self, text: str) -> tuple[int, int, bytes]:
         """``inside`` of a chunk, with the ids of its units."""
         first, last, units = self.inside(text)
-        new = set(units)
-        self.learn(new)
-        ids = self.unit_ids(units)
-        self.forget(new)
-        return first, last, ids
+        return first, last, b"".join(self.unit_ids(units))
 
     def encode(self, text: str) -> tuple[list[int], int, int]:
         """The ids of a text, the number of its chunks, and of those cuts that are no border, where chunks alone go wrong."""
@@ -180,47 +191,48 @@ class Encoder:
     def _segment(self, text: str, ids: list[bytes]) -> tuple[int, int]:
         """Add the ids of a text without special tokens; the library is asked once for all its units that are new."""
         ends = cuts(code_points(text))
-        fresh: dict[str, tuple[int, int, list[str]]] = {}
-        # In text order: ids, a chunk of ``fresh``, or the units of a join.
-        pieces: list[bytes | str | list[str]] = []
+        # All units of the text that are asked for, and in text order: ids, or where units begin and end among them.
+        units: list[str] = []
+        pieces: list[bytes | tuple[int, int]] = []
+        fresh: dict[str, tuple[int, int, tuple[int, int]]] = {}
+
+        def asked(some: list[str]) -> tuple[int, int]:
+            begin = len(units)
+            units.extend(some)
+            return begin, len(units)
+
+        def again(join: str) -> None:
+            """Add a join; it starts with the blank of a border, unless it starts the text."""
+            head, *others = self.units(join)
+            if head:
+                pieces.append(self._head(head))
+            pieces.append(asked(others))
+
         # Everything before ``at``, a border of the text or its start, is in ``pieces``.
         start = at = crossed = 0
         for end in ends:
             part = text[start:end]
-            known = self.sent.get(part) or self.chunks.get(part)
-            if known is None and part not in fresh:
-                fresh[part] = self.inside(part)
-            first, last, _ = known or fresh[part]
+            known = self.sent.get(part) or self.chunks.get(part) or fresh.get(part)
+            first, last, inner = known or self.inside(part)
             crossed += start > 0 and first != 0
             if first >= 0:
-                self._again(text[at : start + first], pieces)
-                pieces.append(known[2] if known else part)
+                again(text[at : start + first])
+                inner = inner if known else asked(inner)
+                pieces.append(inner)
                 at = start + last
+            if known is None:
+                fresh[part] = first, last, inner if first >= 0 else (0, 0)
             start = end
-        self._again(text[at:], pieces)
-        new = {unit for piece in pieces if isinstance(piece, list) for unit in piece}
-        new.update(*[units for _, _, units in fresh.values()])
-        self.learn(new)
-        done = {part: (first, last, self.unit_ids(units)) for part, (first, last, units) in fresh.items()}
+        again(text[at:])
+        packed = self.unit_ids(units)
         for piece in pieces:
-            if isinstance(piece, bytes):
-                ids.append(piece)
-            else:
-                ids.append(done[piece][2] if isinstance(piece, str) else self.unit_ids(piece))
-        self.forget(new)
-        if len(self.chunks) + len(done) > CACHED_CHUNKS:
+            ids.extend([piece] if isinstance(piece, bytes) else packed[slice(*piece)])
+        if len(self.chunks) + len(fresh) > CACHED_CHUNKS:
             self.chunks.clear()
-        if len(done) <= CACHED_CHUNKS:
-            self.chunks.update(done)
+        if len(fresh) <= CACHED_CHUNKS:
+            self.chunks.update({part: (a, b, b"".join(packed[slice(*inner)])) for part, (a, b, inner) in fresh.items()})
         return len(ends), crossed
 
-    def _again(self, text: str, pieces: list) -> None:
-        """Add a join; it starts with the blank of a border, unless it starts the text."""
-        first, *others = self.units(text)
-        if first:
-            pieces.append(self._head(first))
-        pieces.append(others)
-
     def _head(self, unit: str) -> bytes:
         """The packed ids of a unit that starts a text, so without a blank before it."""
         found = self.heads.get(unit)
@@ -240,6 +252,17 @@ class Encoder:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(model: str, sent: dict[str, tuple] | None = None) -> Encoder:
+    """The worker's encoder of a model, which remembers what it met in earlier tasks, with other chunks that were sent."""
+    if model not in _encoders:
+        _encoders[model] = Encoder(model)
+    _encoders[model].sent = sent or {}
+    return _encoders[model]
+
+
 # Printable Latin-1 stands for itself in a token, the other bytes in order are the code points from 256.
 _PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _OTHERS = [b for b in range(256) if b not in _PLAIN]
@@ -266,6 +289,7 @@ def special_pattern(names: Iterable[str]):
     return regex.compile("(" + "|".join(map(regex.escape, longest)) + ")") if longest else None
 
 
+@cache
 def specials_of(model: str):
     """``special_pattern`` of a tokenizer's file, without its vocabulary being built up."""
     with open(model_path(model)) as file:
@@ -331,7 +355,7 @@ def shared_chunks(documents: DataFrame, model: str = MODEL, most: int = SENT_CHU
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["chunk"])
 
     def encoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Encoder(model)
+        own = encoder(model)
         names, kinds = ["chunk", "first", "last", "ids"], [pa.string(), pa.int32(), pa.int32(), pa.binary()]
         for batch in batches:
             rows = [(chunk, *own.chunk(chunk)) for chunk in batch.column(0).to_pylist()]
@@ -365,8 +389,7 @@ def _mapped(documents: DataFrame, model: str, most: int, schema: str, kinds: lis
     names = [column.split()[0] for column in schema.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The caches live as long as the task.
-        own = Encoder(model, held.value)
+        own = encoder(model, held.value)
         rows, size = [], 0
 
         def flushed() -> pa.RecordBatch:

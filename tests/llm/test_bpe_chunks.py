@@ -122,3 +122,25 @@ def test_cuts_leave_their_input_and_keys_are_signed_64_bit_numbers():
     assert bpe_chunks.cuts(codes)[-1] == len(codes) and (codes == before).all()
     for chunk in ("", "a", "é 😀", *map(str, range(50))):
         assert np.uint64(xxhash.xxh3_64_intdigest(chunk)).view(np.int64) == bpe_chunks.chunk_key(chunk)
+
+
+def test_frequent_units_are_asked_once_in_bounded_memory(library, monkeypatch):
+    monkeypatch.setattr(bpe_chunks, "CACHED_WORDS", 200)
+    own, asked = bpe_chunks.Encoder(), []
+    packed = own.packed
+    monkeypatch.setattr(own, "packed", lambda text: asked.extend(text.split()) or packed(text))
+    for i in range(60):
+        text = "first frequent words " + " ".join(f"rare{i}x{j}" for j in range(20)) + " y" * (i % 3) + " long" * 20 + "z" * 80
+        assert own.encode(text)[0] == library.encode(text, add_special_tokens=False).ids
+        assert len(own.ids_of) + len(own.older) <= 200 + 30
+    assert asked.count("frequent") == 1 and asked.count("words") == 1 and asked.count("rare0x3") == 1
+    assert all(len(unit) <= bpe_chunks.CACHED_LENGTH for unit in [*own.ids_of, *own.older])
+
+
+def test_a_worker_keeps_its_encoder_but_not_what_was_sent(library):
+    first = bpe_chunks.encoder(bpe_chunks.MODEL, {"some chunk": (4, 4, b"")})
+    assert first.sent
+    again = bpe_chunks.encoder(bpe_chunks.MODEL)
+    assert again is first and not again.sent
+    text = prose(5, 2000)
+    assert [again.encode(text)[0] for _ in range(2)] == [library.encode(text, add_special_tokens=False).ids] * 2
