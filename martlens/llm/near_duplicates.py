@@ -39,8 +39,8 @@ SEED = 7
 CACHED_WORDS = 500_000
 CELLS = 4_000_000
 CHUNK = 512
-#: Edges that one task writes at most, where they are few.
-EDGES_A_TASK = 20_000
+#: Edges of which a task makes trees at once; so many at most are one task's work, of 2 MB.
+EDGES_A_TASK = 100_000
 
 
 class WordHashes(dict):
@@ -331,16 +331,46 @@ def _links(members: DataFrame, texts: DataFrame, similarity: float, words: int)
         pivots *= MORE_PIVOTS
 
 
+def hung_on_smallest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (u, v) that link the same nodes: each other node of a component with its smallest, ``EDGES_A_TASK`` edges at a time."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root[up]
+        return x
+
+    def trees() -> pa.RecordBatch:
+        out = [(u, v) for u, v in ((x, find(x)) for x in list(root)) if u != v]
+        return pa.RecordBatch.from_arrays([pa.array([edge[i] for edge in out], pa.int64()) for i in (0, 1)], ["u", "v"])
+
+    for batch in batches:
+        # A component's edges may come in several parts, so its nodes may be hung on several.
+        if len(root) > 2 * EDGES_A_TASK:
+            yield trees()
+            root.clear()
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            u, v = find(u), find(v)
+            root[max(u, v)] = min(u, v)
+    yield trees()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each connected component of the links (a, b), for nodes that have links.
 
-    Alternates two steps until nothing changes: a node's larger neighbours are hung on its smallest neighbour, then its smaller
-    ones. Rows that repeat are dropped before each shuffle. Edges that are few by their count are not shuffled for the joins, as
-    the smallest neighbours are sent to them, and are written as a few files.
+    Tasks first replace their edges by trees. That is all if one task holds the edges, as it does if they are few: every round
+    of the steps below costs the driver plans, threads and results of tasks, however small it is. Else alternates two steps until
+    nothing changes: a node's larger neighbours are hung on its smallest neighbour, then its smaller ones. Rows that repeat are
+    dropped before each shuffle. Edges that are few by their count are not shuffled for the joins, as the smallest neighbours
+    are sent to them, and are written as a few files.
     """
-    edges = stored(
-        links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "edges"
-    )
+    ship(links.sparkSession)
+    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v"), "edges")
+    one = edges.count() <= EDGES_A_TASK
+    dealt = edges.coalesce(1) if one else edges.distinct()
+    edges = stored(dealt.mapInArrow(hung_on_smallest, "u long, v long"), "edges")
+    if one:
+        return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
     def digest() -> Row:
         return edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")).first()

@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -226,3 +227,37 @@ def test_components_of_few_edges_and_of_many_are_the_same(spark, monkeypatch):
         frame = spark.createDataFrame(pairs, "a long, b long")
         found.append({r.node: r.root for r in near_duplicates.components(frame).collect()})
     assert found[0] == found[1] != {}
+
+
+def test_components_of_edges_in_one_task_and_in_several_are_the_same(spark, monkeypatch):
+    draw = random.Random(6)
+    pairs = [(draw.randrange(400), draw.randrange(400)) for _ in range(260)] + [(900 + i, 901 + i) for i in range(80)]
+    wanted = {x: r for x, r in union_find((a, b) for a, b in pairs if a != b).items() if x != r}
+    sent = near_duplicates.BROADCAST_ROWS
+    for most, rows in ((near_duplicates.EDGES_A_TASK, sent), (150, sent), (150, 0)):
+        monkeypatch.setattr(near_duplicates, "EDGES_A_TASK", most)
+        monkeypatch.setattr(near_duplicates, "BROADCAST_ROWS", rows)
+        frame = spark.createDataFrame(pairs, "a long, b long")
+        assert {r.node: r.root for r in near_duplicates.components(frame).collect() if r.node != r.root} == wanted
+
+
+def test_trees_of_parts_link_the_same_nodes(monkeypatch):
+    monkeypatch.setattr(near_duplicates, "EDGES_A_TASK", 10)
+    draw = random.Random(7)
+    pairs = [(draw.randrange(300), draw.randrange(300)) for _ in range(240)]
+    parts = [pairs[i : i + 9] for i in range(0, len(pairs), 9)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*part)], ["u", "v"]) for part in parts]
+    found = [tuple(e.values()) for batch in near_duplicates.hung_on_smallest(batches) for e in batch.to_pylist()]
+    wanted = union_find((a, b) for a, b in pairs if a != b)
+    trees = union_find(found)
+    assert {x: r for x, r in wanted.items()} == {x: trees[x] for x in wanted} and len(found) < len(pairs)
+
+
+def test_few_links_take_few_jobs(spark):
+    """Every round of joins costs the driver memory; a chain of few links took a dozen of them."""
+    frame = spark.createDataFrame([(i, i + 1) for i in range(500)], "a long, b long")
+    spark.sparkContext.setJobGroup("few-links", "")
+    found = near_duplicates.components(frame)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("few-links")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {r.root for r in found.collect()} == {0} and found.count() == 500 and len(jobs) < 8
