@@ -17,6 +17,7 @@ import re
 import struct
 from array import array
 from collections.abc import Callable, Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,8 @@ END_ID = 2
 SHARD_TOKENS = 1_000_000
 MAGIC = b"WMX1"
 BLOCK = 4096
-CACHED_CHUNKS = 400_000
+#: Just below the entries from which on a dictionary's table doubles.
+CACHED_CHUNKS = 690_000
 CACHED_LENGTH = 64
 
 SHARD_SCHEMA = "part int, number int, first_doc long, n_docs long, n_tokens long, file binary"
@@ -43,13 +45,18 @@ class WaveletMatrix:
 
     def __init__(self, length: int, planes: list[np.ndarray]):
         self.length, self.planes = length, planes
-        self.zeros, self.ones_before = [], []
-        for bits in planes:
-            padded = np.zeros(-(-max(1, length) // BLOCK) * BLOCK, dtype=np.uint8)
-            padded[:length] = bits
+        self.zeros = [length - int(np.count_nonzero(bits)) for bits in planes]
+
+    @cached_property
+    def ones_before(self) -> list[np.ndarray]:
+        """Of each plane, its ones before every block; only lookups need them."""
+        out = []
+        for bits in self.planes:
+            padded = np.zeros(-(-max(1, self.length) // BLOCK) * BLOCK, dtype=np.uint8)
+            padded[: self.length] = bits
             sums = padded.reshape(-1, BLOCK).sum(axis=1, dtype=np.int64)
-            self.ones_before.append(np.concatenate(([0], np.cumsum(sums))))
-            self.zeros.append(length - int(self.ones_before[-1][-1]))
+            out.append(np.concatenate(([0], np.cumsum(sums))))
+        return out
 
     @classmethod
     def of(cls, values: np.ndarray) -> WaveletMatrix:
@@ -115,14 +122,15 @@ class WaveletMatrix:
 
     def values(self) -> np.ndarray:
         """The whole sequence: from the last plane up, the parted halves are merged again."""
-        out = np.zeros(self.length, dtype=np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        out = np.zeros(self.length, dtype=kind)
         for plane in reversed(range(len(self.planes))):
             up = self.planes[plane].view(bool)
             merged = np.empty_like(out)
             merged[np.flatnonzero(~up)] = out[: self.zeros[plane]]
-            merged[np.flatnonzero(up)] = out[self.zeros[plane] :] | np.uint32(1 << (len(self.planes) - 1 - plane))
+            merged[np.flatnonzero(up)] = out[self.zeros[plane] :] | kind(1 << (len(self.planes) - 1 - plane))
             out = merged
-        return out
+        return out.astype(np.uint32)
 
 
 def write_shard(doc_ids: list[int | None], counts: list[int], ids: np.ndarray) -> bytes:
@@ -179,7 +187,8 @@ class TextEncoder:
 
     The tokenizer drops white space and encodes what stands between it on its own, so the ids of a text are those of its
     chunks. A chunk of Latin letters, digits and signs is lower-cased, split and spelled in the model's byte alphabet here,
-    which gives what the tokenizer's own steps give; any other chunk goes through those.
+    which gives what the tokenizer's own steps give; any other chunk goes through those. A lower-case word is a chunk itself, of
+    which chunks with capitals or a sign behind make use.
     """
 
     # Lower-casing changes no other letter's case than the tokenizer does, but for the dotted capital I.
@@ -218,7 +227,9 @@ class TextEncoder:
         else:
             word, sign = chunk, b""
         if word.isalpha() and (word.isascii() or self.LATIN.fullmatch(word)):
-            return self.pieces[word.lower()] + sign
+            lower = word.lower()
+            # In a few cases the lower-case letter is none of the Latin ones here.
+            return self._piece(chunk) if chunk == lower else self.chunks[lower] + sign
         if any(special in chunk for special in self.special):
             return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
         if self.LATIN.fullmatch(chunk):

@@ -57,6 +57,27 @@ def test_chunks_encode_as_whole_texts(tokenizer):
         assert np.frombuffer(encode(text), dtype="<u4").tolist() == wanted, repr(text)
 
 
+def test_capitals_whose_lower_case_lies_elsewhere(tokenizer):
+    encode = token_output.encoder(token_output.MODEL).encode
+    for text in ["\u023a \u023e日", "x\u023ab, \u023e. Ab, ab aB"]:
+        wanted = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encode(text), dtype="<u4").tolist() == wanted, text
+
+
+def test_a_word_is_spelled_once_whatever_stands_behind_it(monkeypatch):
+    own = token_output.TextEncoder(token_output.MODEL)
+    asked = []
+    monkeypatch.setattr(own, "tokens", lambda word, tokens=own.tokens: asked.append(word) or tokens(word))
+    own.encode("Word word, word. Word! WORD日 zzz")
+    assert asked.count("word") == 1 and len(own.chunks) < 10 and "word" not in own.pieces
+
+
+def test_reading_back_makes_no_tables_for_lookups():
+    file = token_output.write_shard([1], [3], np.array([5, 70_000, 2], dtype=np.uint32))
+    matrix = token_output.read_shard(file)[2]
+    assert matrix.values().tolist() == [5, 70_000, 2] and "ones_before" not in vars(matrix)
+
+
 def check(frame, rows, tokenizer, settings) -> None:
     settings(shuffle__partitions="5")
     rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
